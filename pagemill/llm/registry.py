@@ -6,13 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import embedding_dedup, mixing, sharding, topk, url_filter
+from . import embedding_dedup, language_id, mixing, sentence_pieces, sharding, token_counts, topk, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_cover_tree_dedup": embedding_dedup.op1_cover_tree_dedup,
     "op2_best_fit_shards": sharding.op2_best_fit_shards,
     "op3_systematic_mix": mixing.op3_systematic_mix,
+    "op4_hyperdimensional_language": language_id.op4_hyperdimensional_language,
     "op5_block_top_k": topk.op5_block_top_k,
+    "op7_longest_match_counts": token_counts.op7_longest_match_counts,
+    "op8_sentence_pieces": sentence_pieces.op8_sentence_pieces,
     "op10_url_rules": url_filter.op10_url_rules,
 }
 

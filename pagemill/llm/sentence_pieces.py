@@ -51,6 +51,7 @@ class Model:
         self.special = {i for i in range(n) if model.is_control(i)}
         self.bytes_of = {i: int(self.pieces[i][3:5], 16) for i in range(n) if model.is_byte(i)}
         self.byte_id = {b: i for i, b in self.bytes_of.items()}
+        self.lowest_byte, self.highest_byte = min(self.bytes_of, default=0), max(self.bytes_of, default=0)
         self.unknown = model.unk_id()
         other = self.special | set(self.bytes_of) | {self.unknown}
         if len(self.byte_id) != 256 or any(model.is_unused(i) for i in range(n)) or model.normalize("Ａ  a ") != f"{MARK}Ａ{MARK}{MARK}a{MARK}":
@@ -70,48 +71,62 @@ class Model:
         self.n, self.keys, self.wholes = n, keys[by_key], whole[by_key]
         self.ranks = np.array([self.rank.get(i, 0) for i in range(n)], dtype=np.int64)
         self.merges = dict(zip(self.keys.tolist(), self.wholes.tolist(), strict=True))
-
-    def symbols(self, text: str) -> list[int]:
-        """A piece's id, or n and more for a character without one."""
-        get, n = self.id_of.get, self.n
-        return [get(c, n + ord(c)) for c in text]
-
-    def flat_merge(self, words: list[list[int]]) -> list[list[int]]:
-        """The symbols of `words` after all merges."""
-        lengths = np.array([len(w) for w in words])
-        symbols = np.array([s for w in words for s in w], dtype=np.int64)
-        owner = np.repeat(np.arange(len(words)), lengths)
-        done: list = [None] * len(words)
+        self.symbol_of = np.arange(n, n + 0x110000, dtype=np.int64)
+        for p, i in self.id_of.items():
+            if len(p) == 1:
+                self.symbol_of[ord(p)] = i
+        self.as_text = [str(i) for i in range(n)]
+        self.as_words = [p.replace(MARK, " ") for p in self.pieces]
+
+    def symbols(self, text: str) -> np.ndarray:
+        """Of each character its piece's id, or n plus its code point if it has none."""
+        return self.symbol_of[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)]
+
+    def merge_of(self, symbols: np.ndarray, owner: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """For each place in `at` what its symbol and the next merge into; -1 where they don't."""
+        at = np.minimum(at, len(symbols) - 2)
+        one, two = symbols[at], symbols[at + 1]
+        key = np.where((one < self.n) & (two < self.n) & (owner[at] == owner[at + 1]), one * self.n + two, -1)
+        place = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[place] == key, self.wholes[place], -1)
+
+    def flat_merge(self, symbols: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The symbols of all words after all merges, and how many each word has."""
+        words, never = len(lengths), np.int64(len(self.pieces))
+        owner = np.repeat(np.arange(words), lengths)
+        whole = np.append(self.merge_of(symbols, owner, np.arange(len(symbols) - 1)), -1) if len(symbols) > 1 else np.full(len(symbols), -1)
+        rank = np.where(whole >= 0, self.ranks[whole], never)
+        out_symbols, out_owner = [], []
         while len(symbols):
-            merged = np.full(len(symbols), -1)
-            pair = (owner[1:] == owner[:-1]) & (symbols[1:] < self.n) & (symbols[:-1] < self.n)
-            at = np.flatnonzero(pair)
-            key = symbols[at] * self.n + symbols[at + 1]
-            place = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            known = self.keys[place] == key
-            merged[at[known]] = self.wholes[place[known]]
-            none = np.iinfo(np.int64).max // 2
-            # Rank first, then position: the least value of a word is its leftmost pair of least rank.
-            weight = np.where(merged >= 0, self.ranks[merged], none // len(symbols) - 1) * len(symbols) + np.arange(len(symbols))
+            # Rank first, then place: the least value of a word is its leftmost pair of least rank.
             starts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
-            least = np.minimum.reduceat(weight, starts)
-            first = least % len(symbols)
-            active = merged[first] >= 0
-            ends = np.append(starts[1:], len(symbols))
-            for i in np.flatnonzero(~active):
-                done[owner[starts[i]]] = symbols[starts[i] : ends[i]].tolist()
+            first = np.minimum.reduceat(rank * len(symbols) + np.arange(len(symbols)), starts) % len(symbols)
+            active = rank[first] < never
+            going = np.repeat(active, np.diff(np.append(starts, len(symbols))))
+            out_symbols.append(symbols[~going])
+            out_owner.append(owner[~going])
             first = first[active]
-            symbols[first] = merged[first]
-            keep = np.repeat(active, ends - starts)
-            keep[first + 1] = False
-            symbols, owner = symbols[keep], owner[keep]
-        return done
-
-    def heap_merge(self, symbols: list[int]) -> list[int]:
+            symbols[first] = whole[first]
+            going[first + 1] = False
+            now = np.cumsum(going)[first] - 1
+            symbols, owner, whole, rank = symbols[going], owner[going], whole[going], rank[going]
+            if len(symbols) < 2:
+                whole[:], rank[:] = -1, never
+                continue
+            again = np.concatenate([now, now[now > 0] - 1])
+            again = again[again < len(symbols) - 1]
+            whole[again] = self.merge_of(symbols, owner, again)
+            whole[-1] = -1
+            rank[again] = np.where(whole[again] >= 0, self.ranks[whole[again]], never)
+            rank[-1] = never
+        out_symbols, out_owner = np.concatenate(out_symbols), np.concatenate(out_owner)
+        return out_symbols[np.argsort(out_owner, kind="stable")], np.bincount(out_owner, minlength=words)
+
+    def heap_merge(self, symbols: np.ndarray) -> list[int]:
         """The same for one long word."""
         n, merges, ranks = self.n, self.merges, self.ranks
         left, right = list(range(-1, len(symbols) - 1)), [*range(1, len(symbols)), -1]
-        symbols = list(symbols)
+        symbols = symbols.tolist()
 
         def pair(i: int) -> None:
             j = right[i]
@@ -152,18 +167,33 @@ class Model:
                 out += [self.byte_id[b] for b in chr(s - self.n).encode("utf-8", "replace")]
         return out
 
-    def encode_words(self, words: list[str]) -> list[list[int]]:
-        """The ids of each word."""
-        cut = [self.parts(w) for w in words]
-        todo = [(i, self.symbols(p)) for i, ps in enumerate(cut) for p in ps]
-        out: list[list[int]] = [[] for _ in words]
-        short = [k for k, (_, s) in enumerate(todo) if len(s) <= LONG_WORD]
-        merged: dict[int, list[int]] = {}
-        for a, b in batches_of([len(todo[k][1]) for k in short], FLAT):
-            merged |= dict(zip(short[a:b], self.flat_merge([todo[k][1] for k in short[a:b]]), strict=True))
-        for k, (i, s) in enumerate(todo):
-            out[i] += self.ids(merged[k] if k in merged else self.heap_merge(s))
-        return out
+    def encode_long(self, word: str) -> list[int]:
+        return [i for part in self.parts(word) for i in self.ids(self.heap_merge(self.symbols(part)))]
+
+    def encode_words(self, words: list[str]) -> Iterator[tuple[str, int, str, str]]:
+        """Each word with its number of ids, its ids as text and its text."""
+        for word in words:
+            if len(word) > LONG_WORD:
+                yield self.told(word, self.encode_long(word))
+        short = [w for w in words if len(w) <= LONG_WORD]
+        for a, b in batches_of([len(w) for w in short], FLAT):
+            part = short[a:b]
+            symbols, counts = self.flat_merge(self.symbols("".join(part)), np.array([len(w) for w in part]))
+            ends = np.cumsum(counts)
+            odd = set(np.searchsorted(ends, np.flatnonzero(symbols >= self.n), side="right").tolist())
+            listed = symbols.tolist()
+            texts, shown = ([x[i] if i < self.n else "" for i in listed] for x in (self.as_text, self.as_words))
+            byte = set(np.searchsorted(ends, np.flatnonzero((symbols >= self.lowest_byte) & (symbols <= self.highest_byte)), side="right").tolist())
+            start = 0
+            for k, (word, end) in enumerate(zip(part, ends.tolist(), strict=True)):
+                if k in odd or k in byte:
+                    yield self.told(word, self.ids(listed[start:end]))
+                else:
+                    yield word, end - start, ",".join(texts[start:end]), "".join(shown[start:end])
+                start = end
+
+    def told(self, word: str, ids: list[int]) -> tuple[str, int, str, str]:
+        return word, len(ids), ",".join([self.as_text[i] for i in ids]), self.decode(ids)
 
     def decode(self, ids: list[int]) -> str:
         """The text of `ids`, with the space in front."""
@@ -196,28 +226,35 @@ def batches_of(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
 
 
 class Encoder:
-    """Ids and text of words; those of a bounded number of words are kept."""
+    """Words with their number of ids, ids as text and text. Those met lately are kept: when `known` is full it becomes
+    `older`, and what is then met again moves back."""
 
     def __init__(self, path: str):
-        self.model, self.known, self.held = Model(path), {}, 0
+        self.model, self.known, self.older, self.held = Model(path), {}, {}, 0
 
     def words(self, text: str) -> list[str]:
         return WORD.findall(MARK + text.replace(" ", MARK)) if text else []
 
-    def learn(self, words: set[str]) -> dict[str, tuple[list[int], str, str]]:
-        """word -> (ids, ids as text, text) for `words`."""
-        new = [w for w in words if w not in self.known]
-        if len(self.known) + len(new) > KEPT_WORDS or self.held > KEPT_CHARACTERS:
-            self.known, self.held, new = {}, 0, list(words)
-        self.held += sum(map(len, new))
-        for w, ids in zip(new, self.model.encode_words(new), strict=True):
-            self.known[w] = (ids, ",".join(map(str, ids)), self.model.decode(ids))
+    def learn(self, words: set[str]) -> dict[str, tuple[int, str, str]]:
+        """word -> (number of ids, ids as text, text), for `words` at least."""
+        if len(self.known) > KEPT_WORDS or self.held > KEPT_CHARACTERS:
+            self.known, self.older, self.held = {}, self.known, 0
+        new = []
+        for w in words.difference(self.known):
+            found = self.older.get(w)
+            if found is None:
+                new.append(w)
+            else:
+                self.known[w] = found
+            self.held += len(w)
+        for w, *found in self.model.encode_words(new):
+            self.known[w] = found
         return self.known
 
     def encode(self, text: str) -> list[int]:
         words = self.words(text)
         known = self.learn(set(words))
-        return [i for w in words for i in known[w][0]]
+        return [int(i) for w in words for i in known[w][1].split(",")]
 
     def decode(self, ids: list[int]) -> str:
         """The text of `ids` without the space in front."""
@@ -254,12 +291,12 @@ def encode_texts(docs: DataFrame, path: str, with_ids: bool = True) -> DataFrame
                 n, ids, decoded, full = [], [], [], []
                 for words in texts:
                     found = [known[w] for w in words]
-                    n.append(sum(len(x[0]) for x in found))
+                    n.append(sum([x[0] for x in found]))
                     ids.append(digest(",".join([x[1] for x in found])))
                     # Byte pieces of one character never span words, so words decode one by one.
                     decoded.append(digest("".join([x[2] for x in found])[1:]))
                     if with_ids:
-                        full.append([i for x in found for i in x[0]])
+                        full.append([int(i) for x in found for i in x[1].split(",")])
                 out = [batch.column("row"), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())]
                 out += [pa.array(full, pa.list_(pa.int32()))] * with_ids
                 yield pa.RecordBatch.from_arrays(out, names=[f.name for f in schema])

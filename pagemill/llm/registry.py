@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import embedding_dedup, language_id, minhash_dedup, mixing, sentence_pieces, sharding, token_counts, topk, url_filter
+from . import embedding_dedup, language_id, minhash_dedup, mixing, personal_data, sentence_pieces, sharding, token_counts, topk, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_cover_tree_dedup": embedding_dedup.op1_cover_tree_dedup,
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_systematic_mix": mixing.op3_systematic_mix,
     "op4_hyperdimensional_language": language_id.op4_hyperdimensional_language,
     "op5_block_top_k": topk.op5_block_top_k,
+    "op6_contextual_pii": personal_data.op6_contextual_pii,
     "op7_longest_match_counts": token_counts.op7_longest_match_counts,
     "op8_sentence_pieces": sentence_pieces.op8_sentence_pieces,
     "op9_order_minhash": minhash_dedup.op9_order_minhash,

@@ -10,10 +10,12 @@ the Jaccard similarity of the shingles with their order respected. A pair at the
 with a probability of about 1e-5.
 
 Copies (equal words) are folded first. Large groups of near copies never become all pairs: each document is first
-verified against one hub, the least document of the buckets that it shares most often; only where a bucket still holds
-more than one component, its documents outside the bucket's largest component are verified against all of the others'
-there. So every candidate pair is verified or lies within one component already, and no link between components is
-lost.
+verified against one hub, the least document of the buckets that it shares most often. Where a bucket still holds more
+than one component, its documents outside the largest one meet all others there: shingles are sent once for each
+distinct bucket, large buckets are cut into chunks, a task counts the common shingles of blocks of documents by a
+product of 0/1 matrices, and pairs that can reach the threshold and whose components still differ are aligned. So every
+candidate pair is verified or lies within one component already, no link between components is lost, and no pairs are
+written but links that join components.
 
 Defined results: a text of fewer than SHINGLE words has one shingle, all of its words; a text without words links with
 equal texts only; a null text or null id links with nothing (class_id: its own id). Rows that share an id are one
@@ -34,6 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._common import materialise, table
+from ._vectors import runs
 from .components import connected_components
 
 SHINGLE = 5
@@ -42,6 +45,9 @@ ORDER = 3
 BANDS = 16
 SEED = 20_190_707
 KEPT_WORDS = 400_000
+#: Shingles of one chunk of a bucket; documents and columns of one product.
+CHUNK_SHINGLES = 1 << 20
+GUESTS, HOSTS, COLUMNS = 256, 2_048, 8_192
 #: Shingles of a document that are hashed at a time.
 PIECE = 1 << 16
 WORDS = re.compile(r"\w+")
@@ -180,6 +186,124 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
     return both.select("a", "b", "text_a", "text_b").mapInArrow(verify, "a long, b long")
 
 
+class Held:
+    """Documents with their components and shingles."""
+
+    def __init__(self, batch: pa.RecordBatch):
+        self.ids, self.components = batch.column("id").to_numpy(), batch.column("component").to_numpy()
+        lists = batch.column("shingles")
+        self.sizes = np.asarray(lists.value_lengths(), dtype=np.int64)
+        self.flat = lists.flatten().to_numpy().view(np.uint64)
+        self.ends = np.cumsum(self.sizes)
+        self.owner = np.repeat(np.arange(len(self.ids)), self.sizes)
+
+    def shingles(self, i: int) -> np.ndarray:
+        return self.flat[self.ends[i] - self.sizes[i] : self.ends[i]]
+
+    def dense(self, columns: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(columns, self.flat), len(columns) - 1)
+        mine = columns[at] == self.flat
+        out = np.zeros((len(self.ids), len(columns)), dtype=np.float32)
+        out[self.owner[mine], at[mine]] = 1
+        return out
+
+
+def common_shingles(a: Held, b: Held) -> np.ndarray:
+    """How many shingles each document of `a` shares with each of `b`."""
+    out = np.zeros((len(a.ids), len(b.ids)), dtype=np.float32)
+    columns = np.intersect1d(a.flat, b.flat)
+    for start in range(0, len(columns), COLUMNS):
+        some = columns[start : start + COLUMNS]
+        out += a.dense(some) @ b.dense(some).T
+    return out
+
+
+class Roots(dict):
+    """Components that this chunk has joined."""
+
+    def find(self, x: int) -> int:
+        while (up := self.get(x, x)) != x:
+            self[x] = x = self.get(up, up)
+        return x
+
+
+def join_components(guests: Held, hosts: Held, roots: Roots, similarity: float) -> list[tuple[int, int]]:
+    """Verified links between documents whose components differ until then."""
+    enough = similarity / (1 + similarity) * (guests.sizes[:, None] + hosts.sizes[None, :])
+    common = common_shingles(guests, hosts)
+    near = (common >= enough - 1e-3) & (guests.components[:, None] != hosts.components[None, :])
+    out = []
+    for i in np.flatnonzero(near.any(axis=1)).tolist():
+        own = int(guests.components[i])
+        hits = np.flatnonzero(near[i])
+        for j in hits[np.argsort(-common[i, hits], kind="stable")].tolist():
+            other = int(hosts.components[j])
+            if roots.find(own) != roots.find(other) and aligned(guests.shingles(i), hosts.shingles(j), similarity):
+                roots[roots.find(own)] = roots.find(other)
+                out.append((int(guests.ids[i]), int(hosts.ids[j])))
+    return out
+
+
+def links_within(entries: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) between the components that meet in a bucket; `entries`: band, bucket, id, n, component."""
+    entries = entries.dropDuplicates(["band", "bucket", "id"])
+    components = entries.groupBy("band", "bucket", "component").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("n"), F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y"))
+    buckets = components.groupBy("band", "bucket").agg(
+        F.count(F.lit(1)).alias("parts"), F.max(F.struct("size", "component"))["component"].alias("major"),
+        F.sum("size").alias("size"), F.ceil(F.sum("n") / CHUNK_SHINGLES).cast("int").alias("chunks"), F.bit_xor("x").alias("x"), F.bit_xor("y").alias("y"),
+    ).where("parts > 1")
+    # Buckets of the same documents count once.
+    buckets = buckets.groupBy("size", "x", "y").agg(F.min(F.struct("band", "bucket", "major", "chunks")).alias("b")).select("b.*")
+    seats = entries.join(buckets, ["band", "bucket"]).withColumn("own", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int")).withColumn("minor", F.col("component") != F.col("major"))
+    # At home in one chunk; documents outside the largest component visit the others.
+    seats = seats.select("band", "bucket", "id", "component", "minor", "own", F.explode(F.when(F.col("minor"), F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(F.array("own"))).alias("chunk"))
+    seats = materialise(seats.withColumn("visits", F.col("chunk") != F.col("own")).drop("own"), "omh-seats")
+
+    def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = [labelled_shingles(words_of(t)).view(np.int64) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(lists, pa.list_(pa.int64()))], names=["id", "shingles"])
+
+    sets = texts.join(seats.select("id").distinct(), "id").select("id", "text").mapInArrow(shingle, "id long, shingles array<long>")
+    units = seats.join(sets, "id").repartition("band", "bucket", "chunk").sortWithinPartitions("band", "bucket", "chunk", "visits")
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, home, roots = None, [], Roots()
+
+        def told(guests: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+            for start in range(0, guests.num_rows, GUESTS):
+                some = Held(guests.slice(start, GUESTS))
+                links = [x for hosts in home for x in join_components(some, hosts, roots, similarity)]
+                if links:
+                    yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+        def within() -> Iterator[pa.RecordBatch]:
+            """The chunk's own documents meet; blocks so far hold batches."""
+            nonlocal home
+            batch = pa.concat_batches(home)
+            home = [Held(batch.slice(k, HOSTS)) for k in range(0, batch.num_rows, HOSTS)]
+            yield from told(batch.filter(batch.column("minor")))
+
+        open_ = False
+        for key, part in runs(batches, ["band", "bucket", "chunk", "visits"]):
+            if key[:3] != at:
+                if open_:
+                    yield from within()
+                at, home, roots, open_ = key[:3], [], Roots(), True
+            if not key[3]:
+                home.append(part)
+                continue
+            if open_:
+                if home:
+                    yield from within()
+                open_ = False
+            yield from told(part)
+        if open_:
+            yield from within()
+
+    return units.select("band", "bucket", "chunk", "visits", "id", "component", "minor", "shingles").mapInArrow(meet, "a long, b long")
+
+
 def near_duplicate_classes(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, class_id and kept of every row of `docs`; a class's id is the least id in it, and that document is kept."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
@@ -189,7 +313,8 @@ def near_duplicate_classes(docs: DataFrame, similarity: float = SIMILARITY, id_c
     members = materialise(made.join(firsts, "digest"), "omh-members")
     folded = members.where("id = first").select("id", "tkey", "n", "buckets")
     entries = folded.where("n > 0").select("id", "n", F.posexplode("buckets").alias("band", "bucket"))
-    shared = entries.groupBy("band", "bucket").agg(F.min("id").alias("hub"), F.max("id").alias("last")).where("hub <> last").drop("last")
+    shared = entries.groupBy("band", "bucket").agg(F.min(F.struct("id", "n")).alias("hub"), F.max("id").alias("last")).where("hub.id <> last")
+    shared = shared.select("band", "bucket", F.col("hub.id").alias("hub"), F.col("hub.n").alias("hub_n"))
     entries = materialise(entries.join(shared, ["band", "bucket"]), "omh-entries")
 
     # Texts of documents that share a bucket, once each.
@@ -197,21 +322,13 @@ def near_duplicate_classes(docs: DataFrame, similarity: float = SIMILARITY, id_c
     texts = plain.join(wanted.withColumnRenamed("tkey", "key"), "id").where(F.unhex(F.sha2(F.col("text").cast("binary"), 256)) == F.col("key"))
     texts = materialise(texts.select("id", "text"), "omh-texts")
 
-    hubs = entries.where("id <> hub").groupBy("id", "hub").agg(F.count(F.lit(1)).alias("times"))
+    hubs = entries.where((F.col("id") != F.col("hub")) & (F.least("n", "hub_n") >= F.greatest("n", "hub_n") * F.lit(similarity) - 1e-9)).groupBy("id", "hub").agg(F.count(F.lit(1)).alias("times"))
     hubs = hubs.groupBy("id").agg(F.max(F.struct("times", (-F.col("hub")).alias("low")))["low"].alias("low"))
     links = materialise(verified(hubs.select(F.col("id").alias("a"), (-F.col("low")).alias("b")), texts, similarity), "omh-links")
     found = connected_components(links)
 
-    # Buckets that still hold several components.
-    entries = entries.join(found, "id", "left").withColumn("component", F.coalesce("component", "id")).drop("hub")
-    open_ = entries.groupBy("band", "bucket").agg(F.min("component").alias("c"), F.max("component").alias("d")).where("c <> d").drop("c", "d")
-    entries = materialise(entries.join(open_, ["band", "bucket"]), "omh-open")
-    sizes = entries.groupBy("band", "bucket", "component").agg(F.count(F.lit(1)).alias("size"))
-    major = sizes.groupBy("band", "bucket").agg(F.max(F.struct("size", "component"))["component"].alias("major"))
-    minor = entries.join(major, ["band", "bucket"]).where("component <> major").select("band", "bucket", F.col("id").alias("x"), F.col("n").alias("nx"), F.col("component").alias("cx"))
-    rest = minor.join(entries, ["band", "bucket"]).where((F.col("cx") != F.col("component")) & (F.least("nx", "n") >= F.greatest("nx", "n") * F.lit(similarity) - 1e-9))
-    rest = rest.select(F.greatest("x", "id").alias("a"), F.least("x", "id").alias("b")).distinct()
-    rest = materialise(verified(rest, texts, similarity), "omh-rest")
+    entries = entries.join(found, "id", "left").select("band", "bucket", "id", "n", F.coalesce("component", "id").alias("component"))
+    rest = materialise(links_within(entries, texts, similarity), "omh-rest")
     if not rest.isEmpty():
         found = connected_components(found.select(F.col("id").alias("a"), F.col("component").alias("b")).where("a <> b").unionByName(rest))
 

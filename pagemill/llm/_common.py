@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+#: Rows of a batch that Python holds as objects at a time.
+SLICE = 256
 #: Rows that one task of a numbering window is meant to hold.
 ROWS_PER_BUCKET = 50_000
 
@@ -38,6 +42,13 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE) -> Iterator[pa.RecordBatch]:
+    """`batches` in parts of at most `rows` rows."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def hex_digits(rows: int) -> int:
     """Leading hex digits of a uniform hash that split `rows` rows into buckets of about ROWS_PER_BUCKET; 2 at least."""
     digits = 2

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._common import table
+from ._common import slices, table
 
 DIMENSIONS = 1024
 SAMPLE_PER_LANGUAGE = 1_000
@@ -61,9 +61,9 @@ def trigram_vectors(codes: np.ndarray) -> np.ndarray:
         if v is None:
             if len(_vectors) >= KEPT_TRIGRAMS:
                 _vectors.clear()
-            v = _vectors[code] = np.roll(signs(code >> 42), 2) * np.roll(signs(code >> 21 & 0x1FFFFF), 1) * signs(code & 0x1FFFFF)
+            v = _vectors[code] = (np.roll(signs(code >> 42), 2) * np.roll(signs(code >> 21 & 0x1FFFFF), 1) * signs(code & 0x1FFFFF)).astype(np.int8)
         rows.append(v)
-    return np.array(rows, dtype=np.float32).reshape(-1, DIMENSIONS)
+    return np.array(rows, dtype=np.int8).reshape(-1, DIMENSIONS).astype(np.float32)
 
 
 def trigrams(text: str) -> np.ndarray:
@@ -106,8 +106,8 @@ def document_vectors(texts: list[str | None]) -> np.ndarray:
             flat = np.concatenate([at[offsets[i] : offsets[i + 1]] + (place[owners[i]] - start) * len(known) for i in mine])
             counts = np.bincount(flat, minlength=len(part) * len(known)).reshape(len(part), len(known)).astype(np.float32)
             used = np.flatnonzero(counts.any(axis=0))
-            for block in range(0, len(used), 4096):
-                some = used[block : block + 4096]
+            for block in range(0, len(used), 2048):
+                some = used[block : block + 2048]
                 out[part] += counts[:, some] @ trigram_vectors(known[some])
 
     for i, text in enumerate(texts):
@@ -138,7 +138,7 @@ def language_prototypes(labelled: DataFrame, per_language: int = SAMPLE_PER_LANG
 
     def bundles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
-        for batch in batches:
+        for batch in slices(batches):
             vectors = document_vectors(batch.column("text").to_pylist()).astype(np.int64)
             for lang, v in zip(batch.column("lang").to_pylist(), vectors, strict=True):
                 sums[lang] = sums.get(lang, 0) + v
@@ -161,7 +161,7 @@ def identify(docs: DataFrame, prototypes: dict[str, np.ndarray]) -> DataFrame:
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
-        for batch in batches:
+        for batch in slices(batches):
             v = document_vectors(batch.column("text").to_pylist()).astype(np.float64)
             norms = np.sqrt(np.einsum("ij,ij->i", v, v))
             if len(names):

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import materialise, table
+from ._common import materialise, slices, table
 from ._vectors import runs
 from .components import connected_components
 
@@ -44,10 +44,10 @@ SIMILARITY = 0.8
 ORDER = 3
 BANDS = 16
 SEED = 20_190_707
-KEPT_WORDS = 400_000
+KEPT_WORDS = 100_000
 #: Shingles of one chunk of a bucket; documents and columns of one product.
 CHUNK_SHINGLES = 1 << 20
-GUESTS, HOSTS, COLUMNS = 256, 2_048, 8_192
+GUESTS, HOSTS, COLUMNS = 256, 2_048, 2_048
 #: Shingles of a document that are hashed at a time.
 PIECE = 1 << 16
 WORDS = re.compile(r"\w+")
@@ -68,6 +68,14 @@ class WordHashes(dict):
 _hashes = WordHashes()
 
 
+def fresh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Slices of `batches`; the words that a task has met are dropped with the task."""
+    try:
+        yield from slices(batches)
+    finally:
+        _hashes.clear()
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """The finaliser of SplitMix64."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -147,7 +155,7 @@ def sketches(docs: DataFrame) -> DataFrame:
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         factors = band_factors()
-        for batch in batches:
+        for batch in fresh(batches):
             digests, counts, buckets = [], [], []
             for text in batch.column("text").to_pylist():
                 words = words_of(text)
@@ -179,7 +187,7 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
                 lately.popitem(last=False)
             return found
 
-        for batch in batches:
+        for batch in fresh(batches):
             keep = [aligned(labelled_shingles(words_of(x)), shingles(y), similarity) for x, y in zip(batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(pa.array(keep, pa.bool_())), batch.column("b").filter(pa.array(keep, pa.bool_()))], names=["a", "b"])
 
@@ -260,7 +268,7 @@ def links_within(entries: DataFrame, texts: DataFrame, similarity: float) -> Dat
     seats = materialise(seats.withColumn("visits", F.col("chunk") != F.col("own")).drop("own"), "omh-seats")
 
     def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in fresh(batches):
             lists = [labelled_shingles(words_of(t)).view(np.int64) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(lists, pa.list_(pa.int64()))], names=["id", "shingles"])
 

@@ -1,7 +1,7 @@
 """Operator 8: SentencePiece BPE encoding and decoding by vectorised merge rounds.
 
 A text gets the word mark for each space and one in front, and is cut into words where a mark follows anything else:
-no piece spans such a place (checked when the model is read), so words merge independently. The words that a worker
+no piece spans such a place (checked when the model is read), so words merge independently. The words that a task
 hasn't met lately are encoded together: one flat array of symbols, the rank of each adjacent pair, the least rank of
 each word by a segmented minimum, and the leftmost pair of that rank merged in all words at once; then the array is
 compacted, finished words leave, and the next round follows until no pair remains. One merge a word and round keeps the
@@ -33,9 +33,9 @@ from ._common import table
 from .token_counts import MARK, public_path
 
 LONG_WORD = 256
-#: Words, and characters of them, that one worker keeps from batch to batch.
-KEPT_WORDS = 200_000
-KEPT_CHARACTERS = 1 << 24
+#: Words, and characters of them, that a task keeps from batch to batch.
+KEPT_WORDS = 100_000
+KEPT_CHARACTERS = 1 << 22
 #: Characters that are encoded in one flat array.
 FLAT = 1 << 18
 WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
@@ -229,8 +229,8 @@ class Encoder:
     """Words with their number of ids, ids as text and text. Those met lately are kept: when `known` is full it becomes
     `older`, and what is then met again moves back."""
 
-    def __init__(self, path: str):
-        self.model, self.known, self.older, self.held = Model(path), {}, {}, 0
+    def __init__(self, model: Model):
+        self.model, self.known, self.older, self.held = model, {}, {}, 0
 
     def words(self, text: str) -> list[str]:
         return WORD.findall(MARK + text.replace(" ", MARK)) if text else []
@@ -247,8 +247,8 @@ class Encoder:
             else:
                 self.known[w] = found
             self.held += len(w)
-        for w, *found in self.model.encode_words(new):
-            self.known[w] = found
+        for w, n, ids, shown in self.model.encode_words(new):
+            self.known[w] = (n, ids, shown)
         return self.known
 
     def encode(self, text: str) -> list[int]:
@@ -262,13 +262,14 @@ class Encoder:
         return out[1:] if out.startswith(" ") else out
 
 
-_encoders: dict[str, Encoder] = {}
+_models: dict[str, Model] = {}
 
 
 def encoder(path: str) -> Encoder:
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    """An encoder that has met no words yet; a worker reads each model once, and drops a task's words with the task."""
+    if path not in _models:
+        _models[path] = Model(path)
+    return Encoder(_models[path])
 
 
 def encode_texts(docs: DataFrame, path: str, with_ids: bool = True) -> DataFrame:

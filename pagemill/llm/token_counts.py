@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import table
+from ._common import slices, table
 
 MARK = "▁"
 KEPT_WORDS = 200_000
@@ -126,7 +126,7 @@ def count_pieces(docs: DataFrame, path: str) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = word_counts(path)
-        for batch in batches:
+        for batch in slices(batches):
             words, found = [], []
             for text in batch.column("text").to_pylist():
                 parts = text.split() if text else []

@@ -151,6 +151,31 @@ def task_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tasks.groupBy("status").agg(F.count(F.lit(1)).alias("n"), F.sum("failures").alias("failures"))
 
 
+TASK_SQL = """
+e AS (
+  SELECT user_id AS key, ts, event_id AS seq, CASE event_type WHEN 'error' THEN 'fail' WHEN 'purchase' THEN 'done' WHEN 'signup' THEN 'retry' WHEN 'click' THEN 'begin' ELSE 'over_limit' END AS event FROM events),
+s AS (SELECT *, SUM(CAST(event = 'retry' AS INT)) OVER (PARTITION BY key ORDER BY ts, seq) AS seg FROM e),
+g AS (SELECT *, SUM(CAST(event = 'done' AS INT)) OVER (PARTITION BY key, seg ORDER BY ts, seq) AS dg FROM s),
+f AS (SELECT *, SUM(CAST(event IN ('fail', 'over_limit') AS INT)) OVER (PARTITION BY key, seg, dg ORDER BY ts, seq) AS fc FROM g),
+r AS (
+  SELECT key, seg, COUNT(*) AS n, arg_max(event, (ts, seq)) AS last, arg_max(fc, (ts, seq)) AS last_fc,
+    arg_min(fc, (ts, seq)) FILTER (event = 'over_limit' OR (event = 'fail' AND fc >= 2)) AS cut
+  FROM f GROUP BY key, seg),
+p AS (
+  SELECT *, n = 1 AND last = 'retry' AS stays,
+    CASE WHEN cut IS NOT NULL THEN 'deferred' WHEN last = 'begin' THEN 'running' WHEN last = 'done' THEN 'done' ELSE 'pending' END AS st FROM r),
+z AS (
+  SELECT key, arg_max(stays, seg) AS stays, arg_max(st, seg) AS st, arg_max(COALESCE(cut, CASE WHEN stays THEN 0 ELSE last_fc END), seg) AS fc,
+    arg_max(st, seg) FILTER (NOT stays) AS before FROM p GROUP BY key),
+t AS (SELECT key, CASE WHEN stays AND before = 'done' THEN 'done' ELSE st END AS status, CAST(fc AS BIGINT) AS failures FROM z)
+"""
+STATUS_SQL = """
+, u AS (SELECT key, CASE WHEN status <> 'running' THEN status WHEN failures + 1 >= 2 THEN 'deferred' ELSE 'pending' END AS status, failures + CAST(status = 'running' AS BIGINT) AS failures FROM t),
+w AS (SELECT CASE WHEN key % 3 = 0 AND status <> 'done' THEN 'pending' ELSE status END AS status, CASE WHEN key % 3 = 0 AND status <> 'done' THEN 0 ELSE failures END AS failures FROM u)
+SELECT status, COUNT(*) AS n, CAST(SUM(failures) AS BIGINT) AS failures FROM w GROUP BY status
+"""
+
+
 def next_slot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The next 18:00 at UTC+8 after each event."""
     return _table(spark, sf_dir, "events").select("event_id", schedule.next_slot(F.col("ts"), 18, 0, 8).alias("slot"))
@@ -191,6 +216,8 @@ SQL = {
     "reject_split": REJECT_SQL,
     "resolve_sites": RESOLVE_SQL,
     "frontier": FRONTIER_SQL,
+    "task_fold": f"WITH {TASK_SQL} SELECT key, status, failures FROM t",
+    "task_status": f"WITH {TASK_SQL} {STATUS_SQL}",
     "next_slot": NEXT_SQL,
     "decode_bytes": "SELECT doc_id, md5(text) AS digest FROM documents",
 }

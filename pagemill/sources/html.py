@@ -9,6 +9,7 @@ from __future__ import annotations
 import codecs
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 from html.parser import HTMLParser
 from urllib.parse import urljoin
 
@@ -137,17 +138,33 @@ _SIMPLE = re.compile(r"([A-Za-z][\w-]*)?((?:[.#][\w-]+|\[class\*='[^']*'\])*)")
 _PART = re.compile(r"\.([\w-]+)|#([\w-]+)|\[class\*='([^']*)'\]")
 
 
-def _matches(node: Node, simple: str) -> bool:
-    tag, rest = _SIMPLE.fullmatch(simple).groups()
-    if tag and node.tag != tag.lower():
+@lru_cache(maxsize=256)
+def _compiled(selector: str) -> tuple[tuple[tuple, ...], ...]:
+    """For each alternative its compounds from left to right: (tag, classes, ids, parts of the class attribute)."""
+
+    def compound(simple: str) -> tuple:
+        tag, rest = _SIMPLE.fullmatch(simple).groups()
+        parts = _PART.findall(rest)
+        return (tag or "").lower(), tuple(c for c, _, _ in parts if c), tuple(i for _, i, _ in parts if i), tuple(k for _, _, k in parts if k)
+
+    return tuple(tuple(compound(x) for x in part.split()) for part in selector.split(","))
+
+
+def _matches(node: Node, compound: tuple) -> bool:
+    tag, classes, ids, inside = compound
+    if tag and node.tag != tag:
         return False
-    classes = node.attrs.get("class", "")
-    return all((not c or c in classes.split()) and (not i or node.attrs.get("id") == i) and (not k or k in classes) for c, i, k in _PART.findall(rest))
+    if not (classes or ids or inside):
+        return True
+    if not node.attrs:
+        return False
+    own = node.attrs.get("class", "")
+    return all(c in own.split() for c in classes) and all(node.attrs.get("id") == i for i in ids) and all(k in own for k in inside)
 
 
 def select(root: Node, selector: str) -> Iterator[Node]:
     """Nodes below `root` that match `tag`, `.class`, `#id`, `[class*='x']`, their compounds, descendants and lists."""
-    chains = [part.split() for part in selector.split(",")]
+    chains = _compiled(selector)
     for node in root.elements():
         for chain in chains:
             if _matches(node, chain[-1]):
@@ -243,8 +260,14 @@ def numbers_of(root: Node) -> tuple[str | None, str | None]:
     """H7 and H8: (docNumber, indexNumber); texts of scripts and styles don't count."""
     doc = index = None
     labelled = False
-    for x in root.walk():
-        if not isinstance(x, str) or not x.strip():
+    stack: list = list(reversed(root.children))
+    while stack:
+        x = stack.pop()
+        if isinstance(x, Node):
+            if x.tag not in ("script", "style"):
+                stack.extend(reversed(x.children))
+            continue
+        if not x.strip():
             continue
         if doc is None and (m := DOC_NUMBER.search(x.strip())):
             doc = m[0]

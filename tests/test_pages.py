@@ -76,6 +76,10 @@ def test_title_time_source_images():
     assert H.images_of(H.parse(imgs), "https://a.test/") == [f"https://a.test/{i}.jpg?x" for i in range(5)]
 
 
+def test_numbers_skip_scripts():
+    assert H.numbers_of(H.parse("<script>〔2020〕1号 索引号：abcde</script><p>国发〔2024〕15号</p>")) == ("〔2024〕15号", None)
+
+
 def test_links(spark):
     html = '<a href="/20260917/article.html">完整文章标题链接</a><a href="https://evil.test/20260917/a.html">x</a><a href="/a.pdf">pdf</a><a href="javascript:x">j</a><a href="#t">t</a><a href="/20260917/article.html?q=1#f">noch</a>'
     rows = P.links(spark.createDataFrame([(1, "https://test.invalid/index", html)], "page_id long, url string, html string")).collect()

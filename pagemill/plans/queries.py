@@ -35,8 +35,8 @@ c AS (
   SELECT page_id, regexp_replace(t, '( ?' || chr(1) || ' ?)+$|^( ?' || chr(1) || ' ?)+', '', 'g') AS t, h1 FROM b),
 d AS (
   SELECT page_id,
-    trim(replace(replace(replace(replace(regexp_replace(t, chr(1) || '( ?' || chr(1) || ')*', chr(10), 'g'), '&copy;', '©'), '&middot;', '·'), '&quot;', '"'), '&amp;', '&'), ' ' || chr(10)) AS content,
-    replace(replace(replace(replace(h1, '&copy;', '©'), '&middot;', '·'), '&quot;', '"'), '&amp;', '&') AS title
+    trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(t, chr(1) || '( ?' || chr(1) || ')*', chr(10), 'g'), '&copy;?', '©', 'g'), '&middot;?', '·', 'g'), '&quot;?', '"', 'g'), '&amp;?', '&', 'g'), ' ' || chr(10)) AS content,
+    regexp_replace(regexp_replace(regexp_replace(regexp_replace(h1, '&copy;?', '©', 'g'), '&middot;?', '·', 'g'), '&quot;?', '"', 'g'), '&amp;?', '&', 'g') AS title
   FROM c)
 SELECT page_id, title, content, CASE WHEN length(content) < 30 THEN 'short body' END AS reject FROM d
 """

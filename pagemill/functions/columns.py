@@ -18,6 +18,7 @@ INDEX_VALUE = r"[0-9A-Za-z][0-9A-Za-z._/-]{3,}"
 PUBLISH_TIME = r"\d{4}[年\-/]\d{1,2}[月\-/]\d{1,2}(\s+\d{1,2}:\d{2}(:\d{2})?)?"
 SOURCE_LABEL = r"^(来源|稿源|出处|作者)[:：\s]*"
 GBK_HOSTS = ("cnr.cn", "youth.cn")
+PAGE_TYPES = ("", "text/html", "application/xhtml+xml", "text/plain")
 
 SPACE = r"[\s\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
@@ -99,6 +100,11 @@ def encoding_hint(u: Column) -> Column:
     return F.when(u.rlike("|".join(h.replace(".", r"\.") for h in GBK_HOSTS)), "gbk").otherwise("utf-8")
 
 
+def is_page_type(content_type: Column) -> Column:
+    """The media type, without parameters, is one of pages; null and empty count as such."""
+    return F.lower(stripped(F.substring_index(F.coalesce(content_type, F.lit("")), ";", 1))).isin(*PAGE_TYPES)
+
+
 def usable_href(href: Column) -> Column:
     """The stripped reference, null if it leads nowhere."""
     h = stripped(href)
@@ -136,3 +142,18 @@ def index_number(c: Column) -> Column:
     rest = F.regexp_extract(flat, f"{INDEX_LABEL}[:：]*(.*)", 1)
     found = F.regexp_extract(rest, f"^({INDEX_VALUE})", 1)
     return F.when(found != "", found)
+
+
+def day_stamp(as_of: Column) -> Column:
+    """The day of `as_of`, the publishing time of articles that show none."""
+    return F.date_format(as_of, "yyyy-MM-dd")
+
+
+def second_stamp(as_of: Column) -> Column:
+    """`as_of` to the second, the time of reading."""
+    return F.date_format(as_of, "yyyy-MM-dd HH:mm:ss")
+
+
+def compact_json(*fields: Column | str) -> Column:
+    """An object of `fields` in their order, without spaces; nulls are written, letters are not escaped."""
+    return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
@@ -156,7 +156,48 @@ def retried(tasks: DataFrame, key: Column) -> DataFrame:
     return tasks.withColumns({"failures": F.when(hit, 0).otherwise(F.col("failures")).cast("long"), "status": F.when(hit, "pending").otherwise(F.col("status"))})
 
 
-def write_articles(articles: DataFrame, path: str) -> None:
+def write_articles(articles: DataFrame, path: str, mode: str = "append") -> None:
     """K1: JSON lines under category, site and channel, with all 13 fields, nulls included."""
     named = articles.withColumns({"p_category": C.path_part(F.col("category")), "p_site": F.replace(C.path_part(F.col("siteName")), F.lit("\n"), F.lit("")), "p_channel": F.col("channel")})
-    named.write.mode("append").partitionBy("p_category", "p_site", "p_channel").option("ignoreNullFields", "false").json(path)
+    named.write.mode(mode).partitionBy("p_category", "p_site", "p_channel").option("ignoreNullFields", "false").json(path)
+
+
+def stamped(articles: DataFrame, as_of: Column) -> DataFrame:
+    """publishTime where there is none, and crawledAt, from `as_of`."""
+    return articles.withColumns({"publishTime": C.first_filled(F.col("publishTime"), C.day_stamp(as_of)), "crawledAt": C.second_stamp(as_of)})
+
+
+def pages_only(landed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(pages, others) of `landed` (mime and others); others have reject_reason."""
+    fits = C.is_page_type(F.col("mime"))
+    return landed.where(fits), landed.where(~fits).withColumn("reject_reason", F.concat(F.lit("not a page: "), "mime"))
+
+
+def article_counts(articles: DataFrame) -> DataFrame:
+    """A5: articles by category, site and channel, with subtotals; `level` is the number of columns that a row sums over."""
+    counted = articles.rollup("category", "siteName", "channel").agg(F.count(F.lit(1)).alias("n_articles"), F.grouping_id().alias("gid"))
+    return counted.select("category", "siteName", "channel", F.bit_count("gid").alias("level"), "n_articles")
+
+
+def read_visited(spark: SparkSession, path: str) -> DataFrame:
+    """The URLs under `path`, one a line, stripped, without blank lines and repeats."""
+    lines = spark.read.option("recursiveFileLookup", "true").text(path)
+    return lines.select(C.stripped(F.col("value")).alias("url")).where("url <> ''").distinct()
+
+
+def land_batch(articles: DataFrame, batch_id: int, articles_path: str, visited_path: str) -> None:
+    """K1, K2: a batch of articles and then its URLs, for `foreachBatch`.
+
+    Each batch has folders of its own that a repetition overwrites, so a batch that broke off between the two writes
+    leaves no article twice. The URLs come from the articles that were written, and only after them.
+    """
+    here = f"{articles_path}/batch={batch_id}"
+    write_articles(first_seen(articles, "url", ["title", "content"]).select(*articles.columns), here, "overwrite")
+    written = articles.sparkSession.read.schema("url string").json(here)
+    written.select("url").distinct().write.mode("overwrite").text(f"{visited_path}/batch={batch_id}")
+
+
+def observed(df: DataFrame, name: str, *columns: str) -> tuple[DataFrame, Observation]:
+    """K6: `df` with metrics of its next run: its rows, and the nulls of `columns`."""
+    seen = Observation(name)
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in columns]), seen

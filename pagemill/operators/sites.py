@@ -6,7 +6,8 @@ PROVINCE; `channels` has (name, channel, url, ord).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
@@ -19,6 +20,26 @@ COUNTY_NAME = "[一-龥]{2,6}(县|区|市)"
 EXACT = (("GOV", "GOV_DIRECT", True), ("LOCAL", "LOCAL_PAPER_DIRECT", True), ("MINISTRY", "MINISTRY_DIRECT", False), ("LOCAL_SPECIFIC", "LOCAL_DIRECT", False), ("COUNTY", "COUNTY_GOV_DIRECT", False))
 
 
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of a JSON array with their order `ord`; a missing file has none."""
+    try:
+        rows = spark.read.schema(MANIFEST).option("multiLine", True).json(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        rows = spark.createDataFrame([], MANIFEST)
+    return rows.withColumn("ord", F.monotonically_increasing_id())
+
+
+def checked_manifest(manifest: DataFrame) -> DataFrame:
+    """`manifest`, or ValueError if it is empty or a row lacks its name or category."""
+    lacks = (F.coalesce("name", F.lit("")) == "") | (F.coalesce("category", F.lit("")) == "")
+    n, odd = manifest.agg(F.count(F.lit(1)), F.count(F.when(lacks, 1))).first()
+    if not n or odd:
+        raise ValueError(f"{odd} of {n} manifest rows lack a name or a category" if n else "the manifest is empty")
+    return manifest
+
+
 def build_sites(manifest: DataFrame) -> DataFrame:
     """One row for each name: the last row's values at the first row's place. `manifest` has ord."""
     rest = [c for c in manifest.columns if c not in ("name", "ord")]
@@ -81,3 +102,9 @@ def by_name(sites: DataFrame, name: str) -> DataFrame:
 def category_counts(sites: DataFrame) -> DataFrame:
     """A1, A2"""
     return sites.groupBy("category").agg(F.count(F.lit(1)).alias("n_sites"))
+
+
+def site_listing(sites: DataFrame) -> DataFrame:
+    """A3: a line `name (home_url)` for each site, and the size of its category. Sites without a category aren't listed."""
+    named = sites.select("category", "name", F.concat("name", F.lit(" ("), F.coalesce("home_url", F.lit("")), F.lit(")")).alias("line"))
+    return named.join(category_counts(sites), "category")

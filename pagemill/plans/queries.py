@@ -9,6 +9,7 @@ from ..functions import columns as C
 from ..operators import pages as P
 from ..operators import sites as S
 from ..streaming import schedule
+from . import task_queries
 
 #: Which user event stands for which task event in the lifecycle queries.
 TASK_EVENTS = {"error": "fail", "purchase": "done", "signup": "retry", "click": "begin", "view": "over_limit"}
@@ -207,6 +208,7 @@ QUERIES = {
     "task_status": task_status,
     "next_slot": next_slot,
     "decode_bytes": decode_bytes,
+    **task_queries.QUERIES,
 }
 
 SQL = {
@@ -220,4 +222,5 @@ SQL = {
     "task_status": f"WITH {TASK_SQL} {STATUS_SQL}",
     "next_slot": NEXT_SQL,
     "decode_bytes": "SELECT doc_id, md5(text) AS digest FROM documents",
+    **task_queries.SQL,
 }

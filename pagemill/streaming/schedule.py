@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import fcntl
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
+from pathlib import Path
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -41,6 +44,32 @@ class Rounds:
         return not self.running and self.completed >= self.wanted
 
 
+class Busy(RuntimeError):
+    """Another process holds the lock."""
+
+
+@contextmanager
+def driver_lock(path: str) -> Iterator[None]:
+    """One driver at a time. The system frees the lock when its holder ends; the file itself means nothing."""
+    file = Path(path)
+    file.parent.mkdir(parents=True, exist_ok=True)
+    with file.open("ab") as held:
+        try:
+            fcntl.flock(held, fcntl.LOCK_EX | fcntl.LOCK_NB)
+        except BlockingIOError:
+            raise Busy(path) from None
+        yield
+
+
+def run_locked(path: str, run: Callable[[], int]) -> int:
+    """The exit code of `run`, or BUSY if another driver is at it."""
+    try:
+        with driver_lock(path):
+            return run()
+    except Busy:
+        return BUSY
+
+
 def step(status: str, failures: int, event: str, max_failures: int = 2) -> tuple[str, int]:
     """One event of a task's lifecycle."""
     if event == "retry":

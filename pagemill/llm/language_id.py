@@ -26,6 +26,8 @@ from ._common import slices, table
 
 DIMENSIONS = 1024
 SAMPLE_PER_LANGUAGE = 1_000
+#: Most bits of the hash that tell apart the bins of a language.
+BIN_BITS = 16
 PIECE = 1 << 20
 #: Trigrams whose vectors one worker keeps; they are rebuilt from the letters when more are needed.
 KEPT_TRIGRAMS = 20_000
@@ -131,9 +133,16 @@ def split(doc_id: Column) -> Column:
 
 def language_prototypes(labelled: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> dict[str, np.ndarray]:
     """Unit prototypes by language from `labelled` (doc_id, text, lang); a bounded sample is read."""
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = labelled.select("doc_id", "lang").where("lang is not null and doc_id is not null").distinct()
-    chosen = chosen.withColumn("n", F.row_number().over(first)).where(F.col("n") <= per_language).drop("n")
+    rows = labelled.select("doc_id", "lang").where("lang is not null and doc_id is not null").distinct().withColumn("h", F.xxhash64("doc_id"))
+    # Bins of neighbouring hashes are counted, and only those that the sample needs are ranked.
+    bits = min(BIN_BITS, max(4, (4 * rows.count() // per_language).bit_length()))
+    rows = rows.withColumn("bin", F.shiftright("h", 64 - bits))
+    before = Window.partitionBy("lang").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    bins = rows.groupBy("lang", "bin").agg(F.count(F.lit(1)).alias("n")).withColumn("n", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    needed = bins.where(F.col("n") < per_language).groupBy("lang").agg(F.max("bin").alias("last"))
+    first = Window.partitionBy("lang").orderBy("h", "doc_id")
+    # One row for each language, as the prototypes that are broadcast later.
+    chosen = rows.join(F.broadcast(needed), "lang").where("bin <= last").withColumn("n", F.row_number().over(first)).where(F.col("n") <= per_language).select("doc_id", "lang")
     sample = labelled.select("doc_id", "lang", "text").join(chosen, ["doc_id", "lang"], "left_semi").select("lang", "text")
 
     def bundles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -25,9 +25,7 @@ document. Extra columns are ignored. An empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
-import re
 from bisect import bisect_left
-from collections import OrderedDict
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,36 +42,36 @@ SIMILARITY = 0.8
 ORDER = 3
 BANDS = 16
 SEED = 20_190_707
-KEPT_WORDS = 100_000
 #: Shingles of one chunk of a bucket; documents and columns of one product.
 CHUNK_SHINGLES = 1 << 20
 GUESTS, HOSTS, COLUMNS = 256, 2_048, 2_048
-#: Shingles of a document that are hashed at a time.
+#: Shingles of a document, and characters of words, that are hashed at a time.
 PIECE = 1 << 16
-WORDS = re.compile(r"\w+")
+#: Characters of the texts that are taken together.
+PORTION = 1 << 20
+GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
+_in_words: np.ndarray | None = None
 
-class WordHashes(dict):
-    """64-bit hashes by word, made when asked for."""
 
-    def __missing__(self, word: str) -> int:
-        if len(self) >= KEPT_WORDS:
-            self.clear()
-        found = int.from_bytes(hashlib.blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
-        if len(word) <= 64:
-            self[word] = found
-        return found
+def in_words() -> np.ndarray:
+    """For each code point whether it is a letter, digit or underscore."""
+    global _in_words
+    if _in_words is None:
+        _in_words = np.array([chr(c).isalnum() or c == 0x5F for c in range(0x110000)])
+    return _in_words
 
 
-_hashes = WordHashes()
-
-
-def fresh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Slices of `batches`; the words that a task has met are dropped with the task."""
-    try:
-        yield from slices(batches)
-    finally:
-        _hashes.clear()
+def portions(texts: list[str]) -> Iterator[slice]:
+    """Ranges of `texts` of at most PORTION characters, or of one text."""
+    start = held = 0
+    for i, text in enumerate(texts):
+        if held and held + len(text) > PORTION:
+            yield slice(start, i)
+            start, held = i, 0
+        held += len(text) + 1
+    if texts:
+        yield slice(start, len(texts))
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -83,11 +81,51 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def labelled_shingles(words: list[str], size: int = SHINGLE) -> np.ndarray:
-    """Hashes of the document's shingles in text order; the same shingle's occurrences differ."""
-    if not words:
+def word_hashes(texts: list[str]) -> tuple[list[np.ndarray], list[bytes]]:
+    """The hashes of each text's words in text order, and a digest that texts of equal words share.
+
+    A word's hash is the sum of its characters' hashes at their places, mixed with its length.
+    """
+    lowered = [t.lower() for t in texts]
+    points = np.frombuffer("\n".join([*lowered, ""]).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    inside = in_words()[points]
+    first = np.flatnonzero(inside & ~np.concatenate([[False], inside[:-1]]))
+    # Every word has a character behind it, as each text is followed by a line end.
+    behind = ~inside & np.concatenate([[False], inside[:-1]])
+    sizes = np.flatnonzero(behind) - first
+    hashes, ends, at = np.zeros(len(first), dtype=np.uint64), np.cumsum(sizes), 0
+    while at < len(first):
+        to = max(at + 1, int(np.searchsorted(ends, ends[at] - sizes[at] + PIECE, side="right")))
+        n = sizes[at:to]
+        begin = np.cumsum(n) - n
+        place = np.arange(n.sum()) - np.repeat(begin, n)
+        codes = points[np.repeat(first[at:to], n) + place].astype(np.uint64)
+        hashes[at:to] = np.add.reduceat(mixed(codes + (place.astype(np.uint64) + np.uint64(1)) * GOLDEN), begin)
+        at = to
+    hashes = mixed(hashes + sizes.astype(np.uint64))
+    stops = np.cumsum([len(t) + 1 for t in lowered]).tolist()
+    words = np.searchsorted(first, stops).tolist()
+    shown, kept = np.where(inside, points, np.uint32(0x20)), inside | behind
+    out, digests, start, word = [], [], 0, 0
+    for text, stop, last in zip(texts, stops, words, strict=True):
+        if last > word:
+            digest = hashlib.blake2b(shown[start:stop][kept[start:stop]].tobytes(), digest_size=16)
+        else:
+            digest = hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16, person=b"no words")
+        out.append(hashes[word:last])
+        digests.append(digest.digest())
+        start, word = stop, last
+    return out, digests
+
+
+def shingles_of(texts: list[str]) -> list[np.ndarray]:
+    return [labelled_shingles(h) for h in word_hashes(texts)[0]]
+
+
+def labelled_shingles(hashes: np.ndarray, size: int = SHINGLE) -> np.ndarray:
+    """Hashes of the shingles of words with these `hashes`, in text order; the same shingle's occurrences differ."""
+    if not len(hashes):
         return np.zeros(0, dtype=np.uint64)
-    hashes = np.array([_hashes[w] for w in words], dtype=np.uint64)
     n = max(1, len(hashes) - size + 1)
     out = hashes[:n].copy() if len(hashes) >= size else np.array([len(hashes)], dtype=np.uint64)
     for k in range(1 if len(hashes) >= size else 0, min(size, len(hashes))):
@@ -100,7 +138,7 @@ def labelled_shingles(words: list[str], size: int = SHINGLE) -> np.ndarray:
         occurrence = at - np.maximum.accumulate(np.where(same, 0, at))
         label = np.zeros(n, dtype=np.uint64)
         label[order] = occurrence.astype(np.uint64)
-        out = mixed(out + label * np.uint64(0x9E3779B97F4A7C15))
+        out = mixed(out + label * GOLDEN)
     return out
 
 
@@ -125,6 +163,35 @@ def order_minhash(shingles: np.ndarray, factors: np.ndarray, order: int = ORDER)
     return bucket
 
 
+def bucket_lists(shingles: list[np.ndarray], factors: np.ndarray, order: int = ORDER) -> list[np.ndarray]:
+    """`order_minhash` of each document, none for those without shingles; documents of middling length go together."""
+    out = [np.zeros(0, dtype=np.uint64)] * len(shingles)
+    together = [i for i, x in enumerate(shingles) if order < len(x) <= PIECE]
+    made = np.zeros((len(together), len(factors)), dtype=np.uint64)
+    if together:
+        flat, sizes = np.concatenate([shingles[i] for i in together]), np.array([len(shingles[i]) for i in together])
+        begin = np.cumsum(sizes) - sizes
+    for band, factor in enumerate(factors if together else ()):
+        values, least = flat * factor, []
+        for _ in range(order):
+            at = np.flatnonzero(values == np.repeat(np.minimum.reduceat(values, begin), sizes))
+            values[at] = np.uint64(2**64 - 1)
+            least.append(at)
+        if any(len(at) != len(together) for at in least):  # two shingles of a document have one hash
+            together = []
+            break
+        bucket = np.full(len(together), band, dtype=np.uint64)
+        for at in np.sort(np.stack(least), axis=0):
+            bucket = mixed(bucket + flat[at])
+        made[:, band] = bucket
+    for i, buckets in zip(together, made, strict=False):
+        out[i] = buckets
+    for i in set(range(len(shingles))).difference(together):
+        if len(shingles[i]):
+            out[i] = order_minhash(shingles[i], factors, order)
+    return out
+
+
 def aligned(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> bool:
     """Whether the banded alignment of two labelled shingle sequences reaches `similarity`."""
     total = len(a) + len(b)
@@ -145,25 +212,21 @@ def aligned(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> boo
     return len(tails) >= enough
 
 
-def words_of(text: str) -> list[str]:
-    return WORDS.findall(text.lower())
-
-
 def sketches(docs: DataFrame) -> DataFrame:
     """`docs` (id, text), both not null: id, tkey (of the text), digest (of the words), n shingles and buckets."""
     packed = docs.select("id", F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("tkey"), "text")
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         factors = band_factors()
-        for batch in fresh(batches):
+        for batch in slices(batches):
             digests, counts, buckets = [], [], []
-            for text in batch.column("text").to_pylist():
-                words = words_of(text)
-                shown = " ".join(words) if words else "\n" + text
-                digests.append(hashlib.blake2b(shown.encode("utf-8", "surrogatepass"), digest_size=16).digest())
-                shingles = labelled_shingles(words)
-                counts.append(len(shingles))
-                buckets.append(order_minhash(shingles, factors).view(np.int64) if len(shingles) else np.zeros(0, dtype=np.int64))
+            texts = batch.column("text").to_pylist()
+            for some in portions(texts):
+                hashes, shown = word_hashes(texts[some])
+                shingles = [labelled_shingles(h) for h in hashes]
+                digests += shown
+                counts += [len(x) for x in shingles]
+                buckets += [x.view(np.int64) for x in bucket_lists(shingles, factors)]
             out = [batch.column("id"), batch.column("tkey"), pa.array(digests, pa.binary()), pa.array(counts, pa.int64()), pa.array(buckets, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(out, names=["id", "tkey", "digest", "n", "buckets"])
 
@@ -176,19 +239,12 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
     both = both.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lately: OrderedDict[str, np.ndarray] = OrderedDict()
-
-        def shingles(text: str) -> np.ndarray:
-            found = lately.pop(text, None)
-            if found is None:
-                found = labelled_shingles(words_of(text))
-            lately[text] = found
-            if len(lately) > 4:
-                lately.popitem(last=False)
-            return found
-
-        for batch in fresh(batches):
-            keep = [aligned(labelled_shingles(words_of(x)), shingles(y), similarity) for x, y in zip(batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist(), strict=True)]
+        for batch in slices(batches):
+            one, two, keep = batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist(), []
+            for some in portions([x + y for x, y in zip(one, two, strict=True)]):
+                hubs = list(dict.fromkeys(two[some]))
+                known = dict(zip(hubs, shingles_of(hubs), strict=True))
+                keep += [aligned(x, known[y], similarity) for x, y in zip(shingles_of(one[some]), two[some], strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(pa.array(keep, pa.bool_())), batch.column("b").filter(pa.array(keep, pa.bool_()))], names=["a", "b"])
 
     return both.select("a", "b", "text_a", "text_b").mapInArrow(verify, "a long, b long")
@@ -268,8 +324,9 @@ def links_within(entries: DataFrame, texts: DataFrame, similarity: float) -> Dat
     seats = materialise(seats.withColumn("visits", F.col("chunk") != F.col("own")).drop("own"), "omh-seats")
 
     def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in fresh(batches):
-            lists = [labelled_shingles(words_of(t)).view(np.int64) for t in batch.column("text").to_pylist()]
+        for batch in slices(batches):
+            texts = batch.column("text").to_pylist()
+            lists = [x.view(np.int64) for some in portions(texts) for x in shingles_of(texts[some])]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(lists, pa.list_(pa.int64()))], names=["id", "shingles"])
 
     sets = texts.join(seats.select("id").distinct(), "id").select("id", "text").mapInArrow(shingle, "id long, shingles array<long>")

@@ -242,3 +242,21 @@ def test_stages_keep_columns(spark, name):
     assert stage(spark, df.where("doc_id = 99"), SF).count() == 0
     if name == "drop_near_duplicates":
         assert sorted(str(r.doc_id) for r in stage(spark, df, SF).collect()) == ["1", "3", "None"]
+
+
+def test_word_hashes_and_buckets_equal_plain_ones():
+    texts = ["", "...", "a", "b a b a b a b a b", "Ab,cd", "ab cd", " ab  cd!", "x_1 ٣ ½ ünï", "a b c d e f", "a b c d e f g", "one two " * 500, "x" * 100_000]
+    hashes, digests = minhash_dedup.word_hashes(texts)
+    words = [re.findall(r"\w+", t.lower()) for t in texts]
+    assert [len(h) for h in hashes] == [len(w) for w in words]
+    by_word = {}
+    for w, h in zip(words, hashes, strict=True):
+        assert all(by_word.setdefault(x, y) == y for x, y in zip(w, h.tolist(), strict=True))
+    assert len(set(by_word.values())) == len(by_word)
+    assert len(set(digests)) == len({(tuple(w), t if not w else "") for w, t in zip(words, texts, strict=True)})
+    factors = minhash_dedup.band_factors()
+    shingles = [minhash_dedup.labelled_shingles(h) for h in hashes]
+    for s, buckets in zip(shingles, minhash_dedup.bucket_lists(shingles, factors), strict=True):
+        assert buckets.tolist() == (minhash_dedup.order_minhash(s, factors).tolist() if len(s) else [])
+    many = ["a" * 2**19] * 5
+    assert [x for s in minhash_dedup.portions(many) for x in many[s]] == many

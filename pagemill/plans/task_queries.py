@@ -1,4 +1,4 @@
-"""Queries of the task table, the registry's listing and the article counts, and their DuckDB SQL."""
+"""Queries of the task table, the registry's listing, the article counts and a growing frontier, and their DuckDB SQL."""
 
 from __future__ import annotations
 
@@ -156,6 +156,20 @@ SELECT doc_id, CAST(json_object('doc_id', doc_id, 'siteName', source, 'source',
 FROM documents
 """
 
+def frontier_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T1, T3, J11, L1 at any size: lines as links of suppliers, orders of one status visited; both grow with the tables."""
+    lines = _table(spark, sf_dir, "lineitem").select(F.concat(F.lit("u"), "l_orderkey").alias("url"), F.col("l_suppkey").alias("site"), (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("link_ord"))
+    visited = _table(spark, sf_dir, "orders").where(F.col("o_orderstatus") == "P").select(F.concat(F.lit("u"), "o_orderkey").alias("url"))
+    return P.at_most(P.unseen(P.first_seen(lines, "url", ["site", "link_ord"]), visited), "site", ["link_ord"], 5)
+
+
+FRONTIER_LINES_SQL = """
+WITH l AS (SELECT 'u' || l_orderkey AS url, l_suppkey AS site, l_orderkey * 8 + l_linenumber AS link_ord FROM lineitem),
+f AS (SELECT * FROM l QUALIFY row_number() OVER (PARTITION BY url ORDER BY site, link_ord) = 1)
+SELECT url, site, link_ord, CAST(row_number() OVER (PARTITION BY site ORDER BY link_ord) AS INTEGER) AS place
+FROM f WHERE url NOT IN (SELECT 'u' || o_orderkey FROM orders WHERE o_orderstatus = 'P') QUALIFY place <= 5
+"""
+
 QUERIES = {
     "task_insert": task_insert,
     "task_change": task_change,
@@ -166,6 +180,7 @@ QUERIES = {
     "article_counts": article_counts,
     "page_types": page_types,
     "article_json": article_json,
+    "frontier_lines": frontier_lines,
 }
 
 SQL = {
@@ -178,4 +193,5 @@ SQL = {
     "article_counts": COUNTS_SQL,
     "page_types": TYPES_SQL,
     "article_json": JSON_SQL,
+    "frontier_lines": FRONTIER_LINES_SQL,
 }

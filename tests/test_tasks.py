@@ -35,6 +35,16 @@ def test_queries_equal_sql(spark, name):
     assert plain(got) == plain(want) and len(got)
 
 
+def test_frontier_of_a_large_table(spark):
+    large, db = "/root/testdata/sf0.1", duckdb.connect()
+    for table in ("orders", "lineitem"):
+        db.sql(f"create view {table} as select * from '{large}/{table}.parquet'")
+    want = db.sql(Q.SQL["frontier_lines"]).fetchall()
+    got = [tuple(r) for r in Q.QUERIES["frontier_lines"](spark, large).select("url", "site", "link_ord", "place").collect()]
+    assert got and sorted(got) == sorted(want) and max(r[3] for r in got) == 5
+    assert db.sql("select count(distinct l_orderkey) from lineitem").fetchall()[0][0] > 100_000
+
+
 def test_add_tasks_keeps_first_owner(spark):
     old = task_rows(spark, ("article", "a", "s1", "deferred", 2, "1"))
     found = spark.createDataFrame([("article", "a", "s2", "c", 0), ("article", "b", "s9", "c", 5), ("article", "b", "s3", "c", 1), ("channel", "b", "s4", "c", 2), ("article", None, "s", "c", 0)], "kind string, url string, site string, channel string, ord int")

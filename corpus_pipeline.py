@@ -21,6 +21,11 @@ from pagemill.llm.token_counts import public_path
 ORACLE_SQL = None
 
 
+def numbered(docs: DataFrame, label: str) -> DataFrame:
+    """`docs` as (key, row), the key unique to the row; written, so that every use sees the same keys."""
+    return materialise(docs.select(F.monotonically_increasing_id().alias("key"), F.struct("*").alias("row")), label)
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a language (null texts and texts without letters) go; a null `lang` gets the prediction."""
     found = identify(docs, language_prototypes(docs.select("doc_id", "text", "lang")))
@@ -46,12 +51,10 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it. Rows that share a doc_id are taken equally often."""
-    plan = systematic_mix(docs.select("doc_id", "text", "source"), ["doc_id"])
-    key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    plan = plan.groupBy(key.alias("key")).agg(F.round(F.sum("__copies") / F.count(F.lit(1))).cast("int").alias("copies")).where("copies > 0")
-    rows = docs.select(F.struct("*").alias("row"), key.alias("key")).join(plan, "key")
-    taken = rows.select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
+    """Each row as often as the mix takes it, whatever its doc_id."""
+    rows = numbered(docs, "mix-rows")
+    plan = systematic_mix(rows.select("key", "row.doc_id", "row.text", "row.source"), ["key"]).where("__copies > 0").select("key", F.col("__copies").cast("int").alias("copies"))
+    taken = rows.join(plan, "key").select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
     return taken.select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 

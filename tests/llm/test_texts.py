@@ -7,7 +7,7 @@ import pytest
 import sentencepiece
 
 import corpus_pipeline
-from pagemill.llm import language_id, minhash_dedup, personal_data, registry, sentence_pieces, token_counts
+from pagemill.llm import language_id, minhash_dedup, mixing, personal_data, registry, sentence_pieces, token_counts
 
 SF = "/root/testdata/sf0.001"
 MODEL = token_counts.public_path("piece_bpe_32k.model")
@@ -244,6 +244,16 @@ def test_stages_keep_columns(spark, name):
         assert sorted(str(r.doc_id) for r in stage(spark, df, SF).collect()) == ["1", "3", "None"]
 
 
+def test_mix_takes_rows_without_or_with_shared_ids_by_their_source(spark):
+    rows = [(None, f"w{i} " * 20, None, source, None, str(i)) for i in range(400) for source in "abc"]
+    rows += [(7, f"v{i} " * 20, None, "c", None, str(i)) for i in range(400)]
+    df = spark.createDataFrame(rows, KIND)
+    plan = mixing.systematic_mix(df, ["source"]).groupBy("source", "target").sum("__copies").collect()
+    taken = {r.source: r["count"] for r in corpus_pipeline.mix_sources(spark, df, SF).groupBy("source").count().collect()}
+    assert taken == {r.source: r["sum(__copies)"] for r in plan}
+    assert all(abs(taken[r.source] * 20 - r.target) <= 20 for r in plan)
+
+
 def test_word_hashes_and_buckets_equal_plain_ones():
     texts = ["", "...", "a", "b a b a b a b a b", "Ab,cd", "ab cd", " ab  cd!", "x_1 ٣ ½ ünï", "a b c d e f", "a b c d e f g", "one two " * 500, "x" * 100_000]
     hashes, digests = minhash_dedup.word_hashes(texts)

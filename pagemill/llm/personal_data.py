@@ -3,9 +3,10 @@
 Base spans come from the patterns of KINDS; matches that fail their check are dropped without another try. They seed a
 bootstrap over the whole corpus: the two words before a span are a lexical pattern, tokens with digits that no base span
 touches are candidates, and patterns and instances form a graph. Round by round a pattern's confidence is the mean
-score of its distinct instances (known 1, unknown 0, discovered their score) and an instance's score is the confidence of
-its best pattern; a pattern counts with MIN_SUPPORT known instances and MIN_CONFIDENCE. After ROUNDS rounds the
-candidates that stand behind such a pattern are added as spans of kind `id`. Base spans always stay.
+score of its distinct known instances (seeds 1, discovered their score) and of its counter-evidence (0): tokens with digits
+that are too short for an identifier. Candidates that nothing has reached yet are neutral, however many. An instance's
+score is the confidence of its best pattern; a pattern counts with MIN_SUPPORT known instances and MIN_CONFIDENCE. After
+ROUNDS rounds the candidates that stand behind such a pattern are added as spans of kind `id`. Base spans always stay.
 
 The expressions of KINDS are written for linear time: a token is tried at its start only, or where the last match
 ended. Spans depend on the text alone, so equal texts are looked at once after the scan; positions come from a window
@@ -31,6 +32,9 @@ KINDS = (
 )
 FOUND = "id"
 CANDIDATE = r"(?<![\p{L}\p{N}._@+-])(?=[A-Za-z._@+-]*+[0-9])[A-Za-z0-9._@+-]{6,}+"
+#: Tokens with digits of another shape than a candidate's; they speak against the words before them.
+OTHER = "other"
+COUNTER = r"(?<![\p{L}\p{N}._@+-])(?=[A-Za-z._@+-]*+[0-9])[A-Za-z0-9._@+-]{1,5}+(?![A-Za-z0-9._@+-])"
 CONTEXT = r"(\S+\s+\S+)\s*$"
 CONTEXT_REACH = 80
 BYTE_PART = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9][0-9]?)?"
@@ -69,7 +73,7 @@ def matches_of(text: Column, name: str, pattern: str) -> list[Column]:
 def _searched() -> list[tuple[str, str, Column]]:
     digits = F.col("text").rlike("[0-9]")
     guards = [(k, p, F.contains(F.col("text"), F.lit(c)) & (digits if c != "@" else F.lit(True)) if c else digits) for k, p, c in KINDS]
-    return [*guards, (FOUND, CANDIDATE, digits)]
+    return [*guards, (FOUND, CANDIDATE, digits), (OTHER, COUNTER, digits)]
 
 
 def scan(docs: DataFrame) -> DataFrame:
@@ -94,29 +98,31 @@ def spans_of(scanned: DataFrame) -> DataFrame:
     return one.withColumn("end", ends.cast("long")).select("key", "kind", (F.col("end") - F.length("m")).alias("start"), "end", "m", "ctx")
 
 
-def discover(base: DataFrame, candidates: DataFrame, rounds: int = ROUNDS, support: int = MIN_SUPPORT, confidence: float = MIN_CONFIDENCE) -> DataFrame:
-    """The `candidates` (key, start, end, m, ctx) behind patterns that the seeds in `base` (m, ctx) induce."""
-    graph = base.select("ctx", F.lower("m").alias("inst"), F.lit(1.0).alias("seed")).unionByName(candidates.select("ctx", F.lower("m").alias("inst"), F.lit(0.0).alias("seed")))
+def discover(base: DataFrame, candidates: DataFrame, others: DataFrame, rounds: int = ROUNDS, support: int = MIN_SUPPORT, confidence: float = MIN_CONFIDENCE) -> DataFrame:
+    """The `candidates` (key, start, end, m, ctx) behind patterns that the seeds in `base` (m, ctx) induce, `others` (m, ctx) speaking against them."""
+    # Seeds 1, counter-evidence 0, candidates null: an average leaves them out.
+    parts = [df.select("ctx", F.lower("m").alias("inst"), F.lit(seed).cast("double").alias("seed")) for df, seed in ((base, 1.0), (candidates, None), (others, 0.0))]
+    graph = parts[0].unionByName(parts[1]).unionByName(parts[2])
     graph = materialise(graph.where("ctx <> ''").groupBy("ctx", "inst").agg(F.max("seed").alias("seed")), "pii-graph")
-    seeds = graph.groupBy("inst").agg(F.max("seed").alias("score"))
-    scores = seeds.where("score > 0")
+    seeds = graph.where("seed > 0").groupBy("inst").agg(F.max("seed").alias("score"))
+    scores = seeds
     for _ in range(rounds):
-        judged = graph.join(scores, "inst", "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
+        judged = graph.join(scores, "inst", "left").withColumn("score", F.coalesce("score", "seed"))
         patterns = judged.groupBy("ctx").agg(F.avg("score").alias("confidence"), F.sum((F.col("score") > 0).cast("int")).alias("known"))
         patterns = materialise(patterns.where((F.col("known") >= support) & (F.col("confidence") >= confidence)).select("ctx", "confidence"), "pii-patterns")
-        reached = graph.join(patterns, "ctx").groupBy("inst").agg(F.max("confidence").alias("score"))
-        scores = seeds.where("score > 0").unionByName(reached).groupBy("inst").agg(F.max("score").alias("score"))
+        reached = graph.where("seed is null or seed > 0").join(patterns, "ctx").groupBy("inst").agg(F.max("confidence").alias("score"))
+        scores = seeds.unionByName(reached).groupBy("inst").agg(F.max("score").alias("score"))
     return candidates.join(patterns, "ctx").select("key", F.lit(FOUND).alias("kind"), "start", "end", "m")
 
 
 def personal_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(scanned, spans): `scanned` has id and key of each row of `docs` (id, text), `spans` key, kind, start, end, m."""
     scanned = materialise(scan(docs), "pii-scan")
-    spans = materialise(spans_of(scanned).where((F.col("kind") == FOUND) | passes(F.col("kind"), F.col("m"))), "pii-spans")
-    base = spans.where(F.col("kind") != FOUND)
+    spans = materialise(spans_of(scanned).where(F.col("kind").isin(FOUND, OTHER) | passes(F.col("kind"), F.col("m"))), "pii-spans")
+    base = spans.where(~F.col("kind").isin(FOUND, OTHER))
     taken = base.select(F.col("key").alias("k"), F.col("start").alias("s"), F.col("end").alias("e"))
-    free = spans.where(F.col("kind") == FOUND).join(taken, F.expr("key = k and start < e and s < end"), "left_anti")
-    found = discover(base, materialise(free, "pii-candidates"))
+    free = materialise(spans.where(F.col("kind").isin(FOUND, OTHER)).join(taken, F.expr("key = k and start < e and s < end"), "left_anti"), "pii-candidates")
+    found = discover(base, free.where(F.col("kind") == FOUND), free.where(F.col("kind") == OTHER))
     return scanned.select("id", "key"), base.select("key", "kind", "start", "end", "m").unionByName(found)
 
 

@@ -217,6 +217,15 @@ def test_bootstrap_finds_identifiers_behind_learnt_words(spark):
     assert rows[9].text == "Bitte kunden nummer: [ID] schreiben" and rows[0].text == "Bitte kunden nummer: [EMAIL] schreiben 0" and rows[13].text is None and rows[14].text == "[PHONE] x" and rows[0].row == "clash"
 
 
+def test_unseen_identifiers_do_not_speak_against_their_pattern(spark):
+    seeds = [f"Bitte kunden nummer: a{i}@b.de schreiben" for i in range(5)] + [f"Am letzten tag a{i}@c.de kommen" for i in range(5)]
+    unseen = [f"Bitte kunden nummer: K-2024-{i}x schreiben" for i in range(10, 40)] + [f"Am letzten tag K-2025-{i}x kommen" for i in range(10, 40)]
+    short = [f"Am letzten tag {i} kommen" for i in range(20)]
+    found = {r.doc_id: r.n_found for r in personal_data.find_personal_data(docs(spark, [*seeds, *unseen, *short])).collect()}
+    assert [found[i] for i in range(10, 40)] == [1] * 30
+    assert sum(found.values()) == 30
+
+
 def test_pipeline(spark):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["identify_language", "drop_near_duplicates", "redact_personal_data", "mix_sources", "tokenise"]
     out = corpus_pipeline.run(spark, SF).collect()

@@ -34,14 +34,16 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class stays, that of the least doc_id. Documents with a null id stay."""
-    classes = materialise(near_duplicate_classes(docs.select("doc_id", "text")), "classes")
-    repeated = not classes.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty()
-    gone = classes.where("not kept").select("doc_id").distinct()
-    out = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    if repeated:
-        out = out.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(out.where("doc_id is null"))
-    return out
+    """One row of each class stays, that of the least doc_id, a null id being the last. Rows are compared by their texts,
+    whatever their ids; null texts are copies only where they share an id."""
+    rows = numbered(docs, "dedup-rows")
+    classes = near_duplicate_classes(rows.select("key", "row.text"), id_col="key").select("key", "class_id")
+    same = F.when(F.col("text").isNull() & F.col("doc_id").isNotNull(), F.col("doc_id").cast("string"))
+    ids = rows.select("key", "row.doc_id", "row.text").select("key", "doc_id", same.alias("same")).join(classes, "key")
+    ids = ids.withColumn("class_id", F.when(F.col("same").isNull(), F.col("class_id")))
+    kept = ids.groupBy("class_id", "same").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key"))["key"].alias("key"))
+    kept = materialise(kept.select("key"), "dedup-kept")
+    return rows.join(kept, "key", "left_semi").select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

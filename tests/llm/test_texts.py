@@ -263,6 +263,15 @@ def test_mix_takes_rows_without_or_with_shared_ids_by_their_source(spark):
     assert all(abs(taken[r.source] * 20 - r.target) <= 20 for r in plan)
 
 
+def test_near_duplicates_are_dropped_by_row(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    other = " ".join(f"v{i}" for i in range(40))
+    rows = [(1, text), (5, text + " more"), (5, other), (None, text.upper()), (None, "a text of its own"), (None, "a text of its own"), (8, None), (8, None), (9, None), (None, None)]
+    df = spark.createDataFrame([(i, t, None, "s", None, "clash") for i, t in rows], KIND)
+    kept = corpus_pipeline.drop_near_duplicates(spark, df, SF).collect()
+    assert sorted((str(r.doc_id), str(r.text)) for r in kept) == sorted([("1", text), ("5", other), ("None", "a text of its own"), ("8", "None"), ("9", "None"), ("None", "None")])
+
+
 def test_word_hashes_and_buckets_equal_plain_ones():
     texts = ["", "...", "a", "b a b a b a b a b", "Ab,cd", "ab cd", " ab  cd!", "x_1 ٣ ½ ünï", "a b c d e f", "a b c d e f g", "one two " * 500, "x" * 100_000]
     hashes, digests = minhash_dedup.word_hashes(texts)

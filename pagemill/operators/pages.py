@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ..functions import columns as C
 from ..sources import html as H
@@ -18,33 +19,74 @@ PARTS = "title string, publishTime string, source string, docNumber string, inde
 MAX_FAILURES = 2
 
 
-def _rows(pages: DataFrame, out: str, make) -> DataFrame:
-    """`pages` (url, html, others) as `row`, with the struct `out` that `make(html, url)` gives."""
-    packed = pages.select(F.struct("*").alias("row"), "url", "html")
+def spread(pages: DataFrame) -> DataFrame:
+    """`pages` over all cores where the input has fewer partitions than there are; a large input stays as it lies."""
+    if pages.isStreaming:
+        return pages
+    cores = pages.sparkSession.sparkContext.defaultParallelism
+    return pages.repartition(cores) if pages.rdd.getNumPartitions() < cores else pages
+
+
+def _rows(pages: DataFrame, out: str, make: Callable[[dict], object], broken: Callable[[str], object], inputs: tuple[str, ...] = ("url", "html")) -> DataFrame:
+    """`pages` (inputs, others) as `row`, with the `out` that `make(inputs)` gives.
+
+    A page that can't be read gives `broken(reason)` and never ends the job: "over limit" above its budget, else
+    "broken page".
+    """
+    packed = spread(pages).select(F.struct("*").alias("row"), *inputs)
     schema = packed.select("row", F.lit(None).cast(out).alias("out")).schema
-    kind = None
+    kind = to_arrow_type(schema["out"].dataType)
+
+    def guarded(page: dict) -> object:
+        try:
+            return make(page)
+        except H.OverLimit:
+            return broken("over limit")
+        except MemoryError:
+            return broken("over limit")
+        except Exception as e:  # whatever a page holds, the others go on
+            return broken(f"broken page: {type(e).__name__}")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for start in range(0, whole.num_rows, SLICE):
                 batch = whole.slice(start, SLICE)
-                made = [make(h or "", u or "") for h, u in zip(batch.column("html").to_pylist(), batch.column("url").to_pylist(), strict=True)]
+                values = zip(*(batch.column(c).to_pylist() for c in inputs), strict=True)
+                made = [guarded(dict(zip(inputs, v, strict=True))) for v in values]
                 yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(made, kind)], names=["row", "out"])
 
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    kind = to_arrow_type(schema["out"].dataType)
     return packed.mapInArrow(run, schema).select("row.*", "out")
 
 
-def with_article(pages: DataFrame, title_selectors: tuple[str, ...] = H.TITLE_SELECTORS, content_selectors: tuple[str, ...] = H.CONTENT_SELECTORS) -> DataFrame:
-    """`pages` with the struct `out` of article parts; `out.reject` is null for articles."""
-    return _rows(pages, f"struct<{PARTS.replace(' string', ':string').replace(' array', ':array')}>", lambda h, u: H.article_of(h, u, title_selectors, content_selectors))
+def with_article(pages: DataFrame, title_selectors: tuple[str, ...] = H.TITLE_SELECTORS, content_selectors: tuple[str, ...] = H.CONTENT_SELECTORS, characters: int = H.PAGE_CHARACTERS, items: int = H.PAGE_ITEMS) -> DataFrame:
+    """`pages` with the struct `out` of article parts; `out.reject` is null for articles.
+
+    Columns `title_selectors` and `content_selectors` (arrays), where `pages` has them, hold for their row; null takes
+    the arguments' selectors.
+    """
+    own = tuple(c for c in ("title_selectors", "content_selectors") if c in pages.columns)
+
+    def make(page: dict) -> dict:
+        titles, contents = page.get("title_selectors"), page.get("content_selectors")
+        return H.article_of(page["html"] or "", page["url"] or "", title_selectors if titles is None else titles, content_selectors if contents is None else contents, characters, items)
+
+    return _rows(pages, f"struct<{PARTS.replace(' string', ':string').replace(' array', ':array')}>", make, lambda reason: {"reject": reason}, ("url", "html", *own))
 
 
 def with_anchors(pages: DataFrame) -> DataFrame:
-    """`pages` with `out`, an array of (place, href, text)."""
-    return _rows(pages, "array<struct<place:int,href:string,text:string>>", lambda h, u: [{"place": p, "href": a, "text": t} for p, a, t in H.anchors_of(H.parse(h), u)])
+    """`pages` with `out`, an array of (place, href, text); null for a page that can't be read."""
+
+    def make(page: dict) -> list[dict]:
+        return [{"place": p, "href": a, "text": t} for p, a, t in H.anchors_of(H.within_budget(page["html"] or ""), page["url"] or "")]
+
+    return _rows(pages, "array<struct<place:int,href:string,text:string>>", make, lambda reason: None)
+
+
+def page_events(extracted: DataFrame) -> DataFrame:
+    """`extracted` (with `out`) with the task event of each page: done, over_limit or fail, and the error's text."""
+    reject = F.col("out.reject")
+    event = F.when(reject.isNull(), "done").when(reject == "over limit", "over_limit").otherwise("fail")
+    return extracted.withColumns({"event": event, "error": F.coalesce(reject, F.lit(""))})
 
 
 def links(pages: DataFrame, pattern: Column | None = None, strict_host: bool = False) -> DataFrame:
@@ -60,19 +102,21 @@ def decoded(raw: DataFrame) -> DataFrame:
     """`raw` (id, data, preferred, declared) with text and encoding; both null where nothing fits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts, names = [], []
-            for data, preferred, declared in zip(*(batch.column(c).to_pylist() for c in ("data", "preferred", "declared")), strict=True):
-                try:
-                    text, name = H.decode_page(data or b"", preferred, declared)
-                except ValueError:
-                    text = name = None
-                texts.append(text)
-                names.append(name)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(texts, pa.string()), pa.array(names, pa.string())], names=["id", "text", "encoding"])
-
-    schema = raw.select("id", F.lit("").alias("text"), F.lit("").alias("encoding")).schema
-    return raw.select("id", "data", "preferred", "declared").mapInArrow(run, schema)
+        for whole in batches:
+            for start in range(0, whole.num_rows, SLICE):
+                batch = whole.slice(start, SLICE)
+                found = []
+                for data, preferred, declared in zip(*(batch.column(c).to_pylist() for c in ("data", "preferred", "declared")), strict=True):
+                    try:
+                        text, name = H.decode_page(data or b"", preferred, declared)
+                        text.encode("utf-8")  # some codecs give halves of characters, which no string column holds
+                        found.append((text, name))
+                    except ValueError:
+                        found.append((None, None))
+                yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([t for t, _ in found], pa.string()), pa.array([n for _, n in found], pa.string())], names=["id", "text", "encoding"])
+
+    kind = raw.schema["id"].dataType.simpleString()
+    return raw.select("id", "data", "preferred", "declared").mapInArrow(run, f"id {kind}, text string, encoding string")
 
 
 def canonical(records: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -21,7 +21,8 @@ def page(content):
 
 
 def box(content):
-    return H.ordered_text(H.select_one(H.parse(page(content)), "#content"))
+    found = H.parse(page(content))
+    return found.lines(found.first("#content"))
 
 
 def one(spark, text, f):
@@ -54,6 +55,9 @@ def test_decoding_keeps_every_character(encoding):
 def test_decoding_candidates():
     assert H.decode_page('<meta charset="gbk">中文'.encode("gbk")) == ('<meta charset="gbk">中文', "gbk")
     assert H.decode_page("é".encode(), "iso-8859-1")[1] == "utf-8"
+    for name in ("undefined", "hex", "no-such"):
+        assert H.decode_page(f'<meta charset="{name}">a'.encode())[1] == "utf-8"
+    assert H.decode_page('<META CHARSET="latin-1">é'.encode())[1] == "utf-8"  # the rule looks for lower-case words
     with pytest.raises(ValueError):
         H.decode_page(b"\xff\xff\x81")
 
@@ -74,6 +78,7 @@ def test_title_time_source_images():
     assert (H.title_of(root), H.publish_time_of(root), H.source_of(root)) == ("Ein Titel", "2024-1-5 10:00", "新华社")
     imgs = "".join(f'<img src="/{i}.jpg?x">' for i in range(7)) + '<img data-src="/z.gif">'
     assert H.images_of(H.parse(imgs), "https://a.test/") == [f"https://a.test/{i}.jpg?x" for i in range(5)]
+    assert H.images_of(H.parse('<img src="http://[x"><img src="/a.png">'), "https://a.test/") == ["https://a.test/a.png"]
 
 
 def test_numbers_skip_scripts():
@@ -172,5 +177,5 @@ def test_queries_equal_sql(spark, name):
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.text(alphabet="ab c\n", min_size=1, max_size=6), max_size=6))
 def test_ordered_text_keeps_all_words(parts):
-    text = H.ordered_text(H.parse("".join(f"<p>{p}</p>" for p in parts)))
+    text = H.parse("".join(f"<p>{p}</p>" for p in parts)).lines(0)
     assert text.split() == " ".join(parts).split()

@@ -105,19 +105,6 @@ def is_page_type(content_type: Column) -> Column:
     return F.lower(stripped(F.substring_index(F.coalesce(content_type, F.lit("")), ";", 1))).isin(*PAGE_TYPES)
 
 
-def usable_href(href: Column) -> Column:
-    """The stripped reference, null if it leads nowhere."""
-    h = stripped(href)
-    return F.when((h != "") & ~h.startswith("javascript:") & ~h.startswith("#"), h)
-
-
-def title_cut(c: Column) -> Column:
-    """H4: the part of a page title before `_`, `--`, `-` and `|`."""
-    for mark in ("_", "--", "-", "|"):
-        c = stripped(F.substring_index(c, mark, 1))
-    return c
-
-
 def publish_time(c: Column) -> Column:
     """H5: the first date in a text, null if there is none."""
     found = F.regexp_extract(c, "(?U)(" + PUBLISH_TIME + ")", 1)

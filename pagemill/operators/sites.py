@@ -9,26 +9,57 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import columns as C
 
 MANIFEST = "name string, category string, url string, raw_url string, sub_category string"
+RULES = "tier string, ord int, key string, url string"
+CHANNELS = "name string, channel string, url string, ord int"
 # Fixed values.
 NATIONAL_HUB, DEFAULT_HUB = "https://www.xinhuanet.com", "https://www.news.cn"
 DEFAULT_CHANNEL = "综合"
 COUNTY_NAME = "[一-龥]{2,6}(县|区|市)"
+NEWS_CATEGORIES = ("中央新闻网站和重点理论网站", "中央新闻单位报刊网站", "部委群团报刊网站", "其他单位报刊网站", "地方新闻网站")
 EXACT = (("GOV", "GOV_DIRECT", True), ("LOCAL", "LOCAL_PAPER_DIRECT", True), ("MINISTRY", "MINISTRY_DIRECT", False), ("LOCAL_SPECIFIC", "LOCAL_DIRECT", False), ("COUNTY", "COUNTY_GOV_DIRECT", False))
 
+FUZZY = ("MINISTRY", "LOCAL_SPECIFIC", "PROVINCE")
+TIERS = (*dict.fromkeys([t for t, _, _ in EXACT] + list(FUZZY)),)
 
-def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """The rows of a JSON array with their order `ord`; a missing file has none."""
+
+def _read_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The rows of JSON files, arrays or a row a line; none if there is no file."""
     try:
-        rows = spark.read.schema(MANIFEST).option("multiLine", True).json(path)
+        return spark.read.schema(schema).option("multiLine", True).json(path)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
-        rows = spark.createDataFrame([], MANIFEST)
-    return rows.withColumn("ord", F.monotonically_increasing_id())
+        return spark.createDataFrame([], schema)
+
+
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of a JSON array with their order `ord`; a missing file has none."""
+    return _read_json(spark, path, MANIFEST).withColumn("ord", F.monotonically_increasing_id())
+
+
+def read_rules(spark: SparkSession, path: str) -> DataFrame:
+    """A JSON array of domain rules (tier, ord, key, url); ValueError if a row lacks one or names an unknown tier."""
+    return _checked(_read_json(spark, path, RULES), F.col("tier").isin(*TIERS) & (F.col("key") != ""), "domain rules")
+
+
+def read_channels(spark: SparkSession, path: str) -> DataFrame:
+    """A JSON array of channel overrides (name, channel, url, ord); ValueError if a row lacks one."""
+    return _checked(_read_json(spark, path, CHANNELS), F.col("channel") != "", "channels")
+
+
+def _checked(rows: DataFrame, fine: Column, what: str) -> DataFrame:
+    whole = fine
+    for c in rows.columns:
+        whole = whole & F.col(c).isNotNull()
+    odd = rows.agg(F.count(F.when(~F.coalesce(whole, F.lit(False)), 1))).first()[0]
+    if odd:
+        raise ValueError(f"{odd} rows of the {what} lack a value or have an unknown one")
+    return rows
 
 
 def checked_manifest(manifest: DataFrame) -> DataFrame:
@@ -50,27 +81,36 @@ def build_sites(manifest: DataFrame) -> DataFrame:
 def resolve(sites: DataFrame, rules: DataFrame) -> DataFrame:
     """`sites` (name, url, others) with home_url, source_type and is_fallback.
 
-    Exact tiers are equi-joins; what they leave meets the few rules by substring, first by `ord`.
+    Exact tiers are two equi-joins with one row for each key, by the clean name and by the name as it is. Only names that
+    the exact tiers above leave open meet the few rules of a fuzzy tier by substring, once for all tiers; the first rule
+    by `ord` wins.
     """
     rows = sites.withColumns({"clean": C.clean_name(F.col("name")), "given": C.first_filled(F.col("url"), F.col("raw_url")) if "raw_url" in sites.columns else F.col("url")})
-    exact = rules.groupBy("tier", "key").agg(F.max_by("url", "ord").alias("found"))
-    for tier, _, both in EXACT:
-        one = exact.where(F.col("tier") == tier).select(F.col("key").alias("k"), F.col("found").alias(f"x_{tier}"))
-        rows = rows.join(one, F.col("clean") == F.col("k"), "left").drop("k")
-        if both:
-            rows = rows.join(one.withColumnRenamed(f"x_{tier}", "raw_hit"), F.col("name") == F.col("k"), "left").withColumn(f"x_{tier}", F.coalesce(f"x_{tier}", "raw_hit")).drop("k", "raw_hit")
-
-    def fuzzy(tier: str, on: Column) -> DataFrame:
-        names = rows.select("clean").distinct().join(rules.where(F.col("tier") == tier), on)
-        return names.groupBy("clean").agg(F.min(F.struct("ord", "url", "key")).alias(f"f_{tier}"))
-
-    has = F.contains(F.col("clean"), F.col("key"))
-    for tier, on in (("MINISTRY", has | F.contains(F.col("key"), F.col("clean"))), ("LOCAL_SPECIFIC", has), ("PROVINCE", has)):
-        rows = rows.join(fuzzy(tier, on), "clean", "left")
-    hit = lambda url, kind, fallback=False: F.when(url.isNotNull(), F.struct(url.alias("url"), (kind if isinstance(kind, Column) else F.lit(kind)).alias("kind"), F.lit(fallback).alias("fallback")))
-    steps = [hit(F.col("x_GOV"), "GOV_DIRECT"), hit(F.col("x_LOCAL"), "LOCAL_PAPER_DIRECT"), hit(F.col("x_MINISTRY"), "MINISTRY_DIRECT"), hit(F.col("f_MINISTRY.url"), "MINISTRY_FUZZY")]
-    steps += [hit(F.col("x_LOCAL_SPECIFIC"), "LOCAL_DIRECT"), hit(F.col("f_LOCAL_SPECIFIC.url"), "LOCAL_FUZZY"), hit(F.col("x_COUNTY"), "COUNTY_GOV_DIRECT")]
-    steps += [hit(F.when(~C.is_invalid_url(F.col("given")), F.col("given")), "ORIGINAL_VALID"), hit(F.col("f_PROVINCE.url"), F.concat(F.lit("PROVINCIAL_HUB_"), F.col("f_PROVINCE.key")), True)]
+    of = lambda tier: F.max_by("url", F.when(F.col("tier") == tier, F.col("ord")))
+    keys = rules.where(F.col("tier").isin(*[t for t, _, _ in EXACT])).groupBy("key")
+    clean_hits = keys.agg(F.struct(*[of(t).alias(t) for t, _, _ in EXACT]).alias("by_clean"))
+    raw_hits = keys.agg(F.struct(*[of(t).alias(t) for t, _, both in EXACT if both]).alias("by_name"))
+    rows = rows.join(clean_hits.withColumnRenamed("key", "clean"), "clean", "left").join(raw_hits.withColumnRenamed("key", "name"), "name", "left")
+    exact = {t: F.coalesce(F.col(f"by_clean.{t}"), F.col(f"by_name.{t}")) if both else F.col(f"by_clean.{t}") for t, _, both in EXACT}
+
+    valid = ~C.is_invalid_url(F.col("given"))
+    unnamed = exact["GOV"].isNull() & exact["LOCAL"].isNull() & exact["MINISTRY"].isNull()
+    specific = unnamed & exact["LOCAL_SPECIFIC"].isNull()
+    asked = F.when(unnamed, F.array(F.lit("MINISTRY"), F.when(specific, "LOCAL_SPECIFIC"), F.when(specific & exact["COUNTY"].isNull() & ~valid, "PROVINCE")))
+    open_names = rows.where(unnamed).groupBy("clean").agg(F.array_distinct(F.flatten(F.collect_set(asked))).alias("asked"))
+    has = F.contains(F.col("clean"), F.col("key")) | (F.col("tier") == "MINISTRY") & F.contains(F.col("key"), F.col("clean"))
+    met = open_names.join(rules.where(F.col("tier").isin(*FUZZY)), F.array_contains("asked", F.col("tier")) & has)
+    met = met.groupBy("clean").agg(*[F.min(F.when(F.col("tier") == t, F.struct("ord", "url", "key"))).alias(f"f_{t}") for t in FUZZY])
+    rows = rows.join(met, "clean", "left")
+
+    def hit(url: Column, kind: Column | str, fallback: bool = False) -> Column:
+        return F.when(url.isNotNull(), F.struct(url.alias("url"), (kind if isinstance(kind, Column) else F.lit(kind)).alias("kind"), F.lit(fallback).alias("fallback")))
+
+    kinds = {t: kind for t, kind, _ in EXACT}
+    steps = [hit(exact[t], kinds[t]) for t in ("GOV", "LOCAL", "MINISTRY")]
+    steps += [hit(F.col("f_MINISTRY.url"), "MINISTRY_FUZZY"), hit(exact["LOCAL_SPECIFIC"], kinds["LOCAL_SPECIFIC"]), hit(F.col("f_LOCAL_SPECIFIC.url"), "LOCAL_FUZZY")]
+    steps += [hit(exact["COUNTY"], kinds["COUNTY"]), hit(F.when(valid, F.col("given")), "ORIGINAL_VALID")]
+    steps += [hit(F.col("f_PROVINCE.url"), F.concat(F.lit("PROVINCIAL_HUB_"), F.col("f_PROVINCE.key")), True)]
     steps += [hit(F.when(F.col("clean").rlike(COUNTY_NAME), F.lit(NATIONAL_HUB)), "NATIONAL_HUB_FALLBACK", True), hit(F.lit(DEFAULT_HUB), "DEFAULT_FALLBACK", True)]
     rows = rows.withColumn("r", F.coalesce(*steps))
     keep = [c for c in sites.columns if c not in ("home_url", "source_type", "is_fallback")]
@@ -89,21 +129,32 @@ def site_channels(resolved: DataFrame, channels: DataFrame) -> DataFrame:
 
 
 def by_category(sites: DataFrame, *categories: str) -> DataFrame:
-    """F1, F2"""
+    """F1"""
     return sites.where(F.col("category").isin(*categories))
 
 
+def news_sites(sites: DataFrame) -> DataFrame:
+    """F2"""
+    return by_category(sites, *NEWS_CATEGORIES)
+
+
 def by_name(sites: DataFrame, name: str) -> DataFrame:
-    """the site of that name, else those whose names contain it."""
-    exact = sites.where(F.col("name") == name)
-    return exact if not exact.isEmpty() else sites.where(F.contains(F.col("name"), F.lit(name)))
+    """the site of that name, else those whose names contain it. One plan, decided by one row of its own."""
+    found = sites.where(F.contains(F.col("name"), F.lit(name))).withColumn("__one", F.lit(1))
+    exact = found.groupBy("__one").agg(F.max(F.col("name") == name).alias("__exact"))
+    return found.join(exact, "__one").where((F.col("name") == name) | ~F.col("__exact")).select(*sites.columns)
 
 
 def category_counts(sites: DataFrame) -> DataFrame:
-    """A1, A2"""
+    """A2"""
     return sites.groupBy("category").agg(F.count(F.lit(1)).alias("n_sites"))
 
 
+def categories(sites: DataFrame) -> DataFrame:
+    """A1: each category once, in binary order; null is none."""
+    return sites.where("category is not null").select("category").distinct().orderBy("category")
+
+
 def site_listing(sites: DataFrame) -> DataFrame:
     """A3: a line `name (home_url)` for each site, and the size of its category. Sites without a category aren't listed."""
     named = sites.select("category", "name", F.concat("name", F.lit(" ("), F.coalesce("home_url", F.lit("")), F.lit(")")).alias("line"))

@@ -12,6 +12,8 @@ KEY = ("kind", "url")
 TASKS = "kind string, url string, site string, channel string, status string, phase string, failures int, error string, path string, downloaded int, encoding string, updated string"
 #: Columns that a change may set.
 SETTABLE = ("status", "phase", "error", "path", "downloaded", "encoding")
+MAX_FAILURES = 2
+BROKEN_OFF = "previous process interrupted; not proof this URL caused OOM"
 DONE = {"status": "done", "phase": "done", "error": "", "path": "", "downloaded": 0, "failures": 0}
 
 
@@ -89,3 +91,49 @@ def status_counts(tasks: DataFrame) -> DataFrame:
 def open_tasks(tasks: DataFrame) -> DataFrame:
     """Q10: what isn't done, oldest change first; ties by kind and URL."""
     return tasks.where("status <> 'done'").select("kind", "url", "status", "phase", "failures", "error", "path", "updated").orderBy("updated", *KEY)
+
+
+def advanced(tasks: DataFrame, events: DataFrame, now: str, order: list[str] | None = None, max_failures: int = MAX_FAILURES) -> DataFrame:
+    """`tasks` after one event each of `events` (kind, url, event, error and order columns).
+
+    begin: a task that is neither running nor deferred runs, its phase is `start`. fail: a failure more, deferred from
+    `max_failures` on, else pending. over_limit: a failure more and deferred at once, its phase is `memory_limit`. done:
+    done without failures. Of several events of a key the last by `order` counts; unknown keys and events do nothing.
+    """
+    fields = F.struct(*(order or []), "event", "error")
+    last = events.groupBy(*KEY).agg(F.max(fields).alias("__e"))
+    rows = tasks.join(last.select(*KEY, F.col("__e.event").alias("__event"), F.col("__e.error").alias("__error")), list(KEY), "left")
+    is_ = lambda event: F.coalesce(F.col("__event") == event, F.lit(False))
+    begins = is_("begin") & ~F.coalesce(F.col("status").isin("running", "deferred"), F.lit(False))
+    fails, over, done = is_("fail"), is_("over_limit"), is_("done")
+    more = F.coalesce("failures", F.lit(0)) + 1
+    new = {
+        "status": F.when(begins, "running").when(over | fails & (more >= max_failures), "deferred").when(fails, "pending").when(done, "done").otherwise(F.col("status")),
+        "phase": F.when(begins, "start").when(over, "memory_limit").when(done, "done").otherwise(F.col("phase")),
+        "failures": F.when(fails | over, more).when(done, 0).otherwise(F.col("failures")).cast("int"),
+        "error": F.when(fails | over, F.coalesce("__error", F.lit(""))).when(done, "").otherwise(F.col("error")),
+        "path": F.when(done, "").otherwise(F.col("path")),
+        "downloaded": F.when(done, 0).otherwise(F.col("downloaded")).cast("int"),
+        "updated": F.when(begins | fails | over | done, F.lit(now)).otherwise(F.col("updated")),
+    }
+    return rows.select(*[new[c].alias(c) if c in new else F.col(c) for c in tasks.columns])
+
+
+def startable(tasks: DataFrame) -> DataFrame:
+    """The tasks that may begin."""
+    return tasks.where(~F.coalesce(F.col("status").isin("running", "deferred"), F.lit(False)))
+
+
+def recovered(tasks: DataFrame, now: str, max_failures: int = MAX_FAILURES) -> DataFrame:
+    """Tasks that a broken-off run left running count a failure and say so."""
+    running = F.coalesce(F.col("status") == "running", F.lit(False))
+    more = F.coalesce("failures", F.lit(0)) + 1
+    new = {"status": F.when(more >= max_failures, "deferred").otherwise("pending"), "failures": more.cast("int"), "error": F.lit(BROKEN_OFF), "updated": F.lit(now)}
+    return tasks.select(*[F.when(running, new[c]).otherwise(F.col(c)).alias(c) if c in new else F.col(c) for c in tasks.columns])
+
+
+def retried(tasks: DataFrame, *urls: str) -> tuple[DataFrame, DataFrame]:
+    """(tasks, one row `retried`): tasks of these URLs, of any kind, that aren't done are pending again, without
+    failures and error. Downloads stay."""
+    hit = F.coalesce(F.col("url").isin(*urls) & (F.col("status") != "done"), F.lit(False))
+    return _set(tasks, hit, {"status": "pending", "failures": 0, "error": ""}), tasks.agg(F.count_if(hit).alias("retried"))

@@ -9,7 +9,7 @@ from ..functions import columns as C
 from ..operators import pages as P
 from ..operators import sites as S
 from ..streaming import schedule
-from . import task_queries
+from . import page_queries, task_queries
 
 #: Which user event stands for which task event in the lifecycle queries.
 TASK_EVENTS = {"error": "fail", "purchase": "done", "signup": "retry", "click": "begin", "view": "over_limit"}
@@ -209,6 +209,7 @@ QUERIES = {
     "next_slot": next_slot,
     "decode_bytes": decode_bytes,
     **task_queries.QUERIES,
+    **page_queries.QUERIES,
 }
 
 SQL = {
@@ -223,4 +224,5 @@ SQL = {
     "next_slot": NEXT_SQL,
     "decode_bytes": "SELECT doc_id, md5(text) AS digest FROM documents",
     **task_queries.SQL,
+    **page_queries.SQL,
 }

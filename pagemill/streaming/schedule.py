@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import fcntl
+import time
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
@@ -44,6 +46,62 @@ class Rounds:
         return not self.running and self.completed >= self.wanted
 
 
+def slot_after(now: dt.datetime, hour: int, minute: int) -> dt.datetime:
+    """W10 on the driver: the first hour:minute strictly after `now`, in its zone."""
+    today = now.replace(hour=hour, minute=minute, second=0, microsecond=0)
+    return today if today > now else today + dt.timedelta(days=1)
+
+
+class RoundLoop:
+    """Days of rounds. `launch(now)` runs one round and gives its exit code, or raises OSError if it can't start.
+
+    A day begins at its slot (the first one at once with `at_once`) and ends after `rounds` rounds of code 0; any other
+    round is tried again after a pause and doesn't count. `stop` ends the loop before the next round or pause.
+    """
+
+    def __init__(self, launch: Callable[[dt.datetime], int], rounds: int, hour: int, minute: int, offset_hours: float = 8, poll_seconds: float = 30, at_once: bool = False, clock: Callable[[], float] = time.time, pause: Callable[[float], None] = time.sleep):
+        self.launch, self.rounds, self.hour, self.minute = launch, rounds, hour, minute
+        self.zone, self.poll, self.at_once = dt.timezone(dt.timedelta(hours=offset_hours)), poll_seconds, at_once
+        self.clock, self.pause, self.stopped = clock, pause, False
+
+    def now(self) -> dt.datetime:
+        return dt.datetime.fromtimestamp(self.clock(), self.zone)
+
+    def stop(self) -> None:
+        self.stopped = True
+
+    def wait(self) -> None:
+        """Until the next slot, in pauses of at most the polling time."""
+        slot = slot_after(self.now(), self.hour, self.minute)
+        while not self.stopped and (left := (slot - self.now()).total_seconds()) > 0:
+            self.pause(min(self.poll, left))
+
+    def day(self) -> Rounds:
+        """One day's rounds."""
+        state = Rounds(self.rounds)
+        while not self.stopped and not state.over:
+            state = state.start()
+            try:
+                state = state.end(self.launch(self.now()))
+            except OSError:
+                state = state.end(1)
+            if not self.stopped and not state.over:
+                self.pause(self.poll)
+        return state
+
+    def run(self, days: int | None = None) -> Rounds | None:
+        """`days` days, or until `stop`; the last day's rounds."""
+        last, left = None, days
+        while not self.stopped and left != 0:
+            if not self.at_once:
+                self.wait()
+            self.at_once = False
+            if not self.stopped:
+                last = self.day()
+            left = left and left - 1
+        return last
+
+
 class Busy(RuntimeError):
     """Another process holds the lock."""
 

@@ -1,3 +1,5 @@
+import datetime as dt
+import json
 import random
 
 import duckdb
@@ -7,6 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from pagemill.functions import columns as C
+from pagemill.operators import articles as A
 from pagemill.operators import pages as P
 from pagemill.operators import sites as S
 from pagemill.plans import queries as Q
@@ -164,7 +167,7 @@ def test_rounds_and_slots(spark):
 @pytest.mark.parametrize("name", [n for n in Q.SQL if n not in Q.task_queries.SQL])
 def test_queries_equal_sql(spark, name):
     db = duckdb.connect()
-    for table in ("pages", "documents", "orders", "nation", "events"):
+    for table in ("pages", "documents", "orders", "nation", "events", "part", "supplier", "lineitem"):
         db.sql(f"create view {table} as select * from '{SF}/{table}.parquet'")
     want = db.sql(Q.SQL[name]).df()
     got = Q.QUERIES[name](spark, SF).toPandas()
@@ -179,3 +182,91 @@ def test_queries_equal_sql(spark, name):
 def test_ordered_text_keeps_all_words(parts):
     text = H.parse("".join(f"<p>{p}</p>" for p in parts)).lines(0)
     assert text.split() == " ".join(parts).split()
+
+
+def test_comments_and_nesting():
+    root = H.parse("<h1>a <!-- x --> b</h1><p>索引号<!-- x -->AB/12</p>")
+    assert root.joined(root.first("h1")) == "ab" and H.numbers_of(root)[1] == "AB/12"
+    assert root.lines(root.first("h1")) == "a b".replace(" ", "  ")
+    assert H.parse("x<![foo[y]]>z</b>!<?pi?><!DOCTYPE q>").joined(0) == "xz!"
+    deep = "<div>" * 20_000 + "<p>x" + "y</div>" * 20_000
+    assert H.body_of(H.parse(deep), ()) == "x" + "y"
+    with pytest.raises(H.OverLimit):
+        H.within_budget("<b>" * 50, items=40)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet="<>/!-[]&;#abp =\"'x", max_size=60))
+def test_any_markup_gives_a_page(text):
+    assert set(H.article_of(text, "http://[bad")) == {"title", "publishTime", "source", "docNumber", "indexNumber", "content", "images", "reject"}
+    H.anchors_of(H.parse(text), "http://[bad")
+
+
+def test_selectors():
+    root = H.parse('<div class="a b"><p class="sou" id="i">x<em>1</em></p></div><em>2</em><p class="xtimey">t</p>')
+    texts = lambda s: [root.joined(k) for k in root.select(s)]
+    assert texts("p.sou em") == ["1"] and texts("div.a.b") == ["x1"] and texts("#i, [class*='time']") == ["x1", "t"]
+    assert texts("div p em") == ["1"] and texts("em") == ["1", "2"] and texts("div em em") == []
+    root.drop(root.select("em", root.first("div")))
+    assert texts("em") == ["2"] and texts("p.sou") == ["x"]
+    with pytest.raises(ValueError, match="selector"):
+        root.select("a > b")
+
+
+def test_no_page_ends_the_job(spark):
+    good = page("正文。" * 20)
+    rows = [("u1", good), ("u2", "<![foo[x]]>" + good), ("u3", good + '<img src="http://[x">'), ("u4", "y" * 5000), (None, None), ("http://[x", good)]
+    df = spark.createDataFrame(rows, "url string, html string")
+    found = P.with_article(df, characters=4000).collect()
+    assert [(r.url, r.out.reject) for r in found] == [("u1", None), ("u2", None), ("u3", None), ("u4", "over limit"), (None, "no title"), ("http://[x", None)] or len(found) == 6
+    broken = P._rows(df, "struct<reject:string>", lambda p: 1 // 0, lambda reason: {"reject": reason}).collect()
+    assert {r.out.reject for r in broken} == {"broken page: ZeroDivisionError"}
+    raw = spark.createDataFrame([(1, bytearray(b"\xff\xff\x81"), None, None), (2, bytearray("中".encode("gb18030")), None, None), (3, None, None, None)], "id long, data binary, preferred string, declared string")
+    assert {r.id: (r.text, r.encoding) for r in P.decoded(raw).collect()} == {1: (None, None), 2: ("中", "gb18030"), 3: ("", "utf-8")}
+
+
+def test_articles_take_the_settings_of_their_sites(spark):
+    html = '<div class="t">Eigener Titel</div><div class="b">' + "Text " * 20 + "</div><h1>Andere Zeile</h1>"
+    pages = spark.createDataFrame([("u1", html, "s", "c"), ("u2", html, "fremd", None), ("u3", "<h1>x</h1>", "s", None)], "url string, html string, site string, channel string")
+    sites = spark.createDataFrame([("s", "k", "n", [".t"], [".b"])], "name string, category string, sub_category string, title_selectors array<string>, content_selectors array<string>")
+    found, rejected = A.articles_of(pages, sites, F.to_timestamp_ntz(F.lit("2026-09-17 08:05:09")))
+    rows = {r.url: r for r in found.collect()}
+    assert tuple(found.columns) == P.FIELDS
+    assert (rows["u1"].title, rows["u1"].content, rows["u1"].source, rows["u1"].channel, rows["u1"].subCategory) == ("Eigener Titel", ("Text " * 20).strip(), "s", "c", "n")
+    assert (rows["u2"].title, rows["u2"].siteName, rows["u2"].source, rows["u2"].publishTime, rows["u2"].crawledAt) == ("Andere Zeile", None, None, "2026-09-17", "2026-09-17 08:05:09")
+    assert [(r.url, r.reject_reason) for r in rejected.collect()] == [("u3", "no title")]
+
+
+def test_rule_and_channel_files(spark, tmp_path):
+    path = tmp_path / "r.json"
+    path.write_text(json.dumps([{"tier": "GOV", "ord": 0, "key": "甲\n", "url": "g"}], ensure_ascii=False))
+    assert [tuple(r) for r in S.read_rules(spark, str(path)).collect()] == [("GOV", 0, "甲\n", "g")]
+    path.write_text('[{"tier": "ELSE", "ord": 0, "key": "k", "url": "g"}]')
+    with pytest.raises(ValueError, match="1 rows"):
+        S.read_rules(spark, str(path))
+    path.write_text('[{"name": "甲", "channel": "首页", "url": "c", "ord": 0}, {"name": "甲", "channel": "要闻", "url": "d", "ord": 1}]')
+    sites = spark.createDataFrame([("甲", "h"), ("乙", "i")], "name string, home_url string")
+    found = S.site_channels(sites, S.read_channels(spark, str(path))).collect()
+    assert sorted((r.name, r.channel, r.url) for r in found) == [("乙", "综合", "i"), ("甲", "要闻", "d"), ("甲", "首页", "c")]
+    assert S.read_channels(spark, str(tmp_path / "none.json")).count() == 0
+
+
+def test_round_loop():
+    clock, codes, began = [dt.datetime(2026, 9, 14, 9, 0, tzinfo=dt.UTC).timestamp()], iter([0, 75, 1, OSError("x"), 0, 0, 0]), []
+
+    def launch(now):
+        began.append(now)
+        if isinstance(code := next(codes), OSError):
+            raise code
+        return code
+
+    def pause(seconds):
+        clock[0] += seconds
+
+    loop = schedule.RoundLoop(launch, 2, 18, 0, 8, 60, clock=lambda: clock[0], pause=pause)
+    last = loop.run(days=1)
+    assert (last.completed, last.attempts, last.over) == (2, 5, True) and str(began[0]) == "2026-09-14 18:00:00+08:00"
+    assert loop.run(days=1).completed == 2 and began[5].day == 15
+    loop.stop()
+    assert loop.run() is None and schedule.RoundLoop(lambda now: 0, 1, 18, 0, at_once=True, clock=lambda: 0.0, pause=pause).run(days=1).over
+    assert str(schedule.slot_after(dt.datetime(2026, 9, 14, 18, 0), 18, 0)) == "2026-09-15 18:00:00"

@@ -6,10 +6,12 @@ hash functions the ORDER labelled shingles of least hash are taken and kept in t
 bucket are candidates, verified by a banded alignment: labelled shingles that both documents hold are matched, matches
 off the diagonal by more than the threshold allows are dropped (no alignment through them can reach it), and the
 longest increasing chain L of the others gives the similarity L / (a + b - L), at least SIMILARITY for a link. That is
-the Jaccard similarity of the shingles with their order respected. A pair at the threshold is in no common bucket
-with a probability of about 1e-5.
+the Jaccard similarity of the shingles with their order respected. A pair at the threshold shares a bucket of one hash
+function with a probability of C(c, 3) / C(u, 3), c of its u shingles being common: 0.40 for u = 5, 0.50 for u = 25, 0.51
+beyond. So documents of at most SHORT shingles get SHORT_BANDS hash functions, and no pair at the threshold is without a
+common bucket more often than about 2e-5.
 
-Copies (equal words) are folded first. Large groups of near copies never become all pairs: each document is first
+Copies (equal words) are folded first, whatever their ids, and all that follows knows each text once. Large groups of near copies never become all pairs: each document is first
 verified against one hub, the least document of the buckets that it shares most often. Where a bucket still holds more
 than one component, its documents outside the largest one meet all others there: shingles are sent once for each
 distinct bucket, large buckets are cut into chunks, a task counts the common shingles of blocks of documents by a
@@ -18,8 +20,8 @@ candidate pair is verified or lies within one component already, no link between
 written but links that join components.
 
 Defined results: a text of fewer than SHINGLE words has one shingle, all of its words; a text without words links with
-equal texts only; a null text or null id links with nothing (class_id: its own id). Rows that share an id are one
-document. Extra columns are ignored. An empty table gives no rows.
+equal texts only; a null text or null id links with nothing (class_id: its own id). Repeated rows get one class; an id
+with several texts gets the least of their classes. Extra columns are ignored. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -41,6 +43,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 ORDER = 3
 BANDS = 16
+#: Documents of few shingles share fewer buckets at the same similarity.
+SHORT, SHORT_BANDS = 32, 24
 SEED = 20_190_707
 #: Shingles of one chunk of a bucket; documents and columns of one product.
 CHUNK_SHINGLES = 1 << 20
@@ -146,7 +150,7 @@ def band_factors(bands: int = BANDS) -> np.ndarray:
     return np.random.Generator(np.random.PCG64(SEED)).integers(0, 2**64, bands, dtype=np.uint64) | np.uint64(1)
 
 
-def order_minhash(shingles: np.ndarray, factors: np.ndarray, order: int = ORDER) -> np.ndarray:
+def order_minhash(shingles: np.ndarray, factors: np.ndarray, order: int = ORDER, first: int = 0) -> np.ndarray:
     """One bucket for each factor: the hash of the `order` least shingles in text order."""
     least = np.zeros((len(factors), 0), dtype=np.int64)
     for start in range(0, len(shingles), PIECE):
@@ -157,14 +161,15 @@ def order_minhash(shingles: np.ndarray, factors: np.ndarray, order: int = ORDER)
         chosen = np.argpartition(values, take - 1, axis=1)[:, :take]
         least = chosen + start if at is None else np.take_along_axis(at, chosen, axis=1)
     least = np.sort(least, axis=1)
-    bucket = np.arange(len(factors), dtype=np.uint64)
+    bucket = np.arange(first, first + len(factors), dtype=np.uint64)
     for k in range(least.shape[1]):
         bucket = mixed(bucket + shingles[least[:, k]])
     return bucket
 
 
-def bucket_lists(shingles: list[np.ndarray], factors: np.ndarray, order: int = ORDER) -> list[np.ndarray]:
-    """`order_minhash` of each document, none for those without shingles; documents of middling length go together."""
+def bucket_lists(shingles: list[np.ndarray], factors: np.ndarray, order: int = ORDER, first: int = 0) -> list[np.ndarray]:
+    """`order_minhash` of each document, none for those without shingles; documents of middling length go together.
+    `first` is the number of the first band."""
     out = [np.zeros(0, dtype=np.uint64)] * len(shingles)
     together = [i for i, x in enumerate(shingles) if order < len(x) <= PIECE]
     made = np.zeros((len(together), len(factors)), dtype=np.uint64)
@@ -180,7 +185,7 @@ def bucket_lists(shingles: list[np.ndarray], factors: np.ndarray, order: int = O
         if any(len(at) != len(together) for at in least):  # two shingles of a document have one hash
             together = []
             break
-        bucket = np.full(len(together), band, dtype=np.uint64)
+        bucket = np.full(len(together), first + band, dtype=np.uint64)
         for at in np.sort(np.stack(least), axis=0):
             bucket = mixed(bucket + flat[at])
         made[:, band] = bucket
@@ -188,7 +193,7 @@ def bucket_lists(shingles: list[np.ndarray], factors: np.ndarray, order: int = O
         out[i] = buckets
     for i in set(range(len(shingles))).difference(together):
         if len(shingles[i]):
-            out[i] = order_minhash(shingles[i], factors, order)
+            out[i] = order_minhash(shingles[i], factors, order, first)
     return out
 
 
@@ -217,7 +222,7 @@ def sketches(docs: DataFrame) -> DataFrame:
     packed = docs.select("id", F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("tkey"), "text")
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        factors = band_factors()
+        factors = band_factors(SHORT_BANDS)
         for batch in slices(batches):
             digests, counts, buckets = [], [], []
             texts = batch.column("text").to_pylist()
@@ -226,7 +231,11 @@ def sketches(docs: DataFrame) -> DataFrame:
                 shingles = [labelled_shingles(h) for h in hashes]
                 digests += shown
                 counts += [len(x) for x in shingles]
-                buckets += [x.view(np.int64) for x in bucket_lists(shingles, factors)]
+                lists = bucket_lists(shingles, factors[:BANDS])
+                few = [i for i, x in enumerate(shingles) if 0 < len(x) <= SHORT]
+                for i, more in zip(few, bucket_lists([shingles[i] for i in few], factors[BANDS:], first=BANDS), strict=True):
+                    lists[i] = np.concatenate([lists[i], more])
+                buckets += [x.view(np.int64) for x in lists]
             out = [batch.column("id"), batch.column("tkey"), pa.array(digests, pa.binary()), pa.array(counts, pa.int64()), pa.array(buckets, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(out, names=["id", "tkey", "digest", "n", "buckets"])
 
@@ -234,7 +243,7 @@ def sketches(docs: DataFrame) -> DataFrame:
 
 
 def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """The `pairs` (a, b) whose `texts` (id, text) are aligned."""
+    """The `pairs` (a, b) whose `texts` (id, text; ids are unique) are aligned."""
     both = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
     both = both.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
 
@@ -374,18 +383,19 @@ def near_duplicate_classes(docs: DataFrame, similarity: float = SIMILARITY, id_c
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     plain = rows.where("id is not null and text is not null")
     made = materialise(sketches(plain), "omh-sketches")
-    firsts = made.groupBy("digest").agg(F.min("id").alias("first"))
-    members = materialise(made.join(firsts, "digest"), "omh-members")
-    folded = members.where("id = first").select("id", "tkey", "n", "buckets")
-    entries = folded.where("n > 0").select("id", "n", F.posexplode("buckets").alias("band", "bucket"))
+    # One row for each digest: the least id that has it. `rid` numbers texts, so that neither repeated rows nor ids that
+    # several texts share multiply anything below. Written, as every use must see the same numbers.
+    folded = made.groupBy("digest").agg(F.min(F.struct("id", "tkey", "n", "buckets")).alias("f")).select("digest", "f.*")
+    folded = materialise(folded.withColumn("rid", F.monotonically_increasing_id()), "omh-folded")
+    entries = folded.where("n > 0").select(F.col("rid").alias("id"), "n", F.posexplode("buckets").alias("band", "bucket"))
     shared = entries.groupBy("band", "bucket").agg(F.min(F.struct("id", "n")).alias("hub"), F.max("id").alias("last")).where("hub.id <> last")
-    shared = shared.select("band", "bucket", F.col("hub.id").alias("hub"), F.col("hub.n").alias("hub_n"))
+    shared = materialise(shared.select("band", "bucket", F.col("hub.id").alias("hub"), F.col("hub.n").alias("hub_n")), "omh-shared")
     entries = materialise(entries.join(shared, ["band", "bucket"]), "omh-entries")
 
-    # Texts of documents that share a bucket, once each.
-    wanted = entries.select("id").distinct().join(folded.select("id", "tkey"), "id").distinct()
-    texts = plain.join(wanted.withColumnRenamed("tkey", "key"), "id").where(F.unhex(F.sha2(F.col("text").cast("binary"), 256)) == F.col("key"))
-    texts = materialise(texts.select("id", "text"), "omh-texts")
+    # The text of each document that shares a bucket, once.
+    wanted = entries.select("id").distinct().withColumnRenamed("id", "rid").join(folded.select("rid", "id", F.col("tkey").alias("key")), "rid")
+    texts = plain.join(wanted, "id").where(F.unhex(F.sha2(F.col("text").cast("binary"), 256)) == F.col("key"))
+    texts = materialise(texts.groupBy("id", "rid").agg(F.first("text").alias("text")).select(F.col("rid").alias("id"), "text"), "omh-texts")
 
     hubs = entries.where((F.col("id") != F.col("hub")) & (F.least("n", "hub_n") >= F.greatest("n", "hub_n") * F.lit(similarity) - 1e-9)).groupBy("id", "hub").agg(F.count(F.lit(1)).alias("times"))
     hubs = hubs.groupBy("id").agg(F.max(F.struct("times", (-F.col("hub")).alias("low")))["low"].alias("low"))
@@ -397,9 +407,15 @@ def near_duplicate_classes(docs: DataFrame, similarity: float = SIMILARITY, id_c
     if not rest.isEmpty():
         found = connected_components(found.select(F.col("id").alias("a"), F.col("component").alias("b")).where("a <> b").unionByName(rest))
 
-    classes = members.select("id", "first").join(found.withColumnRenamed("id", "first"), "first", "left").select("id", F.coalesce("component", "first").alias("class_id"))
+    # Back to ids: each component's least id, for its digests, for their rows. What is joined with many rows is written
+    # first, so that both sides of the join are dealt out for it and adaptive execution can split a hot digest.
+    of_digest = folded.select("digest", "id", "rid").join(found.select(F.col("id").alias("rid"), "component"), "rid", "left").withColumn("component", F.coalesce("component", "rid"))
+    of_digest = materialise(of_digest, "omh-components")
+    least = of_digest.groupBy("component").agg(F.min("id").alias("class_id"))
+    told = materialise(of_digest.join(least, "component").select("digest", "class_id"), "omh-classes")
+    classes = made.select("id", "digest").join(told, "digest")
     # An id with several texts gets its least class.
-    classes = classes.groupBy("id").agg(F.min("class_id").alias("class_id"))
+    classes = materialise(classes.groupBy("id").agg(F.min("class_id").alias("class_id")), "omh-ids")
     out = rows.select("id").join(classes, "id", "left")
     return out.select(F.col("id").alias(id_col), F.coalesce("class_id", "id").alias("class_id"), F.coalesce(F.col("class_id") == F.col("id"), F.lit(True)).alias("kept"))
 

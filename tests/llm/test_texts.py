@@ -288,3 +288,22 @@ def test_word_hashes_and_buckets_equal_plain_ones():
         assert buckets.tolist() == (minhash_dedup.order_minhash(s, factors).tolist() if len(s) else [])
     many = ["a" * 2**19] * 5
     assert [x for s in minhash_dedup.portions(many) for x in many[s]] == many
+
+
+def test_repeated_near_copies_cost_no_pairs(spark):
+    words = [f"w{i}" for i in range(60)]
+    near = " ".join([*words[:59], "x"])
+    rows = [(i, " ".join(words) if i % 2 else near) for i in range(8000)] + [(9000 + i % 3, f"other text number {i} of its own kind") for i in range(300)]
+    found = minhash_dedup.near_duplicate_classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert len(found) == 8300 and {r.class_id for r in found if r.doc_id < 8000} == {0}
+    assert sum(r.kept for r in found if r.doc_id < 8000) == 1
+
+
+def test_short_documents_lose_no_links(spark):
+    random.seed(9)
+    texts = []
+    for i in range(400):
+        words = [f"v{i}x{k}" for k in range(random.randint(8, 12))]
+        texts += [" ".join(words), " ".join([*words, f"end{i}"])]
+    found = {r.doc_id: r.class_id for r in minhash_dedup.near_duplicate_classes(docs(spark, texts)).collect()}
+    assert [found[i] for i in range(len(texts))] == [i - i % 2 if alike(texts[i - i % 2], texts[i - i % 2 + 1]) >= 0.8 else i for i in range(len(texts))]

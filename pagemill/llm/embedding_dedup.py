@@ -4,16 +4,22 @@ Vectors with one label and a cosine of at least the threshold are linked. On the
 most eps = sqrt(2 - 2 * threshold), and covering radii bound it.
 
 * Equal vectors are folded into one row first (smallest id, count); the copies come back at the end.
-* The top level of the tree is a net of pivots for each label that a bounded sample (SAMPLE_ROWS) shows to be large.
-  A vector lives in the cell of its nearest pivot. It also visits a cell with a higher number when the bisector between
-  the two pivots is within eps and the pivot is within that cell's covering radius plus eps; no other cell can hold a
-  partner of it that it would not meet.
-* A cell is cut into chunks of about CHUNK_ROWS; a task builds a cover tree over one chunk (levels of halving radii, the
-  parent's centre being the first child's) and streams past it the visitors and the rows of the cell's other chunks,
-  as trees of bounded size. Pairs of nodes are pruned when centre distance > both radii + eps, taken whole when centre
-  distance + both radii <= eps, and compared at leaves in double precision.
+* Labels that a bounded sample (SAMPLE_ROWS, fewer for wide vectors) shows to hold more than a chunk get pivots. A vector
+  lives in the cell of its nearest pivot. It also visits a cell with a higher number when the bisector between the two
+  pivots is within eps and the pivot is within that cell's covering radius plus eps; no other cell can hold a partner of
+  it that it would not meet.
+* A cell is cut into chunks of about CHUNK_ROWS; a task builds a cover tree over one chunk and streams past it the visitors
+  and the rows of the cell's other chunks, as trees of bounded size.
+* A tree's levels have halving radii down to single vectors: each node's children are a net of its rows at half its reach,
+  the first child's centre being its own. A node with a single row, or with rows that doubles can't tell apart, is a leaf.
+* Two trees are traversed together, many pairs of nodes at a time: the distances of all their children's centres come from
+  one product of matrices. A pair is pruned when centre distance > both radii + eps, linked as a whole when centre
+  distance + both radii <= eps, compared in double precision when both are leaves, and followed otherwise.
 * A task gives link counts for each vector and a spanning forest of its links, both linear in its rows.
 
+Vectors without clusters in many dimensions lie equally far from each other: then the tree has one wide level, nothing
+prunes above it, and the work is the square of a label's rows, in blocks. `work_of` counts it.
+
 Defined results: vectors that are null, zero or hold null or non-finite components, or whose label is null, link with
 nothing: n_links 0, a component of their own, kept. Vectors of different lengths link with nothing of another length.
 Rows that repeat an id are rows like others; their component is the smallest id that any of them reaches. Rows with a
@@ -35,160 +41,264 @@ from ._vectors import matrix, runs, usable
 from .components import connected_components
 
 THRESHOLD = 0.98
-SAMPLE_ROWS = 4_096
+SAMPLE_ROWS, SAMPLE_BYTES = 65_536, 1 << 25
 CHUNK_ROWS = 4_096
-LEAF = 64
 VISIT_ROWS = 2_048
-MOST_FANOUT = 64
+#: Sampled rows for one pivot, and most pivots of a label; both only shape the cells.
+ROWS_PER_PIVOT, MOST_PIVOTS = 16, 256
+#: Reach at which rows count as one place, far below what the sums of doubles tell apart at eps.
+SMALLEST_REACH = 1e-6
 #: Added to eps wherever a bound prunes.
 SLACK = 1e-7
+#: Pairs of centres in one product, and pairs of nodes that are expanded together.
+TILE, TOGETHER = 1 << 20, 1 << 15
 
 
-class Node:
-    __slots__ = ("centre", "radius", "rows", "children")
+class Tree:
+    """A cover tree over the rows of `unit`. Node k: `centre[k]` (a row), `radius[k]` (to its farthest row), its rows
+    `order[low[k]:high[k]]`, and its children, the nodes `first[k]` to `last[k]` (none for a leaf)."""
 
-    def __init__(self, centre: np.ndarray, radius: float, rows: np.ndarray, children: list):
-        self.centre, self.radius, self.rows, self.children = centre, radius, rows, children
+    def __init__(self, unit: np.ndarray):
+        self.unit = unit
+        order = np.arange(len(unit))
+        away = distances(unit, unit[0]) if len(unit) else np.zeros(0)
+        centre, radius, low, high, first, last = [0], [float(away.max(initial=0.0))], [0], [len(unit)], [0], [0]
+        level, reach = [(0, away)], 2.0
+        while level and reach > SMALLEST_REACH:
+            reach /= 2
+            below = []
+            for node, far in level:
+                if radius[node] <= reach:  # the node itself at the smaller reach
+                    below.append((node, far))
+                    continue
+                start, rows = low[node], order[low[node] : high[node]].copy()
+                pool, left, at = unit[rows], np.arange(len(rows)), centre[node]
+                first[node] = len(centre)
+                while len(left):
+                    near = far <= reach
+                    mine, mine_far = left[near], far[near]
+                    order[start : start + len(mine)] = rows[mine]
+                    if len(mine) > 1 and mine_far.max() > SMALLEST_REACH:
+                        below.append((len(centre), mine_far))
+                    for column, value in ((centre, int(at)), (radius, float(mine_far.max())), (low, start), (high, start + len(mine)), (first, 0), (last, 0)):
+                        column.append(value)
+                    start += len(mine)
+                    left = left[~near]
+                    if len(left):
+                        if 2 * len(left) < len(pool):
+                            pool, rows, left = pool[left], rows[left], np.arange(len(left))
+                        at = rows[left[0]]
+                        far = distances(pool, unit[at])[left]
+                        far[0] = 0.0
+                last[node] = len(centre)
+            level = below
+        self.order = order
+        self.centre, self.low, self.high, self.first, self.last = (np.array(x, dtype=np.int64) for x in (centre, low, high, first, last))
+        self.radius = np.array(radius)
+
+    def rows(self, node: int) -> np.ndarray:
+        return self.order[self.low[node] : self.high[node]]
+
+    def below(self, node: int) -> np.ndarray:
+        """The node's children; a leaf stands for itself."""
+        return np.arange(self.first[node], self.last[node]) if self.last[node] else np.array([node])
+
+    def depth(self) -> int:
+        """Levels of nodes that differ."""
+        depth, nodes = 0, np.array([0])
+        while len(nodes):
+            depth += 1
+            nodes = nodes[self.last[nodes] > 0]
+            nodes = np.concatenate([np.arange(self.first[k], self.last[k]) for k in nodes]) if len(nodes) else nodes
+        return depth
 
 
 def distances(vectors: np.ndarray, centre: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(0.0, 2.0 - 2.0 * (vectors @ centre)))
 
 
-def cover_tree(unit: np.ndarray, eps: float) -> Node:
-    """A tree over the rows of `unit`. A node whose net would need more than MOST_FANOUT centres at its level stays a leaf."""
-
-    def grow(rows: np.ndarray, centre: np.ndarray, far: np.ndarray, reach: float) -> Node:
-        node = Node(centre, float(far.max(initial=0.0)), rows, [])
-        while reach > node.radius and reach > eps / 8:
-            reach /= 2
-        if len(rows) <= LEAF or node.radius <= eps / 8:
-            return node
-        left, at, away, parts = rows, centre, far, []
-        while len(left):
-            if len(parts) == MOST_FANOUT:
-                return node
-            near = away <= reach
-            parts.append((left[near], at, away[near]))
-            left = left[~near]
-            if len(left):
-                at = unit[left[0]]
-                away = distances(unit[left], at)
-        node.children = [grow(*part, reach / 2) for part in parts]
-        return node
-
-    everyone = np.arange(len(unit))
-    return grow(everyone, unit[0], distances(unit, unit[0]), 2.0)
-
-
 class Links:
-    """Link counts and a spanning forest of one chunk; `spare` holds the visitors' counts of the current tree."""
+    """A spanning forest of one chunk's links, and how many distances were taken."""
+
+    MOST = 1 << 20
 
     def __init__(self):
         self.a: list[np.ndarray] = []
         self.b: list[np.ndarray] = []
+        self.held = self.compared = 0
+
+    def add(self, a: np.ndarray, b: np.ndarray) -> None:
+        self.a.append(a)
+        self.b.append(b)
+        self.held += len(a)
+        if self.held > self.MOST:  # as many as join the same rows
+            a, b = forest(*self.taken())
+            self.a, self.b, self.held = [a], [b], 0
 
     def whole(self, ids_a: np.ndarray, ids_b: np.ndarray) -> None:
         """All of a link with all of b."""
-        self.a += [ids_a, np.full(len(ids_b), ids_a[0])]
-        self.b += [np.full(len(ids_a), ids_b[0]), ids_b]
-
-    def some(self, hit: np.ndarray, ids_a: np.ndarray, ids_b: np.ndarray) -> None:
-        """Links where `hit` is true: each row and column points to the first row of its component in this block."""
-        rows, cols = np.flatnonzero(hit.any(axis=1)), np.flatnonzero(hit.any(axis=0))
-        hit = hit[np.ix_(rows, cols)]
-        mark = np.arange(len(rows))
-        while True:
-            of_cols = np.where(hit, mark[:, None], len(rows)).min(axis=0)
-            new = np.where(hit, of_cols[None, :], len(rows)).min(axis=1)
-            if (new == mark).all():
-                break
-            mark = np.minimum(new, mark)
-        first = ids_a[rows]
-        self.a += [first, ids_b[cols]]
-        self.b += [first[mark], first[of_cols]]
+        self.add(ids_a, np.full(len(ids_a), ids_b[0]))
+        self.add(np.full(len(ids_b), ids_a[0]), ids_b)
+
+    def taken(self) -> tuple[np.ndarray, np.ndarray]:
+        """The links so far, which go."""
+        none = np.zeros(0, dtype=np.int64)
+        out = np.concatenate([none, *self.a]), np.concatenate([none, *self.b])
+        self.a, self.b, self.held = [], [], 0
+        return out
+
+
+def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links of each id with the least id that it reaches, from links a - b."""
+    ids, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    one, two, mark = at[: len(a)], at[len(a) :], np.arange(len(ids))
+    while True:
+        least = np.minimum(mark[one], mark[two])
+        new = mark.copy()
+        np.minimum.at(new, mark[one], least)
+        np.minimum.at(new, mark[two], least)
+        np.minimum.at(new, one, least)
+        np.minimum.at(new, two, least)
+        new = new[new]
+        if (new == mark).all():
+            break
+        mark = new
+    far = mark != np.arange(len(ids))
+    return ids[far], ids[mark[far]]
 
 
 class Side:
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, weights: np.ndarray, eps: float):
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, weights: np.ndarray):
         self.ids, self.vectors, self.weights = ids, vectors, weights
         self.norms = np.sqrt(np.einsum("ij,ij->i", vectors, vectors))
         self.unit = vectors / self.norms[:, None]
         self.counts = np.zeros(len(ids), dtype=np.int64)
-        self.tree = cover_tree(self.unit, eps)
+        self.tree = Tree(self.unit)
 
 
 def traverse(one: Side, two: Side, threshold: float, eps: float, links: Links) -> None:
     """Visit the node pairs of both trees; one may be two, and then each pair of nodes is met once."""
-    same = one is two
-    stack = [(one.tree, two.tree)]
+    same, x, y = one is two, one.tree, two.tree
+    if not len(one.ids) or not len(two.ids):
+        return
+    stack = [(np.array([0]), np.array([0]))]
     while stack:
-        x, y = stack.pop()
-        own = same and x is y
-        if not own:
-            apart = math.sqrt(max(0.0, 2.0 - 2.0 * float(x.centre @ y.centre)))
-            if apart > x.radius + y.radius + eps + SLACK:
-                continue
-            if apart + x.radius + y.radius <= eps - SLACK:
-                one.counts[x.rows] += two.weights[y.rows].sum()
-                two.counts[y.rows] += one.weights[x.rows].sum()
-                links.whole(one.ids[x.rows], two.ids[y.rows])
-                continue
-        if x.children and (not y.children or x.radius >= y.radius or own):
-            if own:
-                stack += [(a, b) for i, a in enumerate(x.children) for b in x.children[i:]]
-            else:
-                stack += [(a, y) for a in x.children]
-        elif y.children:
-            stack += [(x, b) for b in y.children]
+        a, b = stack.pop()
+        many = np.maximum(x.last[a] - x.first[a], 1) * np.maximum(y.last[b] - y.first[b], 1)
+        wide = many > TOGETHER
+        for i, j in zip(a[wide].tolist(), b[wide].tolist(), strict=True):
+            rows, cols = x.below(i), y.below(j)
+            step = max(1, min(TILE // len(cols), len(rows) // 16 if same and i == j else len(rows)))
+            for start in range(0, len(rows), step):
+                some, others = rows[start : start + step], cols[start:] if same and i == j else cols
+                apart = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * (x.unit[x.centre[some]] @ y.unit[y.centre[others]].T)))
+                links.compared += apart.size
+                reach = x.radius[some][:, None] + y.radius[others][None, :]
+                p, q = np.nonzero(np.triu(apart <= reach + eps + SLACK) if same and i == j else apart <= reach + eps + SLACK)
+                settle(one, two, some[p], others[q], apart[p, q], same, threshold, eps, links, stack)
+        a, b, many = a[~wide], b[~wide], many[~wide]
+        ends = np.cumsum(many)
+        at = 0
+        while at < len(a):
+            to = max(at + 1, int(np.searchsorted(ends, ends[at] - many[at] + TOGETHER, side="right")))
+            n = many[at:to]
+            pair = np.repeat(np.arange(at, to), n)
+            place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            wide_b = np.maximum(y.last[b] - y.first[b], 1)[pair]
+            p = np.where(x.last[a[pair]] > 0, x.first[a[pair]] + place // wide_b, a[pair])
+            q = np.where(y.last[b[pair]] > 0, y.first[b[pair]] + place % wide_b, b[pair])
+            if same:  # the children of one node meet each other once
+                once = (a[pair] != b[pair]) | (p <= q)
+                p, q = p[once], q[once]
+            apart = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * np.einsum("ij,ij->i", x.unit[x.centre[p]], y.unit[y.centre[q]])))
+            links.compared += len(p)
+            near = apart <= x.radius[p] + y.radius[q] + eps + SLACK
+            settle(one, two, p[near], q[near], apart[near], same, threshold, eps, links, stack)
+            at = to
+
+
+def settle(one: Side, two: Side, p: np.ndarray, q: np.ndarray, apart: np.ndarray, same: bool, threshold: float, eps: float, links: Links, stack: list) -> None:
+    """Link, compare or follow pairs of nodes that no bound prunes."""
+    x, y = one.tree, two.tree
+    if same:
+        apart = np.where(p == q, 0.0, apart)
+    single = (x.high[p] - x.low[p] == 1) & (y.high[q] - y.low[q] == 1)
+    if single.any():
+        i, j = x.order[x.low[p[single]]], y.order[y.low[q[single]]]
+        compare(one, two, i[i != j] if same else i, j[i != j] if same else j, threshold, links)
+    p, q, apart = p[~single], q[~single], apart[~single]
+    whole = apart + x.radius[p] + y.radius[q] <= eps - SLACK
+    for a, b in zip(p[whole].tolist(), q[whole].tolist(), strict=True):
+        rows, cols = x.rows(a), y.rows(b)
+        one.counts[rows] += two.weights[cols].sum()
+        if same and a == b:
+            one.counts[rows] -= one.weights[rows]
         else:
-            for start in range(0, len(x.rows), 512):
-                rows = x.rows[start : start + 512]
-                compare(one, two, rows, y.rows[start:] if own else y.rows, own, threshold, links)
-
-
-def compare(one: Side, two: Side, rows: np.ndarray, cols: np.ndarray, own: bool, threshold: float, links: Links) -> None:
-    """Leaves; if `own`, `cols` starts with `rows` and pairs are met once."""
-    near = one.unit[rows] @ two.unit[cols].T >= threshold - 1e-9
-    if own:
-        near[:, : len(rows)] = np.triu(near[:, : len(rows)], 1)
-    i, j = np.nonzero(near)
-    if not len(i):
-        return
-    for start in range(0, len(i), 65_536):
-        at = slice(start, start + 65_536)
-        cosine = np.einsum("ij,ij->i", one.vectors[rows[i[at]]], two.vectors[cols[j[at]]]) / (one.norms[rows[i[at]]] * two.norms[cols[j[at]]])
-        near[i[at], j[at]] = cosine >= threshold
-    if near.any():
-        one.counts[rows] += near @ two.weights[cols]
-        two.counts[cols] += one.weights[rows] @ near
-        links.some(near, one.ids[rows], two.ids[cols])
-
-
-def pivots_of(sample: list[tuple[int, list[float]]], eps: float) -> dict[str, np.ndarray]:
-    """For each label of the bounded sample: pivots by farthest-first traversal, one for 16 sampled rows."""
-    by_label: dict[str, list] = {}
-    for label, vector in sample:
-        by_label.setdefault(label, []).append(vector)
+            two.counts[cols] += one.weights[rows].sum()
+        links.whole(one.ids[rows], two.ids[cols])
+    p, q = p[~whole], q[~whole]
+    leaves = (x.last[p] == 0) & (y.last[q] == 0)
+    for a, b in zip(p[leaves].tolist(), q[leaves].tolist(), strict=True):
+        rows, cols = x.rows(a), y.rows(b)
+        for start in range(0, len(rows), max(1, TILE // len(cols))):
+            some = rows[start : start + max(1, TILE // len(cols))]
+            i, j = np.repeat(some, len(cols)), np.tile(cols, len(some))
+            once = i < j if same and a == b else slice(None)
+            compare(one, two, i[once], j[once], threshold, links)
+    if not leaves.all():
+        stack.append((p[~leaves], q[~leaves]))
+
+
+def compare(one: Side, two: Side, i: np.ndarray, j: np.ndarray, threshold: float, links: Links) -> None:
+    """Pairs of rows, each met once, in double precision."""
+    for start in range(0, len(i), 1 << 16):
+        a, b = i[start : start + (1 << 16)], j[start : start + (1 << 16)]
+        links.compared += len(a)
+        hit = np.einsum("ij,ij->i", one.vectors[a], two.vectors[b]) / (one.norms[a] * two.norms[b]) >= threshold
+        a, b = a[hit], b[hit]
+        np.add.at(one.counts, a, two.weights[b])
+        np.add.at(two.counts, b, one.weights[a])
+        links.add(one.ids[a], two.ids[b])
+
+
+def pivots_of(sample: list[tuple[str, np.ndarray]], share: float, eps: float, chunk_rows: int = CHUNK_ROWS) -> dict[str, np.ndarray]:
+    """For each label (with its sampled vectors, `share` of all) of more than a chunk: pivots by farthest-first traversal."""
     out = {}
-    for label, rows in by_label.items():
-        if len(rows) < 512:
+    for label, m in sample:
+        rows = len(m) / share
+        wanted = min(MOST_PIVOTS, len(m) // ROWS_PER_PIVOT, math.ceil(rows / chunk_rows))
+        if rows <= chunk_rows or wanted < 2:
             continue
-        m = np.array(rows, dtype=np.float64)
-        m /= np.linalg.norm(m, axis=1)[:, None]
+        m = m / np.linalg.norm(m, axis=1)[:, None]
         chosen, away = [0], distances(m, m[0])
-        while len(chosen) < len(rows) // 256 and away.max() > 2 * eps:
+        while len(chosen) < wanted and away.max() > 2 * eps:
             chosen.append(int(away.argmax()))
             away = np.minimum(away, distances(m, m[chosen[-1]]))
-        out[label] = m[chosen]
+        if len(chosen) > 1:
+            out[label] = m[chosen]
     return out
 
 
+def sampled(vectors: DataFrame, rows: int) -> tuple[list[tuple[str, np.ndarray]], float]:
+    """(vectors by key, their share) of about `rows` rows, fewer where vectors are wide; chosen by hash, so reruns agree."""
+    n, widest = vectors.agg(F.count(F.lit(1)), F.max(F.size("vector"))).first()
+    wanted = max(1, min(rows, SAMPLE_BYTES // (8 * max(1, widest or 1))))
+    share = min(1.0, wanted / max(1, n))
+    some = vectors if share == 1.0 else vectors.where(F.pmod(F.xxhash64("id", F.lit(7)), F.lit(1 << 30)) < int(share * (1 << 30)))
+    got = some.select("key", "vector").limit(2 * wanted).toArrow().combine_chunks()  # bounded by 2 * wanted
+    if not got.num_rows:
+        return [], 1.0
+    got = got.sort_by("key")
+    keys = np.array(got.column("key").to_pylist(), dtype=object)
+    starts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
+    vectors_ = got.column("vector").combine_chunks()
+    return [(keys[a], matrix(vectors_.slice(a, b - a))) for a, b in zip(starts, starts[1:], strict=False)], share
+
+
 def link_vectors(vectors: DataFrame, threshold: float = THRESHOLD, sample_rows: int = SAMPLE_ROWS, chunk_rows: int = CHUNK_ROWS) -> tuple[DataFrame, DataFrame]:
     """`vectors` (id, key, vector, weight), vectors of one key having one length: counts (id, n) and links (a, b)."""
     spark, eps = vectors.sparkSession, math.sqrt(2.0 - 2.0 * threshold)
-    sample = vectors.select("key", "vector", F.xxhash64("id").alias("h")).orderBy("h").limit(sample_rows).collect()  # bounded
-    pivots = spark.sparkContext.broadcast(pivots_of([(r["key"], r["vector"]) for r in sample], eps))
+    pivots = spark.sparkContext.broadcast(pivots_of(*sampled(vectors, sample_rows), eps, chunk_rows))  # bounded by the sample
 
     def home(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -225,7 +335,7 @@ def link_vectors(vectors: DataFrame, threshold: float = THRESHOLD, sample_rows:
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def side(parts: list[pa.RecordBatch]) -> Side:
-            return Side(*(np.concatenate([f(p) for p in parts]) for f in (lambda p: p.column("id").to_numpy(), lambda p: matrix(p.column("vector")), lambda p: p.column("weight").to_numpy())), eps)
+            return Side(*(np.concatenate([f(p) for p in parts]) for f in (lambda p: p.column("id").to_numpy(), lambda p: matrix(p.column("vector")), lambda p: p.column("weight").to_numpy())))
 
         def told(sides: list[Side], links: Links) -> Iterator[pa.RecordBatch]:
             for s in sides:
@@ -233,10 +343,8 @@ def link_vectors(vectors: DataFrame, threshold: float = THRESHOLD, sample_rows:
                 if some.any():
                     yield pa.RecordBatch.from_arrays([pa.array(s.ids[some]), pa.array(np.zeros(some.sum(), dtype=np.int64), mask=np.ones(some.sum(), dtype=bool)), pa.array(s.counts[some])], names=["a", "b", "n"])
             if links.a:
-                a, b = np.concatenate(links.a), np.concatenate(links.b)
-                pairs = np.unique(np.stack([a, b], axis=1)[a != b], axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.array(np.zeros(len(pairs), dtype=np.int64))], names=["a", "b", "n"])
-                links.a, links.b = [], []
+                a, b = forest(*links.taken())
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(np.zeros(len(a), dtype=np.int64))], names=["a", "b", "n"])
 
         at, parts, chunk, links = None, [], None, Links()
         for key, part in runs(batches, ["key", "cell", "chunk", "side"]):
@@ -262,6 +370,13 @@ def link_vectors(vectors: DataFrame, threshold: float = THRESHOLD, sample_rows:
     return counts, found.where("b is not null").select("a", "b")
 
 
+def work_of(vectors: np.ndarray, threshold: float = THRESHOLD) -> tuple[int, int, int]:
+    """(distances taken, pairs of rows, levels of the tree) for the links within `vectors`."""
+    side, links = Side(np.arange(len(vectors)), vectors, np.ones(len(vectors), dtype=np.int64)), Links()
+    closed(side, threshold, math.sqrt(2.0 - 2.0 * threshold), links)
+    return links.compared, len(vectors) * (len(vectors) - 1) // 2, side.tree.depth()
+
+
 def closed(chunk: Side, threshold: float, eps: float, links: Links) -> Side:
     """`chunk` after it has met itself."""
     traverse(chunk, chunk, threshold, eps, links)

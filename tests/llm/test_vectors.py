@@ -51,13 +51,58 @@ def test_links_equal_brute_force(spark, chunk):
 def test_pivots_lose_nothing(spark):
     rows = [(i, 0, e) for i, _, e in clustered(1500, 2)]
     df = spark.createDataFrame(rows, "vec_id long, label int, embedding array<float>")
-    assert len(D.pivots_of([("0", r[2]) for r in rows], 0.2)["0"]) > 2
+    assert len(D.pivots_of([("0", np.array([r[2] for r in rows], dtype=float))], 1.0, 0.2, 128)["0"]) > 2
     found = sorted(((r.vec_id, r.n_links, r.component_id) for r in D.near_duplicate_vectors(df, chunk_rows=128).collect()), key=str)
     m = np.array([r[2] for r in rows], dtype=float)
     u = m / np.linalg.norm(m, axis=1)[:, None]
     assert [x[1] for x in sorted(found)] == ((u @ u.T >= 0.98).sum(axis=1) - 1).tolist()
 
 
+@pytest.mark.parametrize("kind", ["clusters", "random", "line", "scaled"])
+def test_cover_tree_is_one(kind):
+    rng = np.random.default_rng(7)
+    if kind == "clusters":
+        m = np.repeat(rng.normal(size=(60, 32)), 20, axis=0) + rng.normal(size=(1200, 32)) * 0.02
+    elif kind == "random":
+        m = rng.normal(size=(500, 64))
+    elif kind == "line":
+        m = np.stack([np.cos(np.linspace(0, 1, 700)), np.sin(np.linspace(0, 1, 700))], axis=1)
+    else:
+        m = np.outer(rng.uniform(1, 9, 300), np.ones(4)) + np.repeat(rng.normal(size=(30, 4)), 10, axis=0) * 1e-3
+    side = D.Side(np.arange(len(m)), m, np.ones(len(m), dtype=np.int64))
+    t = side.tree
+    assert sorted(t.order.tolist()) == list(range(len(m)))
+    for k in range(len(t.centre)):
+        rows = t.rows(k)
+        assert t.centre[k] in rows and np.linalg.norm(side.unit[rows] - side.unit[t.centre[k]], axis=1).max() <= t.radius[k] + 1e-7
+        if t.last[k]:
+            children = t.below(k)
+            assert len(children) > 1 and t.centre[children[0]] == t.centre[k] and np.concatenate([t.rows(c) for c in children]).tolist() == rows.tolist()
+            assert t.radius[children].max() <= max(t.radius[k], 1e-9)
+        else:
+            assert len(rows) == 1 or t.radius[k] <= D.SMALLEST_REACH
+    links = D.Links()
+    D.closed(side, 0.98, math.sqrt(0.04), links)
+    cosine = (m @ m.T) / (side.norms[:, None] * side.norms[None, :])
+    want = cosine >= 0.98
+    assert side.counts.tolist() == (want.sum(axis=1) - 1).tolist()
+    compared, pairs, depth = D.work_of(m)
+    assert depth > 1 or kind == "scaled"
+    assert kind != "clusters" or compared < 0.1 * pairs
+    assert kind != "random" or compared < 1.1 * pairs
+
+
+def test_forest_joins_what_links_join():
+    rng = np.random.default_rng(8)
+    a, b = rng.integers(0, 300, 250), rng.integers(0, 300, 250)
+    up = {int(x): int(x) for x in np.concatenate([a, b])}
+    for x, y in zip(a.tolist(), b.tolist()):
+        rx, ry = up[x], up[y]
+        up = {k: min(rx, ry) if v in (rx, ry) else v for k, v in up.items()}
+    one, two = D.forest(a, b)
+    assert dict(zip(one.tolist(), two.tolist())) == {k: v for k, v in up.items() if k != v}
+
+
 def test_repeated_rows_and_empty_table(spark):
     kind = "vec_id long, label int, embedding array<float>"
     found = D.near_duplicate_vectors(spark.createDataFrame([(7, 1, [1.0, 0.0])] * 3 + [(None, 1, [1.0, 0.0])], kind)).collect()

@@ -1,13 +1,15 @@
 """Operator 8: SentencePiece BPE encoding and decoding by vectorised merge rounds.
 
 A text gets the word mark for each space and one in front, and is cut into words where a mark follows anything else:
-no piece spans such a place (checked when the model is read), so words merge independently. The words that a task
-hasn't met lately are encoded together: one flat array of symbols, the rank of each adjacent pair, the least rank of
-each word by a segmented minimum, and the leftmost pair of that rank merged in all words at once; then the array is
-compacted, finished words leave, and the next round follows until no pair remains. One merge a word and round keeps the
-order of the library's queue, where a merge can bring up a pair of better rank. Characters without a piece become
-bytes. A word of more than LONG_WORD characters is first cut where no piece holds the two characters side by side; what
-is still longer goes through a heap in the same order, as rounds would take quadratic time.
+no piece spans such a place (checked when the model is read), so words merge independently. Words of more than CUT_FROM
+characters are also cut between two characters that no piece holds side by side, seen through windows of three. The parts
+that a task hasn't met lately are encoded together: one flat array of symbols, the rank of each adjacent pair, the least
+rank of each part by a segmented minimum, the leftmost pairs of that rank merged in all parts at once; then the array is
+compacted, finished parts leave, and the next round follows until no pair remains.
+
+In parts of up to SEVERAL_FROM characters a round merges one pair. In longer ones it merges every pair of the least rank
+that the library would merge next: from left to right, up to the first whose merge brings up a pair of the same or a
+better rank, which the library's queue would take before the rest. Characters without a piece become bytes.
 
 Decoding joins the pieces, turns runs of byte pieces into text (bad bytes into U+FFFD) and marks into spaces, and drops
 the space in front.
@@ -19,7 +21,6 @@ empty table gives no rows. The model's file is given by path and must be a BPE m
 from __future__ import annotations
 
 import hashlib
-import heapq
 import re
 from collections.abc import Iterator
 
@@ -32,7 +33,8 @@ from pyspark.sql import types as T
 from ._common import table
 from .token_counts import MARK, public_path
 
-LONG_WORD = 256
+#: Characters of a word that is cut where no piece goes on, and of a part whose rounds merge several pairs.
+CUT_FROM, SEVERAL_FROM = 48, 48
 #: Words, and characters of them, that a task keeps from batch to batch.
 KEPT_WORDS = 100_000
 KEPT_CHARACTERS = 1 << 22
@@ -62,7 +64,9 @@ class Model:
         self.rank = {i: order[s] for i, s in scores.items()}
         if any(a != MARK and b == MARK for p in self.id_of for a, b in zip(p, p[1:], strict=False)):
             raise ValueError("a piece spans two words")
-        self.inside = {p[i : i + 2] for p in self.id_of for i in range(len(p) - 1)}
+        points = [np.array([ord(c) for c in p], dtype=np.int64) for p in self.id_of]
+        self.twos = np.unique(np.array([p[0] << 21 | p[1] for p in points if len(p) == 2], dtype=np.int64))
+        self.threes = np.unique(np.concatenate([np.zeros(0, dtype=np.int64), *(p[:-2] << 42 | p[1:-1] << 21 | p[2:] for p in points if len(p) > 2)]))
         # Symbols: ids of pieces, then numbers for characters without a piece, which never merge.
         pairs = [(self.id_of[p[:i]], self.id_of[p[i:]], self.id_of[p]) for p in self.id_of for i in range(1, len(p)) if p[:i] in self.id_of and p[i:] in self.id_of]
         left, right, whole = (np.array(x, dtype=np.int64) for x in zip(*pairs, strict=True))
@@ -70,7 +74,6 @@ class Model:
         by_key = np.argsort(keys)
         self.n, self.keys, self.wholes = n, keys[by_key], whole[by_key]
         self.ranks = np.array([self.rank.get(i, 0) for i in range(n)], dtype=np.int64)
-        self.merges = dict(zip(self.keys.tolist(), self.wholes.tolist(), strict=True))
         self.symbol_of = np.arange(n, n + 0x110000, dtype=np.int64)
         for p, i in self.id_of.items():
             if len(p) == 1:
@@ -82,30 +85,62 @@ class Model:
         """Of each character its piece's id, or n plus its code point if it has none."""
         return self.symbol_of[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)]
 
-    def merge_of(self, symbols: np.ndarray, owner: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """For each place in `at` what its symbol and the next merge into; -1 where they don't."""
-        at = np.minimum(at, len(symbols) - 2)
-        one, two = symbols[at], symbols[at + 1]
-        key = np.where((one < self.n) & (two < self.n) & (owner[at] == owner[at + 1]), one * self.n + two, -1)
+    def wholes_of(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        """What the symbols `one` and `two` merge into; -1 where they don't."""
+        key = np.where((one < self.n) & (two < self.n), one * self.n + two, -1)
         place = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         return np.where(self.keys[place] == key, self.wholes[place], -1)
 
-    def flat_merge(self, symbols: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The symbols of all words after all merges, and how many each word has."""
-        words, never = len(lengths), np.int64(len(self.pieces))
-        owner = np.repeat(np.arange(words), lengths)
+    def merge_of(self, symbols: np.ndarray, owner: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """For each place in `at` what its symbol and the next merge into; -1 where they don't."""
+        at = np.minimum(at, len(symbols) - 2)
+        return np.where(owner[at] == owner[at + 1], self.wholes_of(symbols[at], symbols[at + 1]), -1)
+
+    def rank_of(self, whole: np.ndarray) -> np.ndarray:
+        return np.where(whole >= 0, self.ranks[whole], len(self.pieces))
+
+    def chosen(self, symbols: np.ndarray, owner: np.ndarray, whole: np.ndarray, rank: np.ndarray, least: np.ndarray) -> np.ndarray:
+        """The places that the library merges next, one after the other, while the least rank of their part stays; `least`
+        has it for each symbol."""
+        at = np.flatnonzero((rank == least) & (rank < len(self.pieces)))
+        run = np.concatenate([[True], at[1:] != at[:-1] + 1])
+        inside = np.arange(len(at))
+        at = at[(inside - np.maximum.accumulate(np.where(run, inside, 0))) % 2 == 0]  # a merge takes the next place's symbol
+        new, last = whole[at], len(symbols) - 1
+        before = np.maximum(at - 1, 0)
+        left = symbols[before]
+        touching = np.flatnonzero((at[1:] == at[:-1] + 2) & (owner[at[1:]] == owner[at[:-1]])) + 1
+        left[touching] = new[touching - 1]
+        behind = np.minimum(at + 2, last)
+        left_whole = np.where((at > 0) & (owner[before] == owner[at]), self.wholes_of(left, new), -1)
+        right_whole = np.where((at + 2 <= last) & (owner[behind] == owner[at]), self.wholes_of(new, symbols[behind]), -1)
+        ends = (np.minimum(self.rank_of(left_whole), self.rank_of(right_whole)) <= rank[at]).astype(np.int64)
+        earlier = np.cumsum(ends) - ends
+        first = np.concatenate([[True], owner[at[1:]] != owner[at[:-1]]])
+        return at[earlier == earlier[np.maximum.accumulate(np.where(first, np.arange(len(at)), 0))]]
+
+    def flat_merge(self, symbols: np.ndarray, lengths: np.ndarray, several: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """The symbols of all parts after all merges, and how many each part has."""
+        parts, never = len(lengths), np.int64(len(self.pieces))
+        owner = np.repeat(np.arange(parts), lengths)
         whole = np.append(self.merge_of(symbols, owner, np.arange(len(symbols) - 1)), -1) if len(symbols) > 1 else np.full(len(symbols), -1)
-        rank = np.where(whole >= 0, self.ranks[whole], never)
+        rank = self.rank_of(whole)
         out_symbols, out_owner = [], []
         while len(symbols):
-            # Rank first, then place: the least value of a word is its leftmost pair of least rank.
             starts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
-            first = np.minimum.reduceat(rank * len(symbols) + np.arange(len(symbols)), starts) % len(symbols)
-            active = rank[first] < never
-            going = np.repeat(active, np.diff(np.append(starts, len(symbols))))
-            out_symbols.append(symbols[~going])
-            out_owner.append(owner[~going])
-            first = first[active]
+            sizes = np.diff(np.append(starts, len(symbols)))
+            if several:
+                least = np.minimum.reduceat(rank, starts)
+                active, first = least < never, self.chosen(symbols, owner, whole, rank, np.repeat(least, sizes))
+            else:
+                # Rank first, then place: the least value of a part is its leftmost pair of least rank.
+                first = np.minimum.reduceat(rank * len(symbols) + np.arange(len(symbols)), starts) % len(symbols)
+                active = rank[first] < never
+                first = first[active]
+            going = np.repeat(active, sizes)
+            if not active.all():
+                out_symbols.append(symbols[~going])
+                out_owner.append(owner[~going])
             symbols[first] = whole[first]
             going[first + 1] = False
             now = np.cumsum(going)[first] - 1
@@ -117,45 +152,21 @@ class Model:
             again = again[again < len(symbols) - 1]
             whole[again] = self.merge_of(symbols, owner, again)
             whole[-1] = -1
-            rank[again] = np.where(whole[again] >= 0, self.ranks[whole[again]], never)
+            rank[again] = self.rank_of(whole[again])
             rank[-1] = never
-        out_symbols, out_owner = np.concatenate(out_symbols), np.concatenate(out_owner)
-        return out_symbols[np.argsort(out_owner, kind="stable")], np.bincount(out_owner, minlength=words)
-
-    def heap_merge(self, symbols: np.ndarray) -> list[int]:
-        """The same for one long word."""
-        n, merges, ranks = self.n, self.merges, self.ranks
-        left, right = list(range(-1, len(symbols) - 1)), [*range(1, len(symbols)), -1]
-        symbols = symbols.tolist()
-
-        def pair(i: int) -> None:
-            j = right[i]
-            if j >= 0 and symbols[i] < n and symbols[j] < n:
-                whole = merges.get(symbols[i] * n + symbols[j])
-                if whole is not None:
-                    heapq.heappush(heap, (int(ranks[whole]), i, symbols[i], j, symbols[j], whole))
-
-        heap: list[tuple] = []
-        for i in range(len(symbols) - 1):
-            pair(i)
-        while heap:
-            _, i, a, j, b, whole = heapq.heappop(heap)
-            if symbols[i] != a or symbols[j] != b or right[i] != j:
-                continue
-            symbols[i], symbols[j] = whole, -1
-            right[i] = right[j]
-            if right[j] >= 0:
-                left[right[j]] = i
-            if left[i] >= 0:
-                pair(left[i])
-            pair(i)
-        return [s for s in symbols if s >= 0]
+        out_symbols, out_owner = np.concatenate([symbols, *out_symbols]), np.concatenate([owner, *out_owner])
+        return out_symbols[np.argsort(out_owner, kind="stable")], np.bincount(out_owner, minlength=parts)
 
     def parts(self, word: str) -> list[str]:
         """`word`, cut where no piece goes on if it is long."""
-        if len(word) <= LONG_WORD:
+        if len(word) <= CUT_FROM:
             return [word]
-        cuts = [0, *(i for i in range(1, len(word)) if word[i - 1 : i + 1] not in self.inside), len(word)]
+        points = np.frombuffer(word.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
+        held = found_in(points[:-1] << 21 | points[1:], self.twos)  # between a character and the next
+        three = found_in(points[:-2] << 42 | points[1:-1] << 21 | points[2:], self.threes)
+        held[:-1] |= three
+        held[1:] |= three
+        cuts = [0, *(np.flatnonzero(~held) + 1).tolist(), len(word)]
         return [word[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
 
     def ids(self, symbols: list[int]) -> list[int]:
@@ -167,30 +178,38 @@ class Model:
                 out += [self.byte_id[b] for b in chr(s - self.n).encode("utf-8", "replace")]
         return out
 
-    def encode_long(self, word: str) -> list[int]:
-        return [i for part in self.parts(word) for i in self.ids(self.heap_merge(self.symbols(part)))]
-
     def encode_words(self, words: list[str]) -> Iterator[tuple[str, int, str, str]]:
         """Each word with its number of ids, its ids as text and its text."""
-        for word in words:
-            if len(word) > LONG_WORD:
-                yield self.told(word, self.encode_long(word))
-        short = [w for w in words if len(w) <= LONG_WORD]
-        for a, b in batches_of([len(w) for w in short], FLAT):
-            part = short[a:b]
-            symbols, counts = self.flat_merge(self.symbols("".join(part)), np.array([len(w) for w in part]))
-            ends = np.cumsum(counts)
-            odd = set(np.searchsorted(ends, np.flatnonzero(symbols >= self.n), side="right").tolist())
-            listed = symbols.tolist()
-            texts, shown = ([x[i] if i < self.n else "" for i in listed] for x in (self.as_text, self.as_words))
-            byte = set(np.searchsorted(ends, np.flatnonzero((symbols >= self.lowest_byte) & (symbols <= self.highest_byte)), side="right").tolist())
-            start = 0
-            for k, (word, end) in enumerate(zip(part, ends.tolist(), strict=True)):
-                if k in odd or k in byte:
-                    yield self.told(word, self.ids(listed[start:end]))
-                else:
-                    yield word, end - start, ",".join(texts[start:end]), "".join(shown[start:end])
-                start = end
+        cut = {w: self.parts(w) for w in words if len(w) > CUT_FROM}
+        inner = {p for parts in cut.values() for p in parts if len(parts) > 1}.difference(words)
+        whole = [w for w in words if len(cut.get(w, "1")) == 1] + sorted(inner)
+        known = {}
+        for several in (False, True):
+            some = [p for p in whole if (len(p) > SEVERAL_FROM) == several]
+            for a, b in batches_of([len(p) for p in some], FLAT):
+                for part in self.encode_parts(some[a:b], several):
+                    if part[0] not in inner:
+                        yield part
+                    if cut:
+                        known[part[0]] = part[1:]
+        for w, parts in cut.items():
+            if len(parts) > 1:
+                found = [known[p] for p in parts]
+                yield w, sum(n for n, _, _ in found), ",".join(ids for _, ids, _ in found), "".join(shown for _, _, shown in found)
+
+    def encode_parts(self, parts: list[str], several: bool) -> Iterator[tuple[str, int, str, str]]:
+        symbols, counts = self.flat_merge(self.symbols("".join(parts)), np.array([len(p) for p in parts]), several)
+        ends = np.cumsum(counts)
+        odd = set(np.searchsorted(ends, np.flatnonzero((symbols >= self.n) | (symbols >= self.lowest_byte) & (symbols <= self.highest_byte)), side="right").tolist())
+        listed = symbols.tolist()
+        texts, shown = ([x[i] if i < self.n else "" for i in listed] for x in (self.as_text, self.as_words))
+        start = 0
+        for k, (part, end) in enumerate(zip(parts, ends.tolist(), strict=True)):
+            if k in odd:
+                yield self.told(part, self.ids(listed[start:end]))
+            else:
+                yield part, end - start, ",".join(texts[start:end]), "".join(shown[start:end])
+            start = end
 
     def told(self, word: str, ids: list[int]) -> tuple[str, int, str, str]:
         return word, len(ids), ",".join([self.as_text[i] for i in ids]), self.decode(ids)
@@ -213,6 +232,11 @@ class Model:
         return "".join(out).replace(MARK, " ")
 
 
+def found_in(keys: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which `keys` the sorted `known` holds."""
+    return known[np.minimum(np.searchsorted(known, keys), len(known) - 1)] == keys if len(known) else np.zeros(len(keys), dtype=bool)
+
+
 def batches_of(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
     """Ranges of items whose sizes add up to about `most`."""
     start = total = 0

@@ -3,6 +3,7 @@ import random
 import re
 
 import duckdb
+import numpy as np
 import pytest
 import sentencepiece
 
@@ -54,6 +55,26 @@ def test_random_words_round_trip():
         assert e.encode(text) == ids and e.decode(ids) == model.decode(ids)
 
 
+def test_long_words_equal_the_library():
+    random.seed(11)
+    model, e = sentencepiece.SentencePieceProcessor(model_file=MODEL), sentence_pieces.encoder(MODEL)
+    plain = "".join(t or "" for _, t, _ in documents()[:60]).replace(" ", "").replace("\n", "")
+    words = [plain[:30_000], "".join(random.choices("abcdefghijklmnopqrstuvwxyz", k=20_000)), "ab" * 9_000, "a" * 9_001, "the" * 4_000, "-" * 5_000 + "=" * 300, "0123456789" * 900, "世界的人" * 900]
+    words += ["".join(random.choices(random.choice(["ab", "aA", "ins", "the ", "er-", "<>=", "éè", "lt"]), k=random.randint(49, 400))) for _ in range(600)]
+    for text in words:
+        ids = model.encode(text)
+        assert e.encode(text) == ids and e.decode(ids) == model.decode(ids)
+
+
+def test_merging_several_pairs_equals_one_at_a_time():
+    random.seed(12)
+    model = sentence_pieces.encoder(MODEL).model
+    parts = ["".join(random.choices(random.choice(["ab", "in", "the", "es ", "tion", "e-", "aeiou", "▁a"]), k=random.randint(1, 60))) for _ in range(4000)]
+    lengths = np.array([len(p) for p in parts])
+    one, two = (model.flat_merge(model.symbols("".join(parts)), lengths, several) for several in (False, True))
+    assert one[0].tolist() == two[0].tolist() and one[1].tolist() == two[1].tolist()
+
+
 def test_piece_counts_equal_greedy(spark):
     pieces = set(token_counts.pieces_of(MODEL))
     longest = max(map(len, pieces))

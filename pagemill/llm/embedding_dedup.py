@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import materialise, table
+from ._common import materialise, table, tidy
 from ._vectors import matrix, runs, usable
 from .components import connected_components
 
@@ -300,6 +300,7 @@ def link_vectors(vectors: DataFrame, threshold: float = THRESHOLD, sample_rows:
     spark, eps = vectors.sparkSession, math.sqrt(2.0 - 2.0 * threshold)
     pivots = spark.sparkContext.broadcast(pivots_of(*sampled(vectors, sample_rows), eps, chunk_rows))  # bounded by the sample
 
+    @tidy
     def home(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = np.array(batch.column("key").to_pylist(), dtype=object)
@@ -333,6 +334,7 @@ def link_vectors(vectors: DataFrame, threshold: float = THRESHOLD, sample_rows:
     guests = guests.select("key", "cell", F.explode(F.expr("sequence(0, chunks - 1)")).alias("chunk"), F.lit(1).alias("side"), "id", "vector", "weight")
     units = rows.unionByName(later).unionByName(guests).repartition("key", "cell", "chunk").sortWithinPartitions("key", "cell", "chunk", "side")
 
+    @tidy
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def side(parts: list[pa.RecordBatch]) -> Side:
             return Side(*(np.concatenate([f(p) for p in parts]) for f in (lambda p: p.column("id").to_numpy(), lambda p: matrix(p.column("vector")), lambda p: p.column("weight").to_numpy())))

@@ -5,11 +5,14 @@ trigram binds three of them, permuted by position: V(abc) = r(r(L_a)) * r(L_b) *
 vector bundles (adds) its trigrams; a language's prototype bundles the documents of that language. A document gets the
 language whose prototype has the largest cosine with it; `score` is that cosine, cut to 0 to 1.
 
-Training takes at most SAMPLE_PER_LANGUAGE labelled documents of each language, those whose hashed ids come first.
-Bundles of the sample are sums of integers, so reruns agree. Whole texts are read, in pieces of PIECE letters.
+Training takes at most SAMPLE_PER_LANGUAGE labelled documents of each language, those whose hashed ids come first. Their
+ids, bounded by that, are sent to all executors, which add up the bundles of their own documents; texts don't move.
+Bundles are sums of integers, so reruns agree. Whole texts are read; PIECE characters at a time, and neighbouring pieces
+share the letters that trigrams across them need.
 
 Defined results: a null text or one without letters gets `und` and score 0, as does everything when nothing is labelled.
-Ties go to the language that is first by code point. A null id counts as the empty text for the split. Repeated rows
+Ties go to the language that is first by code point. Documents with a null id aren't learnt from; rows that repeat an id
+are learnt from together. A null id counts as the empty text for the split. Repeated rows
 get equal predictions. An empty table gives no rows.
 """
 
@@ -22,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._common import slices, table
+from ._common import slices, table, tidy
 
 DIMENSIONS = 1024
 SAMPLE_PER_LANGUAGE = 1_000
@@ -42,7 +45,7 @@ def letter_table() -> np.ndarray:
     """For each code point: itself if it is a letter, else GAP."""
     global _letters
     if _letters is None:
-        _letters = np.array([c if chr(c).isalpha() else GAP for c in range(0x110000)], dtype=np.uint32)
+        _letters = np.fromiter((c if chr(c).isalpha() else GAP for c in range(0x110000)), dtype=np.uint32, count=0x110000)
     return _letters
 
 
@@ -68,30 +71,31 @@ def trigram_vectors(codes: np.ndarray) -> np.ndarray:
     return np.array(rows, dtype=np.int8).reshape(-1, DIMENSIONS).astype(np.float32)
 
 
-def trigrams(text: str) -> np.ndarray:
-    """Codes of the trigrams of lower-cased letters, runs of anything else being one gap; a gap stands at both ends."""
-    points = letter_table()[np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), dtype=np.uint32)]
-    points = np.concatenate([[GAP], points, [GAP]]).astype(np.int64)
-    keep = np.ones(len(points), dtype=bool)
-    keep[1:] = (points[1:] != GAP) | (points[:-1] != GAP)
-    points = points[keep]
-    return points[:-2] << 42 | points[1:-1] << 21 | points[2:] if len(points) > 2 else np.zeros(0, dtype=np.int64)
+def trigrams(text: str) -> Iterator[np.ndarray]:
+    """Codes of the trigrams of lower-cased letters, runs of anything else being one gap; a gap stands at both ends.
 
-
-def pieces(text: str) -> Iterator[str]:
-    """`text`, or parts of it that end between words where there is such a place."""
-    start = 0
-    while start < len(text):
-        end = min(len(text), start + PIECE)
-        if end < len(text) and (gap := text.rfind(" ", start, end)) > start:
-            end = gap
-        yield text[start:end]
-        start = end
+    A piece begins with the last two letters or gaps of the piece before it, so no trigram is lost or made up.
+    """
+    lowered, held = text.lower(), np.array([GAP], dtype=np.int64)
+    for start in range(0, len(lowered), PIECE):
+        piece = lowered[start : start + PIECE].encode("utf-32-le", "surrogatepass")
+        points = np.concatenate([held, letter_table()[np.frombuffer(piece, dtype=np.uint32)]])
+        if start + PIECE >= len(lowered):
+            points = np.append(points, GAP)
+        keep = np.ones(len(points), dtype=bool)
+        keep[1:] = (points[1:] != GAP) | (points[:-1] != GAP)
+        points = points[keep].astype(np.int64)
+        if len(points) > 2:
+            yield points[:-2] << 42 | points[1:-1] << 21 | points[2:]
+        held = points[-2:]
 
 
 def document_vectors(texts: list[str | None]) -> np.ndarray:
-    """The bundles of `texts`, one row each; rows of texts without letters are zero."""
-    out = np.zeros((len(texts), DIMENSIONS), dtype=np.float32)
+    """The bundles of `texts`, one row each; rows of texts without letters are zero.
+
+    A product of single floats covers less than 2**22 trigrams and is exact; the products are added as integers.
+    """
+    out = np.zeros((len(texts), DIMENSIONS), dtype=np.int64)
     owners, codes = [], []
     held = 0
 
@@ -110,15 +114,13 @@ def document_vectors(texts: list[str | None]) -> np.ndarray:
             used = np.flatnonzero(counts.any(axis=0))
             for block in range(0, len(used), 2048):
                 some = used[block : block + 2048]
-                out[part] += counts[:, some] @ trigram_vectors(known[some])
+                out[part] += (counts[:, some] @ trigram_vectors(known[some])).astype(np.int64)
 
     for i, text in enumerate(texts):
-        for piece in pieces(text or ""):
-            found = trigrams(piece)
-            if len(found):
-                owners.append(i)
-                codes.append(found)
-                held += len(found)
+        for found in trigrams(text or ""):
+            owners.append(i)
+            codes.append(found)
+            held += len(found)
             if held > 1 << 18:
                 bundle()
                 owners, codes, held = [], [], 0
@@ -143,21 +145,24 @@ def language_prototypes(labelled: DataFrame, per_language: int = SAMPLE_PER_LANG
     first = Window.partitionBy("lang").orderBy("h", "doc_id")
     # One row for each language, as the prototypes that are broadcast later.
     chosen = rows.join(F.broadcast(needed), "lang").where("bin <= last").withColumn("n", F.row_number().over(first)).where(F.col("n") <= per_language).select("doc_id", "lang")
-    sample = labelled.select("doc_id", "lang", "text").join(chosen, ["doc_id", "lang"], "left_semi").select("lang", "text")
+    # Bounded: per_language rows for each language.
+    sample = labelled.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi").select("lang", "text")
 
+    @tidy
     def bundles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
         for batch in slices(batches):
-            vectors = document_vectors(batch.column("text").to_pylist()).astype(np.int64)
+            vectors = document_vectors(batch.column("text").to_pylist())
             for lang, v in zip(batch.column("lang").to_pylist(), vectors, strict=True):
                 sums[lang] = sums.get(lang, 0) + v
-        if sums:
-            kind = pa.list_(pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(list(sums)), pa.array([v.tolist() for v in sums.values()], kind)], names=["lang", "bundle"])
+        for lang, v in sums.items():
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * DIMENSIONS), pa.array(np.arange(DIMENSIONS, dtype=np.int32)), pa.array(v)], names=["lang", "place", "value"])
 
+    # The parts' bundles are added on the executors; one bundle for each language comes to the driver.
+    added = sample.mapInArrow(bundles, "lang string, place int, value long").groupBy("lang", "place").agg(F.sum("value").alias("value"))
     total: dict[str, np.ndarray] = {}
-    for row in sample.mapInArrow(bundles, "lang string, bundle array<long>").toLocalIterator():
-        total[row["lang"]] = total.get(row["lang"], 0) + np.array(row["bundle"], dtype=np.int64)
+    for row in added.collect():
+        total.setdefault(row["lang"], np.zeros(DIMENSIONS, dtype=np.int64))[row["place"]] = row["value"]
     return {k: v / np.linalg.norm(v) for k, v in sorted(total.items()) if np.any(v)}
 
 
@@ -168,6 +173,7 @@ def identify(docs: DataFrame, prototypes: dict[str, np.ndarray]) -> DataFrame:
     packed = docs.select(F.struct("*").alias("row"), F.col("text").alias("text"))
     schema = packed.select("row").withColumn("lang_pred", F.lit("")).withColumn("score", F.lit(0.0)).schema
 
+    @tidy
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         for batch in slices(batches):

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import materialise, slices, table
+from ._common import materialise, slices, table, tidy
 from ._vectors import runs
 from .components import connected_components
 
@@ -62,7 +62,7 @@ def in_words() -> np.ndarray:
     """For each code point whether it is a letter, digit or underscore."""
     global _in_words
     if _in_words is None:
-        _in_words = np.array([chr(c).isalnum() or c == 0x5F for c in range(0x110000)])
+        _in_words = np.fromiter((chr(c).isalnum() or c == 0x5F for c in range(0x110000)), dtype=bool, count=0x110000)
     return _in_words
 
 
@@ -221,6 +221,7 @@ def sketches(docs: DataFrame) -> DataFrame:
     """`docs` (id, text), both not null: id, tkey (of the text), digest (of the words), n shingles and buckets."""
     packed = docs.select("id", F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("tkey"), "text")
 
+    @tidy
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         factors = band_factors(SHORT_BANDS)
         for batch in slices(batches):
@@ -247,6 +248,7 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
     both = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
     both = both.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
 
+    @tidy
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             one, two, keep = batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist(), []
@@ -332,6 +334,7 @@ def links_within(entries: DataFrame, texts: DataFrame, similarity: float) -> Dat
     seats = seats.select("band", "bucket", "id", "component", "minor", "own", F.explode(F.when(F.col("minor"), F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(F.array("own"))).alias("chunk"))
     seats = materialise(seats.withColumn("visits", F.col("chunk") != F.col("own")).drop("own"), "omh-seats")
 
+    @tidy
     def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             texts = batch.column("text").to_pylist()
@@ -341,6 +344,7 @@ def links_within(entries: DataFrame, texts: DataFrame, similarity: float) -> Dat
     sets = texts.join(seats.select("id").distinct(), "id").select("id", "text").mapInArrow(shingle, "id long, shingles array<long>")
     units = seats.join(sets, "id").repartition("band", "bucket", "chunk").sortWithinPartitions("band", "bucket", "chunk", "visits")
 
+    @tidy
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, home, roots = None, [], Roots()
 

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._common import table
+from ._common import table, tidy
 from .token_counts import MARK, public_path
 
 #: Characters of a word that is cut where no piece goes on, and of a part whose rounds merge several pairs.
@@ -305,6 +305,7 @@ def encode_texts(docs: DataFrame, path: str, with_ids: bool = True) -> DataFrame
     def digest(text: str) -> str:
         return hashlib.sha256(text.encode("utf-8", "replace")).hexdigest()
 
+    @tidy
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(path)
         for whole in batches:

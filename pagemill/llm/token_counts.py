@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import slices, table
+from ._common import slices, table, tidy
 
 MARK = "▁"
 KEPT_WORDS = 200_000
@@ -124,6 +124,7 @@ def word_counts(path: str) -> WordCounts:
 def count_pieces(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_words and n_pieces of every row of `docs` (doc_id, text); `path` is the vocabulary's file, on all machines."""
 
+    @tidy
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = word_counts(path)
         for batch in slices(batches):

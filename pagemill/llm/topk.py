@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._common import materialise, table
+from ._common import materialise, table, tidy
 from ._vectors import matrix, runs, usable, widened
 
 GROUP_ROWS = 32_768
@@ -100,6 +100,7 @@ def top_k(docs: DataFrame, queries: DataFrame, k: int = 10, group_rows: int = GR
     )
     dealt = sides.repartition(groups, "grp").sortWithinPartitions("grp", "side", "ord", "id")
 
+    @tidy
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids: list[np.ndarray] = []
         vectors: list[np.ndarray] = []

@@ -127,6 +127,45 @@ def test_language_defined_cases(spark):
     assert [r.lang_pred for r in language_id.identify(docs(spark, ["the"]), {}).collect()] == ["und"]
 
 
+def plain_bundle(text):
+    """The sum of the bound trigrams, one after the other."""
+    letters = " " + "".join(c if c.isalpha() else " " for c in text.lower()) + " "
+    letters = re.sub(" +", " ", letters)
+    out = np.zeros(language_id.DIMENSIONS, dtype=np.int64)
+    for a, b, c in zip(letters, letters[1:], letters[2:]):
+        for k in (out,):
+            k += (np.roll(language_id.signs(ord(a)), 2) * np.roll(language_id.signs(ord(b)), 1) * language_id.signs(ord(c))).astype(np.int64)
+    return out
+
+
+def test_language_equals_plain_bundles(spark, monkeypatch):
+    rows = documents()[:80] + [(9001, "ohne" * 700, "de"), (9002, "x" * 100, "de"), (9003, "", "en"), (9004, None, "en"), (9002, "x" * 100, "de")]
+    monkeypatch.setattr(language_id, "PIECE", 37)
+    assert np.array_equal(language_id.document_vectors([t for _, t, _ in rows]), np.array([plain_bundle(t or "") for _, t, _ in rows]))
+    monkeypatch.undo()
+    known = language_id.language_prototypes(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5))
+    sums = {}
+    for _, t, lang in rows:
+        sums[lang] = sums.get(lang, 0) + plain_bundle(t or "")
+    assert list(known) == sorted(sums) and all(np.allclose(known[x], sums[x] / np.linalg.norm(sums[x])) for x in known)
+    found = {r.doc_id: (r.lang_pred, r.score) for r in language_id.identify(docs(spark, [t for _, t, _ in rows]), known).select("row.doc_id", "lang_pred", "score").collect()}
+    for i, (_, t, _) in enumerate(rows):
+        v = plain_bundle(t or "")
+        cosines = {x: float(v @ known[x]) / max(1e-9, np.linalg.norm(v)) for x in known}
+        want = max(sorted(cosines), key=cosines.get) if np.any(v) else "und"
+        assert found[i][0] == want and found[i][1] == pytest.approx(min(1, max(0, cosines.get(want, 0))))
+
+
+def test_language_ties_null_ids_and_no_rows(spark):
+    kind = "doc_id long, text string, lang string"
+    known = language_id.language_prototypes(spark.createDataFrame([(1, "same words", "b"), (2, "same words", "a"), (None, "other", "c")], kind))
+    assert list(known) == ["a", "b"]
+    rows = language_id.identify(docs(spark, ["same words"] * 3), known).collect()
+    assert {r.lang_pred for r in rows} == {"a"} and len({r.score for r in rows}) == 1 and len(rows) == 3
+    none = spark.createDataFrame([], kind)
+    assert language_id.language_prototypes(none) == {} and language_id.identify(none, known).count() == 0
+
+
 def alike(a, b):
     """Jaccard similarity of labelled shingles that keep their order (longest common subsequence)."""
     def shingles(t):

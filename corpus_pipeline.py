@@ -53,9 +53,10 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each row as often as the mix takes it, whatever its doc_id."""
+    """Each row as often as the mix takes it, whatever its doc_id: null and repeated ids and repeated rows are planned row by
+    row. A null text counts no words; an empty table stays empty."""
     rows = numbered(docs, "mix-rows")
-    plan = systematic_mix(rows.select("key", "row.doc_id", "row.text", "row.source"), ["key"]).where("__copies > 0").select("key", F.col("__copies").cast("int").alias("copies"))
+    plan = systematic_mix(rows.select("key", F.col("key").alias("doc_id"), "row.text", "row.source"), ["key"]).where("__copies > 0").select("key", F.col("__copies").cast("int").alias("copies"))
     taken = rows.join(plan, "key").select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
     return taken.select(*[F.col("row")[c].alias(c) for c in docs.columns])
 

@@ -84,3 +84,15 @@ def number_rows(df: DataFrame, part: list[str], bucket: str, order: list[str | C
     offsets = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).select(*keys, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
     inside = df.withColumn("__inside", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     return inside.join(offsets, keys).withColumn(out, F.col("__before") + F.col("__inside") - 1).drop("__n", "__before", "__inside")
+
+
+def rank_rows(df: DataFrame, key: str, out: str) -> DataFrame:
+    """Add `out`, the row's position (from 0) by the unique `key`; ranges of keys are numbered apart.
+
+    What passes through the one unpartitioned window has a row for each partition.
+    """
+    parts = materialise(df.repartitionByRange(key).withColumn("__part", F.spark_partition_id()), "ranked")
+    before = Window.partitionBy(F.lit(0)).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = parts.groupBy("__part").agg(F.count(F.lit(1)).alias("__n")).select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    inside = F.row_number().over(Window.partitionBy("__part").orderBy(key)) - 1
+    return parts.withColumn(out, inside).join(offsets, "__part").withColumn(out, F.col(out) + F.col("__before")).drop("__part", "__before")

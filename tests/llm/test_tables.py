@@ -115,6 +115,21 @@ def test_mix(spark):
     assert mixing.systematic_mix(docs(spark, []), ["doc_id"]).count() == 0
 
 
+def test_mix_splits_large_groups(spark):
+    rows = [(i % 50, "w w w", "a") for i in range(900)] + [(None, "w w w", None)] * 400 + [(i, "v " * (i % 5), "b") for i in range(300)]
+    one = mixing.systematic_mix(docs(spark, rows), ["doc_id", "source"], rows_per_bucket=16).collect()
+    two = mixing.systematic_mix(docs(spark, rows).repartition(5), ["doc_id", "source"]).collect()
+    assert sorted(map(str, one)) == sorted(map(str, two)) and len(one) == len(rows)
+
+
+def test_targets_equal_plain_ones(spark):
+    random.seed(7)
+    for n in (1, 2, 3, 7, 40):
+        sizes = {f"{random.random()}": random.choice([0, 1, 5, 10**random.randint(1, 9)]) for _ in range(n)}
+        found = {r.key: r.target for r in mixing.source_targets(spark.createDataFrame(list(sizes.items()), "key string, source_size long")).collect()}
+        assert found == pytest.approx(plain_targets(sizes))
+
+
 URLS = ["http://a.example.net/en/1", "https://NET/x", "https://b.net", "http://x.example.com/de/9?q=/", "http://y.org/fr/1", "http://y.org/en/1", "nothing", "", None, "x://HOST:8/p?a#b", "http://example.com/en/3"]
 
 

@@ -286,6 +286,76 @@ def test_unseen_identifiers_do_not_speak_against_their_pattern(spark):
     assert sum(found.values()) == 30
 
 
+def plain_discoveries(texts, support=3, confidence=0.8):
+    """The same graph with dictionaries: document -> discovered spans."""
+    def plain(x):
+        return re.sub("[1-9]", "0", x.lower())
+
+    def around(text, a, b):
+        before, after = plain(text[:a]), plain(text[b:])
+        *words, glue = re.split(r"\s+", before) if before else [""]
+        words = [w for w in words if w]
+        right = [w for w in re.split(r"\s+", re.sub(r"^\S*", "", after)) if w]
+        out = [("b", tuple(words[-k:]), glue) for k in (1, 2, 3) if len(words) >= k] + [("a", tuple(right[:k]), "") for k in (1, 2, 3) if len(right) >= k]
+        return [c for c in out if any(re.search("[^\\W\\d_]", w) for w in c[1])]
+
+    counts, spots, edges = {}, [], {}
+    for i, text in enumerate(texts):
+        text = text or ""
+        for w in re.split(r"\s+", plain(text)):
+            counts[w] = counts.get(w, 0) + 1
+        base = [tuple(map(int, x.split(":")[1:])) for x in base_spans(text).split(",") if x]
+        spots += [(i, a, b, 1.0, True) for a, b in base]
+        for m in re.finditer(r"(?<![^\W_])(?<![._@+-])(?=[A-Za-z._@+-]*[0-9])[A-Za-z0-9._@+-]{6,}", text):
+            if all(b <= m.start() or a >= m.end() for a, b in base):
+                spots.append((i, *m.span(), 1.0 if re.fullmatch(personal_data.KEY[1:-1], m[0]) else None, False))
+    for i, a, b, seed, _ in spots:
+        for c in around(texts[i], a, b):
+            edge = edges.setdefault(c, {}).setdefault(texts[i][a:b].lower(), [0, None])
+            edge[0], edge[1] = edge[0] + 1, seed or edge[1]
+    scores, taken = {inst: 1.0 for e in edges.values() for inst, (_, s) in e.items() if s}, {}
+    while True:
+        new = {}
+        for c, e in edges.items():
+            hits, unseen = sum(scores.get(x, 0) * n for x, (n, _) in e.items()), sum(n for x, (n, _) in e.items() if x not in scores)
+            if c not in taken and sum(x in scores for x in e) >= support:
+                rate = min(1, hits / max(1, min(counts.get(w, 0) for w in c[1]) - unseen))
+                if rate >= confidence:
+                    new[c] = rate
+        if not new:
+            break
+        taken |= new
+        scores = {x: max(r for c, r in new.items() if x in edges[c]) for e in edges.values() for x in e if any(x in edges[c] for c in new)} | scores
+    return [sorted((a, b) for j, a, b, _, base in spots if j == i and not base and any(c in taken for c in around(texts[i], a, b))) for i in range(len(texts))]
+
+
+def test_bootstrap_equals_plain_graph(spark):
+    random.seed(21)
+    words = ["konto", "nummer:", "kunde", "der", "die", "code", "von", "amt", "#", "am"]
+    ids = lambda: random.choice([f"a{random.randint(0, 40)}@b.de", f"K-20{random.randint(10, 60)}-x", f"{random.randint(0, 9)}", f"10.0.0.{random.randint(0, 60)}", f"{random.getrandbits(160):040x}"])
+    texts = []
+    for _ in range(150):
+        lead = random.choice(["konto nummer: ", "der ", "kunde von ", "code=", "token = \"", "am amt # ", ""])
+        texts.append(" ".join(random.choices(words, k=random.randint(0, 4))) + " " + lead + ids() + random.choice(['" ', ", ", " ", ""]) + " ".join(random.choices(words, k=random.randint(0, 4))))
+    # A chain: each pattern is reached through what the one before it found.
+    texts += [f"stufe eins a{i}@x.de" for i in range(4)] + [f"stufe eins K-9{i}-1x" for i in range(4)]
+    for k in range(1, 7):
+        texts += [f"reihe{'q' * k} hier K-9{i}-{k}x" for i in range(4)] + [f"reihe{'q' * k} hier K-9{i}-{k + 1}x" for i in range(4)]
+    texts += ["x@y.de,1.2.3.4,K-77-aa1 ende", None, "", " "] + texts[:40]
+    found = {r.doc_id: r for r in personal_data.find_personal_data(docs(spark, texts)).collect()}
+    want = plain_discoveries(texts)
+    for i in range(len(texts)):
+        got = sorted(tuple(map(int, x.split(":")[1:])) for x in found[i].spans.split(",") if x.startswith("id:"))
+        assert got == want[i], texts[i]
+    assert sum(map(len, want)) > 30 and found[150 + 8 + 6 * 8 - 1].n_found == 1
+
+
+def test_personal_data_of_repeated_and_no_rows(spark):
+    df = docs(spark, ["a@b.de x"] * 3)
+    assert {(r.n_email, r.n_spans) for r in personal_data.find_personal_data(df).collect()} == {(1, 1)}
+    assert personal_data.find_personal_data(df.where("doc_id > 9")).count() == 0 and personal_data.redacted(df.where("doc_id > 9")).count() == 0
+
+
 def test_pipeline(spark):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["identify_language", "drop_near_duplicates", "redact_personal_data", "mix_sources", "tokenise"]
     out = corpus_pipeline.run(spark, SF).collect()

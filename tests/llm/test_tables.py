@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 from itertools import combinations
 
 import pytest
+from pyspark.sql import functions as F
 
 from pagemill.llm import mixing, sharding, url_filter
 
@@ -162,6 +163,40 @@ def test_mined_rules_equal_apriori(spark):
     assert got == want and all(r.post in r.tokens for r in rules)
 
 
+def test_mining_stays_bounded(spark):
+    """Thirty tokens that always stand together would make a billion combinations."""
+    together = [f"t{i:02}" for i in range(30)]
+    rows = [([*together, "bad"], "block")] * 60 + [([*together, "good"], "allow")] * 60
+    rules = url_filter.mine_rules(spark.createDataFrame(rows, "tokens array<string>, verdict string"), 0.1, 0.9).collect()
+    assert 0 < len(rules) < 2**13 and {(("bad",), "block"), (("good",), "allow")} <= {(tuple(r.tokens), r.verdict) for r in rules}
+
+
+def test_verdicts_equal_a_plain_matcher(spark):
+    random.seed(8)
+    words = ["win", "news", "free", "sport", "buy", "read"]
+    url = lambda: f"http://{random.choice(words)}.{random.choice(['test', 'shop'])}/{random.choice(words)}/{random.choice(words)}?{random.choice('ab')}={random.randint(0, 9)}"
+    labelled = [(u := url(), "block" if "win" in u or "free" in u and "shop" in u else "allow") for _ in range(300)]
+    urls = [url() for _ in range(200)] + ["http://long.test/" + "x/" * 5000 + "win", "odd", None, ""] + ["http://win.shop/a/b"] * 5
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    known = spark.createDataFrame(labelled, "url string, verdict string")
+    tokens = lambda df: url_filter.parse_urls(df).select("url", url_filter.tokens_of(F.col("url"), F.col("host"), F.col("path")).alias("t"))
+    trained = [(set(r.t), dict(labelled)[r.url]) for r in tokens(known).collect()]
+    rules = {}
+    for k in (1, 2, 3, 4, 5):
+        for c in {c for t, _ in trained for c in combinations(sorted(t), k)}:
+            inside = [v for t, v in trained if t.issuperset(c)]
+            for v in ("allow", "block"):
+                n = inside.count(v)
+                if n / 300 >= 0.02 and n / len(inside) >= 0.9:
+                    rules[c, v] = (n / len(inside), n / 300, n / len(inside) / ([x for _, x in trained].count(v) / 300), v == "block", list(c))
+    want = {}
+    for r in tokens(pages.where("url is not null").select("url").distinct()).collect():
+        hits = [(x, v) for (c, v), x in rules.items() if set(c) <= set(r.t)]
+        want[r.url] = max(hits)[1] if hits else "allow"
+    got = {r.page_id: r.verdict for r in url_filter.judge_urls(pages, rules=(), labelled=known, min_support=0.02).collect()}
+    assert [got[i] for i in range(len(urls))] == [want.get(u, "allow") for u in urls] and set(want.values()) == {"allow", "block"}
+
+
 def test_method_decides_the_rest(spark):
     labelled = spark.createDataFrame([(f"http://spam{i % 9}.test/win/{i}", "block") for i in range(50)] + [(f"http://news{i % 9}.test/read/{i}", "allow") for i in range(50)], "url string, verdict string")
     urls = spark.createDataFrame([(1, "http://other.test/win/5"), (2, "http://other.test/read/5"), (3, "http://other.test/none")], "page_id long, url string")

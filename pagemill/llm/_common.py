@@ -86,13 +86,18 @@ def number_rows(df: DataFrame, part: list[str], bucket: str, order: list[str | C
     return inside.join(offsets, keys).withColumn(out, F.col("__before") + F.col("__inside") - 1).drop("__n", "__before", "__inside")
 
 
-def rank_rows(df: DataFrame, key: str, out: str) -> DataFrame:
-    """Add `out`, the row's position (from 0) by the unique `key`; ranges of keys are numbered apart.
+def start_rows(df: DataFrame, key: str, amount: Column, out: str) -> DataFrame:
+    """Add `out`, the sum of `amount` over the rows before it by the unique `key`; ranges of keys are added up apart.
 
     What passes through the one unpartitioned window has a row for each partition.
     """
-    parts = materialise(df.repartitionByRange(key).withColumn("__part", F.spark_partition_id()), "ranked")
+    parts = materialise(df.repartitionByRange(key).withColumns({"__part": F.spark_partition_id(), "__amount": amount}), "ranges")
     before = Window.partitionBy(F.lit(0)).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = parts.groupBy("__part").agg(F.count(F.lit(1)).alias("__n")).select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
-    inside = F.row_number().over(Window.partitionBy("__part").orderBy(key)) - 1
-    return parts.withColumn(out, inside).join(offsets, "__part").withColumn(out, F.col(out) + F.col("__before")).drop("__part", "__before")
+    offsets = parts.groupBy("__part").agg(F.sum("__amount").alias("__n")).select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    inside = F.coalesce(F.sum("__amount").over(Window.partitionBy("__part").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return parts.withColumn(out, inside).join(offsets, "__part").withColumn(out, F.col(out) + F.col("__before")).drop("__part", "__amount", "__before")
+
+
+def rank_rows(df: DataFrame, key: str, out: str) -> DataFrame:
+    """Add `out`, the row's position (from 0) by the unique `key`."""
+    return start_rows(df, key, F.lit(1), out)

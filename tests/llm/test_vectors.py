@@ -3,6 +3,7 @@ import math
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from pagemill.llm import embedding_dedup as D
 from pagemill.llm import registry, topk
@@ -135,6 +136,22 @@ def test_top_k_equals_brute_force(spark, group):
     assert sorted(map(tuple, found.collect())) == top(rows)
 
 
+def test_top_k_visits_few_groups_of_clusters(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, (np.eye(8)[i % 8] * 4 + rng.normal(size=8) * 0.1).tolist(), i % 8) for i in range(1600)]
+    df = spark.createDataFrame(rows, "id long, vector array<float>, ord int")
+    queries = df.where("id % 100 = 0").select("id", "vector")
+    found = sorted(map(tuple, topk.top_k(df, queries, group_rows=100, seed_rows=800).collect()))
+    assert found == top([(i, np.float32(e).tolist()) for i, e, _ in rows])
+    dealt = topk.dealt_docs(df.withColumn("vector", F.col("vector").cast("array<double>")), 100)
+    sizes = [r["count"] for r in dealt.groupBy("grp").count().collect()]
+    assert sum(sizes) == 1600 and max(sizes) <= 200
+    seed = dealt.limit(800).collect()
+    seeds = spark.sparkContext.broadcast((np.array([r.id for r in seed]), topk.quantised(np.array([r.vector for r in seed]))))
+    visits = topk.admitted(queries.withColumn("vector", F.col("vector").cast("array<double>")), topk.extremes_of(dealt), seeds, 10, 16).count()
+    assert visits < 0.5 * 16 * len(sizes)
+
+
 def test_top_k_small_tables(spark):
     kind = "id long, vector array<float>, ord int"
     df = spark.createDataFrame([(0, [1.0], None), (1, [2.0], 1)], kind)

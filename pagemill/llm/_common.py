@@ -6,6 +6,8 @@ import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import wraps
 
 import pyarrow as pa
@@ -36,14 +38,44 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+#: The lists of tables that open scratch blocks have made, the innermost last.
+_scratch: ContextVar[tuple[list[str], ...]] = ContextVar("scratch", default=())
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write `df` to the shared folder and read it back: lineage is cut and a lost executor costs one task, not the plan."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/pagemill-{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    for made in _scratch.get()[-1:]:
+        made.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Tables that `materialise` writes inside go at the end. What is given to the block's function is written and stays
+    (until the block around it ends, if there is one); nothing lazy that reads the others may leave the block."""
+    outer, made = _scratch.get(), []
+    token = _scratch.set((*outer, made))
+
+    def keep(df: DataFrame, label: str) -> DataFrame:
+        inner = _scratch.set(outer)
+        try:
+            return materialise(df, label)
+        finally:
+            _scratch.reset(inner)
+
+    try:
+        yield keep
+    finally:
+        _scratch.reset(token)
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in made:
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(conf).delete(at, True)
+
+
 def tidy(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """`work` on a task's batches; what it freed goes back to the system, as workers are used again by other tasks."""
 

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import materialise, table, tidy
+from ._common import materialise, scratch, table, tidy
 from ._vectors import matrix, runs, usable
 from .components import connected_components
 
@@ -392,6 +392,15 @@ def near_duplicate_vectors(rows: DataFrame, threshold: float = THRESHOLD, chunk_
     rows = rows.select("vec_id", F.col("label").cast("string").alias("label"), vector.alias("vector"), F.coalesce(fine, F.lit(False)).alias("fine"))
     rows = rows.withColumn("key", F.when(F.col("fine"), F.concat_ws("|", F.size("vector"), "label")))
     rows = rows.withColumn("vector", F.when(F.col("fine"), F.col("vector")))
+    with scratch(rows.sparkSession) as keep:
+        told = keep(_told(rows, threshold, chunk_rows, sample_rows), "vectors-told")
+    out = rows.where("fine").join(told, ["key", "vector"]).select("vec_id", "n_links", "component_id")
+    alone = rows.where("not fine").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    return out.unionByName(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+
+
+def _told(rows: DataFrame, threshold: float, chunk_rows: int, sample_rows: int) -> DataFrame:
+    """key, vector, n_links, component_id of each distinct vector of `rows` (vec_id, key, vector, fine)."""
     folded = rows.where("fine").groupBy("key", "vector").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("weight"))
     # Rows that repeat an id with other vectors share the id; numbers tell them apart inside.
     folded = materialise(folded.withColumn("rid", F.monotonically_increasing_id()), "vectors-folded")
@@ -401,10 +410,7 @@ def near_duplicate_vectors(rows: DataFrame, threshold: float = THRESHOLD, chunk_
     by_id = links.join(of_id.select(F.col("rid").alias("a"), F.col("id").alias("ia")), "a").join(of_id.select(F.col("rid").alias("b"), F.col("id").alias("ib")), "b")
     found = connected_components(by_id.select(F.col("ia").alias("a"), F.col("ib").alias("b")))
     told = folded.join(counts, "rid", "left").join(found, "id", "left")
-    told = told.select("key", "vector", (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("component", "id").alias("component_id"))
-    out = rows.where("fine").join(told, ["key", "vector"]).select("vec_id", "n_links", "component_id")
-    alone = rows.where("not fine").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
-    return out.unionByName(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+    return told.select("key", "vector", (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("component", "id").alias("component_id"))
 
 
 def op1_cover_tree_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,14 +28,14 @@ from __future__ import annotations
 
 import hashlib
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import materialise, slices, table, tidy
+from ._common import materialise, scratch, slices, table, tidy
 from ._vectors import runs
 from .components import connected_components
 
@@ -44,7 +44,7 @@ SIMILARITY = 0.8
 ORDER = 3
 BANDS = 16
 #: Documents of few shingles share fewer buckets at the same similarity.
-SHORT, SHORT_BANDS = 32, 24
+SHORT, SHORT_BANDS = 16, 24
 SEED = 20_190_707
 #: Shingles of one chunk of a bucket; documents and columns of one product.
 CHUNK_SHINGLES = 1 << 20
@@ -382,19 +382,17 @@ def links_within(entries: DataFrame, texts: DataFrame, similarity: float) -> Dat
     return units.select("band", "bucket", "chunk", "visits", "id", "component", "minor", "shingles").mapInArrow(meet, "a long, b long")
 
 
-def near_duplicate_classes(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, class_id and kept of every row of `docs`; a class's id is the least id in it, and that document is kept."""
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    plain = rows.where("id is not null and text is not null")
+def _classes(plain: DataFrame, similarity: float, keep: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """id, class_id of each id in `plain` (id, text), written by `keep`."""
     made = materialise(sketches(plain), "omh-sketches")
     # One row for each digest: the least id that has it. `rid` numbers texts, so that neither repeated rows nor ids that
     # several texts share multiply anything below. Written, as every use must see the same numbers.
     folded = made.groupBy("digest").agg(F.min(F.struct("id", "tkey", "n", "buckets")).alias("f")).select("digest", "f.*")
     folded = materialise(folded.withColumn("rid", F.monotonically_increasing_id()), "omh-folded")
-    entries = folded.where("n > 0").select(F.col("rid").alias("id"), "n", F.posexplode("buckets").alias("band", "bucket"))
-    shared = entries.groupBy("band", "bucket").agg(F.min(F.struct("id", "n")).alias("hub"), F.max("id").alias("last")).where("hub.id <> last")
-    shared = materialise(shared.select("band", "bucket", F.col("hub.id").alias("hub"), F.col("hub.n").alias("hub_n")), "omh-shared")
-    entries = materialise(entries.join(shared, ["band", "bucket"]), "omh-entries")
+    entries = folded.where("n > 0").select(F.col("id").alias("doc"), F.col("rid").alias("id"), "n", F.posexplode("buckets").alias("band", "bucket"))
+    shared = entries.groupBy("band", "bucket").agg(F.min(F.struct("doc", "id", "n")).alias("hub"), F.max("id").alias("last"), F.min("id").alias("first")).where("first <> last")
+    shared = shared.select("band", "bucket", F.col("hub.id").alias("hub"), F.col("hub.n").alias("hub_n"))
+    entries = materialise(entries.drop("doc").join(shared, ["band", "bucket"]), "omh-entries")
 
     # The text of each document that shares a bucket, once.
     wanted = entries.select("id").distinct().withColumnRenamed("id", "rid").join(folded.select("rid", "id", F.col("tkey").alias("key")), "rid")
@@ -419,7 +417,15 @@ def near_duplicate_classes(docs: DataFrame, similarity: float = SIMILARITY, id_c
     told = materialise(of_digest.join(least, "component").select("digest", "class_id"), "omh-classes")
     classes = made.select("id", "digest").join(told, "digest")
     # An id with several texts gets its least class.
-    classes = materialise(classes.groupBy("id").agg(F.min("class_id").alias("class_id")), "omh-ids")
+    return keep(classes.groupBy("id").agg(F.min("class_id").alias("class_id")), "omh-ids")
+
+
+def near_duplicate_classes(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, class_id and kept of every row of `docs`; a class's id is the least id in it, and that document is kept."""
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    plain = rows.where("id is not null and text is not null")
+    with scratch(docs.sparkSession) as keep:
+        classes = _classes(plain, similarity, keep)
     out = rows.select("id").join(classes, "id", "left")
     return out.select(F.col("id").alias(id_col), F.coalesce("class_id", "id").alias("class_id"), F.coalesce(F.col("class_id") == F.col("id"), F.lit(True)).alias("kept"))
 

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._common import materialise, table
+from ._common import materialise, scratch, table
 
 #: (kind, expression, what a text must contain to be searched), in the order of the output.
 KINDS = (
@@ -183,12 +183,14 @@ def discover(base: DataFrame, candidates: DataFrame, docs: DataFrame, support: i
 
 def personal_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(scanned, spans): `scanned` has id and key of each row of `docs` (id, text), `spans` key, kind, start, end, m."""
-    scanned = materialise(scan(docs), "pii-scan")
-    spans = materialise(spans_of(scanned).where((F.col("kind") == FOUND) | passes(F.col("kind"), F.col("m"))), "pii-spans")
-    base = spans.where(F.col("kind") != FOUND)
-    candidates = materialise(untouched(spans), "pii-candidates")
-    found = discover(base, candidates, docs.select("text"))
-    return scanned.select("id", "key"), base.select("key", "kind", "start", "end", "m").unionByName(found)
+    with scratch(docs.sparkSession) as keep:
+        scanned = materialise(scan(docs), "pii-scan")
+        spans = materialise(spans_of(scanned).where((F.col("kind") == FOUND) | passes(F.col("kind"), F.col("m"))), "pii-spans")
+        base = spans.where(F.col("kind") != FOUND)
+        candidates = materialise(untouched(spans), "pii-candidates")
+        found = discover(base, candidates, docs.select("text"))
+        told = base.select("key", "kind", "start", "end", "m").unionByName(found)
+        return keep(scanned.select("id", "key"), "pii-keys"), keep(told, "pii-found")
 
 
 def listed(spans: Column) -> Column:

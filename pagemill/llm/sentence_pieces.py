@@ -36,7 +36,7 @@ from .token_counts import MARK, public_path
 #: Characters of a word that is cut where no piece goes on, and of a part whose rounds merge several pairs.
 CUT_FROM, SEVERAL_FROM = 48, 48
 #: Words, and characters of them, that a task keeps from batch to batch.
-KEPT_WORDS = 100_000
+KEPT_WORDS = 60_000
 KEPT_CHARACTERS = 1 << 22
 #: Characters that are encoded in one flat array.
 FLAT = 1 << 18
@@ -310,7 +310,7 @@ def encode_texts(docs: DataFrame, path: str, with_ids: bool = True) -> DataFrame
         e = encoder(path)
         for whole in batches:
             lengths = [n or 0 for n in pa.compute.utf8_length(whole.column("text")).to_pylist()]
-            for a, b in batches_of(lengths, 1 << 21):
+            for a, b in batches_of(lengths, 1 << 19):
                 batch = whole.slice(a, b - a)
                 texts = [e.words(t or "") for t in batch.column("text").to_pylist()]
                 known = e.learn({w for words in texts for w in words})
@@ -322,7 +322,7 @@ def encode_texts(docs: DataFrame, path: str, with_ids: bool = True) -> DataFrame
                     # Byte pieces of one character never span words, so words decode one by one.
                     decoded.append(digest("".join([x[2] for x in found])[1:]))
                     if with_ids:
-                        full.append([int(i) for x in found for i in x[1].split(",")])
+                        full.append(np.fromstring(",".join([x[1] for x in found]), dtype=np.int32, sep=",") if found else [])
                 out = [batch.column("row"), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())]
                 out += [pa.array(full, pa.list_(pa.int32()))] * with_ids
                 yield pa.RecordBatch.from_arrays(out, names=[f.name for f in schema])

@@ -47,7 +47,7 @@ BANDS = 16
 SHORT, SHORT_BANDS = 16, 24
 SEED = 20_190_707
 #: Shingles of one chunk of a bucket; documents and columns of one product.
-CHUNK_SHINGLES = 1 << 20
+CHUNK_SHINGLES = 1 << 18
 GUESTS, HOSTS, COLUMNS = 256, 2_048, 2_048
 #: Shingles of a document, and characters of words, that are hashed at a time.
 PIECE = 1 << 16

@@ -31,7 +31,7 @@ from ._common import materialise, start_rows, table, tidy
 from ._vectors import matrix, runs, usable, widened
 
 #: Documents of a group, and bytes of them as doubles.
-GROUP_ROWS, GROUP_BYTES = 8_192, 1 << 26
+GROUP_ROWS, GROUP_BYTES = 2_048, 1 << 26
 BLOCK = 256
 SEED_ROWS, SEED_BYTES = 2_048, 1 << 23
 #: Groups whose extremes one task holds, and queries that pass by them.
@@ -138,9 +138,8 @@ def admitted(queries: DataFrame, extremes: DataFrame, seeds, k: int, n_queries:
     slices_ = max(1, -(-n_queries // QUERIES))
     nothing = F.lit(None).cast("array<double>")
     held = extremes.select(F.floor(F.col("grp") / SUPER).cast("int").alias("part"), F.explode(F.sequence(F.lit(0), F.lit(slices_ - 1))).alias("slice"), F.lit(0).alias("side"), F.col("grp").cast("long").alias("id"), "least", "largest")
-    parts = extremes.select(F.floor(F.col("grp") / SUPER).cast("int").alias("part")).distinct()
-    asked = queries.withColumn("one", F.lit(1)).join(parts.withColumn("one", F.lit(1)), "one")  # a query once for each SUPER groups
-    asked = asked.select("part", F.pmod(F.xxhash64("id"), F.lit(slices_)).cast("int").alias("slice"), F.lit(1).alias("side"), "id", F.col("vector").alias("least"), nothing.alias("largest"))
+    parts = (extremes.agg(F.max("grp")).first()[0] or 0) // SUPER  # a query goes once to each SUPER groups
+    asked = queries.select(F.explode(F.sequence(F.lit(0), F.lit(parts))).alias("part"), F.pmod(F.xxhash64("id"), F.lit(slices_)).cast("int").alias("slice"), F.lit(1).alias("side"), "id", F.col("vector").alias("least"), nothing.alias("largest"))
     units = held.unionByName(asked).repartition("part", "slice").sortWithinPartitions("part", "slice", "side")
 
     @tidy

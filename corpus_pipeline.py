@@ -43,7 +43,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     ids = ids.withColumn("class_id", F.when(F.col("same").isNull(), F.col("class_id")))
     kept = ids.groupBy("class_id", "same").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key"))["key"].alias("key"))
     kept = materialise(kept.select("key"), "dedup-kept")
-    return rows.join(kept, "key", "left_semi").select(*[F.col("row")[c].alias(c) for c in docs.columns])
+    # Kept keys grow with the rows, so the join never broadcasts them.
+    return rows.join(kept.hint("merge"), "key", "left_semi").select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -25,6 +25,8 @@ from pyspark.sql import types as T
 from ._common import hex_digits, materialise, number_rows, table
 
 SIGNIFICANT_BITS = 12
+#: Positions of a class that meet the runs among them in `shard_by_capacity`.
+STRIDE = 4_096
 
 
 class CapacityTree:
@@ -184,24 +186,53 @@ def text_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
 
 
-def shard_by_size(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, size, text_crc32, grp, shard and slot (gapless from 0 in each shard) of every row of `docs`."""
-    spark = docs.sparkSession
+def size_classes(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, list[tuple[int, int]]]:
+    """The rows with their groups, the groups with their classes (both written), and the number of groups in each class."""
     base = materialise(text_groups(docs, id_col, text_col), "shard-base")
     groups = base.groupBy("grp").agg(F.sum("size").alias("bytes"))
-    groups = groups.select("grp", size_class(F.col("bytes")).alias("class"))
-    groups = materialise(groups, "shard-groups")
+    groups = materialise(groups.select("grp", size_class(F.col("bytes")).alias("class")), "shard-groups")
     histogram = groups.groupBy("class").agg(F.count(F.lit(1)).alias("n")).collect()  # bounded: see the module's text
-    digits = hex_digits(sum(r.n for r in histogram))
-    runs = pack_into([(r["class"], r.n) for r in histogram], shards)
+    return base, groups, [(r["class"], r.n) for r in histogram]
+
+
+def table_of_runs(spark: SparkSession, runs: list[Run]) -> DataFrame:
     schema = T.StructType([T.StructField(n, T.LongType() if n != "shard" else T.IntegerType(), False) for n in ("class", "first", "last", "shard")])
-    plan = spark.createDataFrame([(r.size, r.first, r.last, r.bin) for r in runs], schema)  # a few rows for each class
-    ranked = number_rows(groups.withColumn("bucket", F.substring("grp", 1, digits)), ["class"], "bucket", ["grp"], "position")
-    placed = ranked.join(F.broadcast(plan), "class").where(F.col("position").between(F.col("first"), F.col("last"))).select("grp", "shard")
+    return spark.createDataFrame([(r.size, r.first, r.last, r.bin) for r in runs], schema)
+
+
+def positions(groups: DataFrame, digits: int) -> DataFrame:
+    """`groups` with their number in the class as `position`."""
+    return number_rows(groups.withColumn("bucket", F.substring("grp", 1, digits)), ["class"], "bucket", ["grp"], "position")
+
+
+def shard_by_size(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, size, text_crc32, grp, shard and slot (gapless from 0 in each shard) of every row of `docs`."""
+    base, groups, classes = size_classes(docs, id_col, text_col)
+    digits = hex_digits(sum(n for _, n in classes))
+    plan = table_of_runs(docs.sparkSession, pack_into(classes, shards))  # a few rows for each class
+    placed = positions(groups, digits).join(F.broadcast(plan), "class").where(F.col("position").between(F.col("first"), F.col("last"))).select("grp", "shard")
     rows = base.join(placed, "grp").withColumn("bucket", F.substring(F.lower(F.lpad(F.hex(F.xxhash64("doc_id")), 16, "0")), 1, digits))
     return number_rows(rows, ["shard"], "bucket", ["doc_id", "grp"], "slot")
 
 
+def shard_by_capacity(docs: DataFrame, capacity: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, size, text_crc32, grp and shard of every row of `docs`, in as few shards of `capacity` bytes as best fit
+    decreasing takes. A group above the capacity gets a shard of its own.
+
+    Runs grow with the number of shards. They are cut at every STRIDE positions and joined on class and stretch, so
+    that no run meets all groups of its class and no class is one task's.
+    """
+    if capacity < 1:
+        raise ValueError("capacity must be positive")
+    base, groups, classes = size_classes(docs, id_col, text_col)
+    runs, _ = best_fit_decreasing(classes, capacity)
+    stretch = F.explode(F.sequence(F.floor(F.col("first") / STRIDE), F.floor(F.col("last") / STRIDE)))
+    plan = table_of_runs(docs.sparkSession, runs).withColumn("stretch", stretch)
+    ranked = positions(groups, hex_digits(sum(n for _, n in classes))).withColumn("stretch", F.floor(F.col("position") / STRIDE))
+    placed = ranked.join(plan.hint("merge"), ["class", "stretch"]).where(F.col("position").between(F.col("first"), F.col("last"))).select("grp", "shard")
+    return base.join(placed, "grp").select("doc_id", "size", "text_crc32", "grp", "shard")
+
+
 def op2_best_fit_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All `documents` in shards 0 to 7 of near equal bytes."""
     out = shard_by_size(table(spark, sf_dir, "documents"), 8)

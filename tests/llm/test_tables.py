@@ -83,6 +83,28 @@ def test_shards_are_even_without_large_groups(spark):
     assert sharding.shard_by_size(docs(spark, []), 8).count() == 0
 
 
+def test_shards_of_a_capacity(spark, monkeypatch):
+    random.seed(4)
+    monkeypatch.setattr(sharding, "STRIDE", 16)  # runs pass its borders
+    texts = [f"{i:04}" + "z" * random.choice([1, 1, 1, 30, 200]) for i in range(600)]
+    rows = [(i, t, "a") for i, t in enumerate(texts)] + [(1000 + i, "copy" * 100, "a") for i in range(7)] + [(2000, None, "a"), (None, None, "a"), (2001, "", "a"), (3, texts[3], "a")]
+    found = sharding.shard_by_capacity(docs(spark, rows), 1000).collect()
+    assert sorted((-1 if r.doc_id is None else r.doc_id) for r in found) == sorted(-1 if i is None else i for i, _, _ in rows)
+    groups, held = Counter(), defaultdict(set)
+    for r in found:
+        groups[r.grp] += r["size"]
+        held[r.grp].add(r.shard)
+    assert all(len(g) == 1 for g in held.values())
+    total = Counter()
+    for g, size in groups.items():
+        total[min(held[g])] += size
+    assert sorted(max(1000, t) - t for t in total.values()) == plain_best_fit(groups.values(), 1000)
+    assert [t for t in total.values() if t > 1000] == [7 * 401] and set(total) == set(range(len(total)))
+    assert sharding.shard_by_capacity(docs(spark, []), 1000).count() == 0
+    with pytest.raises(ValueError):
+        sharding.shard_by_capacity(docs(spark, rows), 0)
+
+
 def plain_targets(sizes, weights=(5, 2, 1), share=1.5, most=2):
     names = sorted(sizes, key=lambda s: (s is None, s))
     w = {s: weights[i % 3] for i, s in enumerate(names)}

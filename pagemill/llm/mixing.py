@@ -6,7 +6,8 @@ offset of the source is cut at the integers, and a document is emitted once for
 the layout is by size, what is taken follows the target to within a few documents.
 
 Prefix sums need no running total here: with equal expectations e the sum before position r is r * e. Positions come
-from counts of (source, size), so no task holds a whole source; rows of one source and size that are too many for a task
+from counts of (source, size), so no task holds a whole source. That table grows with the documents: rows meet it in a merge
+join salted by their md5 (HEX), never in a broadcast. Rows of one source and size that are too many for a task
 are split by their md5, and rows alike in everything are counted, numbered together and written out again in portions.
 
 Defined results: a null text has size 0; a null source is a source of its own and comes last; documents of size 0 are
@@ -28,6 +29,7 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST_COPIES = 2
 SEED = "mix-1"
+HEX = "0123456789abcdef"
 
 
 def word_count(text):
@@ -75,7 +77,9 @@ def systematic_mix(docs: DataFrame, carry: list[str], weights: Sequence[int] = W
     digits = F.greatest(F.lit(0), F.ceil(F.log(16.0, F.col("n") / F.lit(float(rows_per_bucket))))).cast("int")
     starts = by_size.select("key", "size", F.coalesce(F.sum("n").over(smaller), F.lit(0)).alias("start"), digits.alias("digits"))
     starts = materialise(starts.join(targets, "key"), "mix-starts")
-    placed = base.join(starts, ["key", "size"]).withColumn("bucket", F.substring("spread", F.lit(1), F.col("digits")))
+    salted = starts.withColumn("salt", F.explode(F.array(*map(F.lit, HEX))))
+    placed = base.withColumn("salt", F.substring("spread", 1, 1)).join(salted.hint("merge"), ["key", "size", "salt"]).drop("salt")
+    placed = placed.withColumn("bucket", F.substring("spread", F.lit(1), F.col("digits")))
     whole = ["key", "size", "bucket"]
     before = Window.partitionBy("key", "size").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = base.join(starts.where("digits > 0").select("key", "size", "digits"), ["key", "size"]).withColumn("bucket", F.substring("spread", F.lit(1), F.col("digits")))

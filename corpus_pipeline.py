@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagemill.llm._common import materialise, table
-from pagemill.llm.language_id import identify, language_prototypes
+from pagemill.llm.language_id import identify, language_prototypes, recognised
 from pagemill.llm.minhash_dedup import near_duplicate_classes
 from pagemill.llm.mixing import systematic_mix
 from pagemill.llm.personal_data import redacted
@@ -27,9 +27,13 @@ def numbered(docs: DataFrame, label: str) -> DataFrame:
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language (null texts and texts without letters) go; a null `lang` gets the prediction."""
-    found = identify(docs, language_prototypes(docs.select("doc_id", "text", "lang")))
-    found = found.where(F.col("lang_pred") != "und")
+    """Documents without a language go: null texts, texts without letters, and texts that are no nearer to the learnt
+    languages than chance (gibberish, other scripts). A null `lang` gets the prediction. Where no document is labelled
+    nothing is learnt, and only texts without letters go."""
+    prototypes = language_prototypes(docs.select("doc_id", "text", "lang"))
+    found = identify(docs, prototypes)
+    text = F.col("row.text")
+    found = found.where(recognised(text, F.col("lang_pred"), F.col("score")) if prototypes else text.rlike(r"\p{L}"))
     return found.select(*[F.coalesce(F.col("row")[c], F.col("lang_pred")).alias(c) if c == "lang" else F.col("row")[c].alias(c) for c in docs.columns])
 
 

@@ -5,6 +5,9 @@ trigram binds three of them, permuted by position: V(abc) = r(r(L_a)) * r(L_b) *
 vector bundles (adds) its trigrams; a language's prototype bundles the documents of that language. A document gets the
 language whose prototype has the largest cosine with it; `score` is that cosine, cut to 0 to 1.
 
+Vectors that share nothing have cosines of about 1 / sqrt(DIMENSIONS), whatever the number of trigrams. `recognised` holds
+for texts whose score is above that noise (NOISE); short ones (fewer than LETTERS letters) get the benefit of the doubt.
+
 Training takes at most SAMPLE_PER_LANGUAGE labelled documents of each language, those whose hashed ids come first. Their
 ids, bounded by that, are sent to all executors, which add up the bundles of their own documents; texts don't move.
 Bundles are sums of integers, so reruns agree. Whole texts are read; PIECE characters at a time, and neighbouring pieces
@@ -32,6 +35,8 @@ SAMPLE_PER_LANGUAGE = 1_000
 #: Most bits of the hash that tell apart the bins of a language.
 BIN_BITS = 16
 PIECE = 1 << 20
+#: Two standard deviations of the cosine of unlike vectors, and letters of a text that is long enough to be rejected for it.
+NOISE, LETTERS = 2 / DIMENSIONS**0.5, 20
 #: Trigrams whose vectors one worker keeps; they are rebuilt from the letters when more are needed.
 KEPT_TRIGRAMS = 20_000
 GAP = 0x20
@@ -192,6 +197,11 @@ def identify(docs: DataFrame, prototypes: dict[str, np.ndarray]) -> DataFrame:
     return packed.mapInArrow(predict, schema)
 
 
+def recognised(text: Column, lang_pred: Column, score: Column) -> Column:
+    """Whether a text has letters and is not, by its score, in a language that no prototype stands for."""
+    return (lang_pred != "und") & ((score >= NOISE) | (F.regexp_count(text, F.lit(r"\p{L}")) < LETTERS))
+
+
 def op4_hyperdimensional_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The predicted language of every document, learnt from the three quarters that aren't held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")

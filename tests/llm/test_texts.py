@@ -6,6 +6,7 @@ import duckdb
 import numpy as np
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from pagemill.llm import language_id, minhash_dedup, mixing, personal_data, registry, sentence_pieces, token_counts
@@ -383,6 +384,22 @@ def test_stages_keep_columns(spark, name):
         assert sorted(str(r.doc_id) for r in stage(spark, df, SF).collect()) == ["1", "3", "None"]
 
 
+def test_language_stage_rejects_what_no_language_explains(spark):
+    clean = [(i, t, lang, "s", 1, "x") for i, t, lang in documents()]
+    strange = ["qwxz kjvq zzxq pqkw vbnx qqzz wxkj zxqv", "ой у лузі червона калина похилилася, зажурилася", "今日は天気がいいですね。明日も晴れるといいですね。", "a" * 300]
+    other = [*strange, "今日は", "A.", "12 34", "", None]
+    df = spark.createDataFrame(clean + [(9000 + i, t, None, "s", 1, "x") for i, t in enumerate(other)], KIND)
+    found = {r.doc_id: r.lang for r in corpus_pipeline.identify_language(spark, df, SF).collect()}
+    assert set(found) == {r[0] for r in clean} | {9004, 9005} and None not in found.values()
+    known = language_id.language_prototypes(df)
+    for text in strange:  # by the definition, one trigram after the other
+        v = plain_bundle(text)
+        assert max(float(v @ known[x]) for x in known) / np.linalg.norm(v) < 2 / 32
+    unlabelled = df.withColumn("lang", F.lit(None).cast("string"))
+    kept = corpus_pipeline.identify_language(spark, unlabelled, SF).collect()
+    assert {r.doc_id for r in kept} == {r[0] for r in clean} | {9000 + i for i in range(6)} and {r.lang for r in kept} == {"und"}
+
+
 def test_mix_takes_rows_without_or_with_shared_ids_by_their_source(spark):
     rows = [(None, f"w{i} " * 20, None, source, None, str(i)) for i in range(400) for source in "abc"]
     rows += [(7, f"v{i} " * 20, None, "c", None, str(i)) for i in range(400)]

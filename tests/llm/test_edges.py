@@ -5,12 +5,14 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from pagemill.llm._vectors import usable
 from pagemill.llm.registry import QUERIES
 
-TABLES = ("documents", "embeddings", "pages")
+TABLES = ("documents", "embeddings", "pages", "labels", "sales", "client_changes")
 #: Names that operators use themselves.
 CLASHES = (
     "id", "key", "row", "size", "n", "bucket", "class_id", "kept", "rank", "score", "vector", "ord", "grp", "label", "digest", "hits", "spans",
+    "batch", "client", "rec", "seen_at", "toxic_m", "code", "error", "label_error", "part", "entry", "salt", "chunk", "predicted", "held_out",
     "copies", "tokens", "host", "path", "verdict", "rule", "fixed", "lang_pred", "target", "shard", "slot", "component_id", "text_m", "at", "copy", "same",
 )
 SOURCE = "/root/testdata/sf0.001"
@@ -59,13 +61,18 @@ def ids_of(df, name):
 def test_hard_rows_keep_their_place(spark, hard, name):
     """One row for each row of the table, with its id; searches only answer."""
     found = QUERIES[name](spark, hard)
-    table, key = {"op1": ("embeddings", "vec_id"), "op5": ("embeddings", "vec_id"), "op10": ("pages", "page_id")}.get(name.split("_")[0], ("documents", "doc_id"))
+    places = {"op1": ("embeddings", "vec_id"), "op5": ("embeddings", "vec_id"), "op10": ("pages", "page_id"), "op12": ("sales", "sale_id"), "op13": ("embeddings", "vec_id")}
+    table, key = places.get(name.split("_")[0], ("documents", "doc_id"))
     if name.startswith("op5"):
         rows = found.collect()
         assert rows and all(r["query_id"] is not None and r["query_id"] != r["vec_id"] for r in rows)
         return
-    found = found.cache()
-    assert ids_of(found, key) == ids_of(spark.read.parquet(f"{hard}/{table}.parquet"), key)
+    if name.startswith("op12"):
+        found = found.where("rec = 'sale'").withColumnRenamed("id", "sale_id")
+    found, rows = found.cache(), spark.read.parquet(f"{hard}/{table}.parquet")
+    if name.startswith("op13"):
+        rows = rows.where(usable(F.col("embedding")))
+    assert ids_of(found, key) == ids_of(rows, key)
     found.unpersist()
 
 

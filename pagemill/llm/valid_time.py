@@ -52,6 +52,7 @@ LATE, SOLD, PART = 0, 1, 2
 FEED = "bucket int, kind byte, client long, chunk int, chunks int, at long, seq long, id long, cents long, op string, mark long, seen_at timestamp"
 VERSION = ["client", "chunk", "chunks", "at", "seq", "id", "cents", "op"]
 WAITING = ["client", "chunk", "chunks", "at", "id"]
+ARRIVING = ["kind", "mark", *VERSION]
 OUT = "rec byte, client long, chunk int, chunks int, id long, batch long, at long, n_held long, change_id long, cents long, op string, seq long, version_at long, came long, passed long, passed_at long"
 OUT_TYPES = {c: {"byte": "int8", "int": "int32", "long": "int64", "string": object}[t] for c, t in (x.split() for x in OUT.split(", "))}
 
@@ -74,87 +75,112 @@ def day_of(ts: Column) -> Column:
     return F.unix_date(ts.cast("date"))
 
 
-# The stream's state: what a bucket does with a batch, in arrays.
+# The stream's state: what a bucket does with a batch, in arrays by column name.
 
+Rows = dict[str, np.ndarray]
 
-def packed(rows: pd.DataFrame) -> bytes:
-    batch = pa.RecordBatch.from_pandas(rows, preserve_index=False)
+
+def empty(columns: list[str]) -> Rows:
+    return {c: np.zeros(0, dtype=object if c == "op" else bool if c == "passed" else np.int64) for c in columns}
+
+
+def taken(rows: Rows, which: np.ndarray, columns: list[str] | None = None) -> Rows:
+    return {c: rows[c][which] for c in columns or rows}
+
+
+def joined(a: Rows, b: Rows) -> Rows:
+    return {c: np.concatenate([a[c], b[c]]) for c in a}
+
+
+def packed(rows: Rows) -> bytes:
+    batch = pa.RecordBatch.from_pydict({c: pa.array(v, pa.string() if c == "op" else None) for c, v in rows.items()})
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, batch.schema) as out:
         out.write_batch(batch)
     return sink.getvalue().to_pybytes()
 
 
-def unpacked(data: bytes) -> pd.DataFrame:
-    return pa.ipc.open_stream(data).read_pandas()
+def unpacked(data: bytes) -> Rows:
+    batch = pa.ipc.open_stream(data).read_next_batch()
+    return {c: v.to_numpy(zero_copy_only=False) for c, v in zip(batch.schema.names, batch.columns, strict=True)}
+
+
+def told(rec: int, batch: int, n: int, columns: Rows) -> pd.DataFrame:
+    """OUT rows; columns that aren't given are NONE."""
+    given = columns | {"rec": np.full(n, rec), "batch": np.full(n, batch)}
+    return pd.DataFrame({c: given[c] if t is object and c in given else np.full(n, None) if t is object else given.get(c, np.full(n, NONE)).astype(t) for c, t in OUT_TYPES.items()})
 
 
-def groups_of(rows: pd.DataFrame) -> np.ndarray:
+def groups_of(rows: Rows) -> np.ndarray:
     """For rows sorted by client and chunk the number of their (client, chunk)."""
-    c, k = rows["client"].to_numpy(), rows["chunk"].to_numpy()
-    return np.cumsum(np.r_[False, (c[1:] != c[:-1]) | (k[1:] != k[:-1])]) if len(rows) else np.zeros(0, dtype=np.int64)
+    c, k = rows["client"], rows["chunk"]
+    return np.cumsum(np.r_[False, (c[1:] != c[:-1]) | (k[1:] != k[:-1])]) if len(c) else np.zeros(0, dtype=np.int64)
 
 
-def matched(versions: pd.DataFrame, sales: pd.DataFrame) -> pd.DataFrame:
+def matched(versions: Rows, sales: Rows) -> Rows:
     """`sales` with n_held, version_at, seq, change_id, cents, op of the last version (sorted `versions`) that held then."""
-    both = pd.concat([versions.assign(side=0), sales.assign(seq=NONE, cents=NONE, op="", side=1)], ignore_index=True)
-    order = np.lexsort((both["side"], both["at"], both["chunk"], both["client"]))  # stable: versions keep their order
-    both = both.iloc[order].reset_index(drop=True)
-    group, is_version = groups_of(both), both["side"].to_numpy() == 0
-    place = np.arange(len(both))
-    last = np.maximum.accumulate(np.where(is_version, place, -1)) if len(both) else place
+    n, m = len(versions["at"]), len(sales["at"])
+    both = {c: np.concatenate([versions[c], sales[c]]) for c in ("client", "chunk", "at")}
+    is_version = np.arange(n + m) < n
+    order = np.lexsort((~is_version, both["at"], both["chunk"], both["client"]))  # stable: versions keep their order
+    both, is_version = taken(both, order), is_version[order]
+    group = groups_of(both)
+    last = np.maximum.accumulate(np.where(is_version, np.arange(n + m), -1))
     found = (last >= 0) & (group[np.maximum(last, 0)] == group)
-    held = np.bincount(group, weights=is_version).astype(np.int64)[group] if len(both) else place
-    own = both["client"].to_numpy() != NONE
-    timed = both["at"].to_numpy() != NONE
-    take = np.where(found & own & timed, last, -1)
-    out = both[WAITING].assign(n_held=np.where(own, held, 0))
-    for to, c in (("version_at", "at"), ("seq", "seq"), ("change_id", "id"), ("cents", "cents")):
-        out[to] = np.where(take >= 0, both[c].to_numpy()[np.maximum(take, 0)], NONE)
-    out["op"] = np.where(take >= 0, both["op"].to_numpy(dtype=object)[np.maximum(take, 0)], None)
-    return out[~is_version]
-
-
-def advanced(versions: pd.DataFrame, waiting: pd.DataFrame, rows: pd.DataFrame, h_ms: int | None, batch: int) -> tuple[pd.DataFrame, pd.DataFrame, list[pd.DataFrame]]:
+    held = np.bincount(group, weights=is_version).astype(np.int64)[group]
+    own = both["client"] != NONE
+    take = np.where(found & own & (both["at"] != NONE), order[np.maximum(last, 0)], -1)[~is_version]
+    out = taken(sales, order[~is_version] - n) | {"n_held": np.where(own, held, 0)[~is_version]}
+    for to, c in (("version_at", "at"), ("seq", "seq"), ("change_id", "id"), ("cents", "cents"), ("op", "op")):
+        none = None if c == "op" else NONE
+        out[to] = np.where(take >= 0, versions[c][np.maximum(take, 0)], none) if n else np.full(m, none)
+    return out
+
+
+def advanced(versions: Rows, waiting: Rows, rows: Rows, h_ms: int | None, batch: int) -> tuple[Rows, Rows, list[pd.DataFrame]]:
     """One batch of a bucket: (versions, waiting sales, output). `h_ms` is None where there is no watermark yet."""
-    kind = rows["kind"].to_numpy()
+    kind = rows["kind"]
     flush = bool((kind == FLUSH).any())
-    changes = rows[kind == CHANGE]
+    out = []
+    changes = taken(rows, kind == CHANGE)
     late = (changes["mark"] != NONE) & (changes["at"] < changes["mark"])
-    out = [changes.loc[late, ["client", "chunk", "chunks", "id"]].assign(rec=LATE)]
-    fresh = changes.loc[~late, VERSION].assign(passed=False, came=True)
-    versions = pd.concat([versions.assign(came=False), fresh], ignore_index=True)
-    versions = versions.iloc[np.lexsort(tuple(versions[c] for c in ("id", "seq", "at", "chunk", "client")))].reset_index(drop=True)
-    waiting = pd.concat([waiting, rows.loc[kind == SALE, WAITING]], ignore_index=True)
-    at = waiting["at"].to_numpy()
-    free = np.full(len(at), True) if flush else (at == NONE) | (at // 1000 < h_ms if h_ms is not None else False)
+    if late.any():
+        out.append(told(LATE, batch, int(late.sum()), taken(changes, late, ["client", "chunk", "chunks", "id"])))
+    came = int((~late).sum())
+    is_new = np.arange(len(versions["at"]) + came) >= len(versions["at"])
+    if came:
+        versions = joined(versions, taken(changes, ~late, VERSION) | {"passed": np.zeros(came, dtype=bool)})
+        order = np.lexsort(tuple(versions[c] for c in ("id", "seq", "at", "chunk", "client")))
+        versions, is_new = taken(versions, order), is_new[order]
+    waiting = joined(waiting, taken(rows, kind == SALE, WAITING))
+    at = waiting["at"]
+    free = np.full(len(at), True) if flush else (at == NONE) | (at // 1000 < h_ms) if h_ms is not None else at == NONE
     if free.any():
-        out.append(matched(versions[VERSION], waiting[free]).assign(rec=SOLD))
-    waiting = waiting[~free]
-
-    group, at = groups_of(versions), versions["at"].to_numpy()
-    passed = at // 1000 <= h_ms if h_ms is not None and not flush else np.full(len(at), False)
-    passed |= versions["passed"].to_numpy(dtype=bool)
-    new = passed & ~versions["passed"].to_numpy(dtype=bool)
-    told = versions.assign(group=group, new=new, at_passed=np.where(passed, at, NONE))[versions["chunks"].to_numpy() > 1]
-    told = told[told.groupby("group")["new"].transform("any") | told.groupby("group")["came"].transform("any")]
-    if len(told):
-        per = told.groupby("group")
-        last = per.tail(1).set_index("group")
-        sums = per.agg(came=("came", "sum"), passed=("new", "sum"), passed_at=("at_passed", "max"))
-        last = last[["client", "chunk", "chunks", "at", "seq", "id", "cents", "op"]].rename(columns={"at": "version_at", "id": "change_id"}).join(sums)
-        out.append(last.assign(rec=PART))
+        out.append(told(SOLD, batch, int(free.sum()), matched(versions, taken(waiting, free))))
+        waiting = taken(waiting, ~free)
+
+    group, at, before = groups_of(versions), versions["at"], versions["passed"]
+    passed = before | (at // 1000 <= h_ms) if h_ms is not None and not flush else before
+    moved = passed & ~before
+    if len(at) and (versions["chunks"] > 1).any():
+        n = group[-1] + 1
+        came_in, passed_in = np.bincount(group, weights=is_new, minlength=n), np.bincount(group, weights=moved, minlength=n)
+        last = np.flatnonzero(np.r_[group[1:] != group[:-1], True])
+        passed_at = np.full(n, NONE)
+        np.maximum.at(passed_at, group, np.where(passed, at, NONE))
+        some = ((came_in > 0) | (passed_in > 0)) & (versions["chunks"][last] > 1)
+        if some.any():
+            rows_ = taken(versions, last[some], ["client", "chunk", "chunks", "seq", "cents", "op"])
+            rows_ |= {"version_at": at[last[some]], "change_id": versions["id"][last[some]], "came": came_in[some], "passed": passed_in[some], "passed_at": passed_at[some]}
+            out.append(told(PART, batch, int(some.sum()), rows_))
     # Of the versions that H has passed only the last of a (client, chunk) stays; they stand before those it hasn't.
     stays = ~passed | np.r_[(group[1:] != group[:-1]) | ~passed[1:], True][: len(at)]
-    versions = versions.assign(passed=passed)[stays].drop(columns="came")
-    for part in out:
-        part["batch"] = batch
-    return versions, waiting, out
+    return taken(versions | {"passed": passed}, stays), waiting, out
 
 
-def next_timer(versions: pd.DataFrame, waiting: pd.DataFrame) -> int | None:
+def next_timer(versions: Rows, waiting: Rows) -> int | None:
     """The millisecond that the watermark has to exceed before a sale is released or a version passed."""
-    times = [waiting["at"].to_numpy() // 1000, versions.loc[~versions["passed"].to_numpy(dtype=bool), "at"].to_numpy() // 1000 - 1]
+    times = [waiting["at"] // 1000, versions["at"][~versions["passed"]] // 1000 - 1]
     least = min((int(t.min()) for t in times if len(t)), default=None)
     return None if least is None else max(1, least)
 
@@ -164,33 +190,18 @@ def enriched_stream(feed: DataFrame, batch: int) -> DataFrame:
 
     def advance(key: tuple, parts: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
         h = state.getCurrentWatermarkMs()
-        if state.exists:
-            versions, waiting = (unpacked(x) for x in state.get)
-        else:
-            versions = pd.DataFrame({c: np.zeros(0, dtype=object if c == "op" else np.int64) for c in VERSION}).assign(passed=False)
-            waiting = pd.DataFrame({c: np.zeros(0, dtype=np.int64) for c in WAITING})
-        rows = list(parts)
-        if rows:
-            rows = pd.concat(rows, ignore_index=True)
-        else:
-            rows = pd.DataFrame({c: np.zeros(0, dtype=object if c == "op" else np.int64) for c in dict.fromkeys(["kind", "mark", *VERSION])})
+        versions, waiting = (unpacked(x) for x in state.get) if state.exists else (empty([*VERSION, "passed"]), empty(WAITING))
+        given = list(parts)
+        rows = {c: np.concatenate([p[c].to_numpy() for p in given]) for c in ARRIVING} if given else empty(ARRIVING)
         versions, waiting, out = advanced(versions, waiting, rows, h if h > 0 else None, batch)
-        if len(versions) or len(waiting):
+        if len(versions["at"]) or len(waiting["at"]):
             state.update((packed(versions), packed(waiting)))
             timer = next_timer(versions, waiting)
             if timer is not None:
                 state.setTimeoutTimestamp(max(timer, h))
         elif state.exists:
             state.remove()
-        for part in out:
-            if len(part):
-                part = part.reindex(columns=list(OUT_TYPES))
-                for c, t in OUT_TYPES.items():
-                    if t is not object:
-                        part[c] = part[c].fillna(NONE if t == "int64" else 0).astype(t) if part[c].isna().any() else part[c].astype(t)
-                    else:
-                        part[c] = part[c].astype(object).where(part[c].notna(), None)
-                yield part.reset_index(drop=True)
+        yield from out
 
     return feed.groupBy("bucket").applyInPandasWithState(advance, OUT, "versions binary, waiting binary", "append", "EventTimeTimeout")
 

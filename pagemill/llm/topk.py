@@ -62,10 +62,15 @@ def best(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.nd
 
 
 def bounds_of(queries: np.ndarray, least: np.ndarray, largest: np.ndarray) -> np.ndarray:
-    """For each query and range what no score in the range can exceed."""
+    """For each query and range what no score in the range can exceed.
+
+    A sum of doubles errs by its terms, which may be far larger than the sum where they cancel.
+    """
     with np.errstate(over="ignore", invalid="ignore"):
         found = np.maximum(queries, 0) @ largest.T + np.minimum(queries, 0) @ least.T
-        return np.where(np.isnan(found), np.inf, found + np.abs(found) * 1e-12)
+        terms = np.abs(queries) @ np.maximum(np.abs(least), np.abs(largest)).T
+        found = found + terms * ((queries.shape[1] + 4) * 2.0**-52)
+        return np.where(np.isnan(found), np.inf, found)
 
 
 class Blocks:

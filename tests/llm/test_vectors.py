@@ -174,3 +174,30 @@ def test_queries_equal_sql(spark, name):
     columns = sorted(got.columns)
     assert columns == sorted(want.columns)
     assert sorted(map(tuple, got[columns].values.tolist())) == sorted(map(tuple, want[columns].values.tolist()))
+
+
+def test_top_k_of_large_components_loses_nothing(spark):
+    """Products beyond 2**53, whose terms cancel: the rounding of a bound follows its terms, not its sum."""
+    rng = np.random.default_rng(12)
+    base = rng.normal(size=(1, 32))
+    rows = []
+    for i in range(600):
+        v = base[0] * rng.choice([-1.0, 1.0]) + rng.normal(size=32) * 1e-4
+        rows.append((i, (v * 3.1e5 + rng.random()).tolist(), i % 3))
+    queries = []
+    for i in range(20):
+        q = rng.normal(size=32)
+        q -= base[0] * (q @ base[0]) / (base[0] @ base[0])
+        queries.append((10_000 + i, (q * 3.3e5).tolist()))
+    docs = spark.createDataFrame(rows, "id long, vector array<double>, ord int")
+    found = topk.top_k(docs, spark.createDataFrame(queries, "id long, vector array<double>"), 10, group_rows=128, seed_rows=16).collect()
+    got = {}
+    for r in sorted(found, key=lambda r: (r.query_id, r["rank"])):
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    whole = lambda v: [math.floor(x * 1024) for x in v]
+    docs_ = [(i, whole(v)) for i, v, _ in rows]
+    for i, q in queries:
+        q = whole(q)
+        scores = sorted(((-sum(a * b for a, b in zip(v, q, strict=True)), j) for j, v in docs_))[:10]
+        assert got[i] == [(j, -s) for s, j in scores]
+    assert max(abs(s) for x in got.values() for _, s in x) < 2**63

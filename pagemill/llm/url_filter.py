@@ -1,12 +1,15 @@
 """Operator 10: URL filters by association rules. DataFrame operations only.
 
 Fixed rules (host and path prefix) decide first; the longest that fits wins. For the other URLs, Spark's FP-growth mines
-token combinations of labelled URLs. Tokens below the support can be in no rule and go first; of a URL's others the
-MOST_TOKENS that tell most about the label are mined, so that there are at most 2**MOST_TOKENS / support combinations, whatever
-the URLs look like. The combinations found are then counted over all tokens of all labelled URLs. Rules `tokens => allow` and `tokens => block` that pass the support and
-confidence bounds are kept and matched by an inverted index: each rule is posted under its rarest token, a URL looks
-up its own tokens and the rules found are verified against all of its tokens. The rule of highest confidence, then
-support, then lift decides, `block` before `allow` on a tie; a URL without any rule is allowed.
+token combinations of labelled URLs. Tokens below the support can be in no rule and go first; tokens that stand in exactly
+the same labelled URLs are one item, as any of them says the same. FP-growth then proposes the combinations of at most
+MOST_IN_RULE items that stand together with a label often enough: a URL of more than MOST_ITEMS items gives several
+baskets, so that any MOST_IN_RULE of its items stand together in one of them. No item is left out, and a basket has at
+most 2**MOST_ITEMS combinations. What is proposed is counted over the whole labelled URLs. Rules `items => allow` and
+`items => block` that pass the support and confidence bounds are kept and matched by an inverted index: each rule is posted
+under its rarest item, a URL looks up its own tokens, and the rules found are verified against all of its tokens; it needs
+one token of each item. The rule of highest confidence, then support, then lift decides, `block` before `allow` on a tie;
+a URL without any rule is allowed.
 
 The query's labelled URLs are those that the fixed rules decide, all of them: the tables label no URL. The operator
 takes any labelled URLs.
@@ -29,7 +32,8 @@ from ._common import materialise, table
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
 MIN_SUPPORT = 0.01
 MIN_CONFIDENCE = 0.9
-MOST_TOKENS = 12
+#: Items of a rule, and of a basket that FP-growth reads.
+MOST_IN_RULE, MOST_ITEMS = 5, 15
 LABEL = "label="
 
 
@@ -68,62 +72,67 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str, str]] =
     return found
 
 
-def telling_tokens(baskets: DataFrame, rows: int, min_support: float) -> DataFrame:
-    """token, n, gain of the tokens of `baskets` (tokens, verdict) that reach the support.
+def frequent_items(baskets: DataFrame, rows: int, min_support: float) -> DataFrame:
+    """item, n, alike: the tokens of `baskets` (id, tokens) that reach the support, those of the same baskets together.
 
-    They are at most (tokens of a URL on average) / `min_support`. The gain is how many URLs more or less than expected
-    have the token's likeliest label.
+    The tokens are at most (tokens of a URL on average) / `min_support`.
     """
-    of_label = {r["verdict"]: r["n"] / rows for r in baskets.groupBy("verdict").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row a label
-    counts = baskets.select(F.explode("tokens").alias("token"), "verdict").groupBy("token", "verdict").agg(F.count(F.lit(1)).alias("m"))
-    share = F.lit(0.0)
-    for verdict, p in of_label.items():
-        share = F.when(F.col("verdict") == verdict, F.lit(p)).otherwise(share)
-    told = counts.groupBy("token").agg(F.sum("m").alias("n"), F.collect_list(F.struct("m", share.alias("p"))).alias("by"))
-    gain = F.array_max(F.transform("by", lambda x: F.abs(x["m"] - x["p"] * F.col("n"))))
-    return told.where(F.col("n") >= min_support * rows).select("token", "n", gain.alias("gain"))
+    each = baskets.select("id", F.explode(F.array_distinct("tokens")).alias("token"))
+    told = each.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y"))
+    told = told.where(F.col("n") >= min_support * rows)
+    return told.groupBy("n", "x", "y").agg(F.min("token").alias("item"), F.array_sort(F.collect_list("token")).alias("alike")).select("item", "n", "alike")
 
 
-def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, most_tokens: int = MOST_TOKENS) -> DataFrame:
-    """Rules (tokens, verdict, confidence, support, lift, post) mined from `labelled` (tokens, verdict).
+def narrow_baskets(items: Column, most: int = MOST_ITEMS, in_rule: int = MOST_IN_RULE) -> Column:
+    """Baskets of at most `most` of the `items`, in one of which any `in_rule` of them stand together."""
+    width = most // in_rule
+    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(items) - 1) / width)), lambda i: F.slice(items, (i * width + 1).cast("int"), width))
+    none = F.array(F.array().cast("array<array<string>>"))
+    chosen = F.aggregate(blocks, none, lambda sets, block: F.concat(sets, F.transform(F.filter(sets, lambda x: F.size(x) < in_rule), lambda x: F.concat(x, F.array(block)))))
+    several = F.transform(F.filter(chosen, lambda x: F.size(x) == in_rule), F.flatten)
+    return F.when(F.size(items) <= most, F.array(items)).otherwise(several)
 
-    `post` is the rule's rarest token, under which the inverted index holds it.
+
+def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
+    """Rules (tokens, verdict, confidence, support, lift, post, needs) mined from `labelled` (tokens, verdict).
+
+    `tokens` names each item of a rule by its first token, `needs` has all tokens of each item, and `post` is the rarest
+    item, under which the inverted index holds the rule.
     """
-    baskets = materialise(labelled.where("verdict is not null").select("tokens", "verdict"), "url-baskets")
+    baskets = labelled.where("verdict is not null").select("tokens", "verdict").withColumn("id", F.monotonically_increasing_id())
+    baskets = materialise(baskets, "url-baskets")
     rows = baskets.count()
-    often = materialise(telling_tokens(baskets, max(1, rows), min_support), "url-tokens")
-    gains = often.agg(F.map_from_entries(F.collect_list(F.struct("token", "gain"))).alias("gains")).withColumn("one", F.lit(1))  # bounded as `often`
-    known = baskets.withColumn("one", F.lit(1)).join(F.broadcast(gains), "one")
-    told = F.filter("tokens", lambda t: F.map_contains_key("gains", t))
-    best = F.slice(F.reverse(F.array_sort(F.transform(told, lambda t: F.struct(F.element_at("gains", t).alias("gain"), t.alias("token"))))), 1, most_tokens)
-    items = known.select(F.concat(F.transform(best, lambda x: x["token"]), F.array(F.concat(F.lit(LABEL), "verdict"))).alias("items"))
-    mined = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(materialise(items, "url-items")).associationRules
-    found = mined.where(F.col("consequent")[0].startswith(LABEL) & ~F.exists("antecedent", lambda x: x.startswith(LABEL)))
-    found = materialise(found.select(F.array_sort("antecedent").alias("tokens")).distinct(), "url-antecedents")
-    posts = found.select("tokens", F.explode("tokens").alias("post")).join(often.select(F.col("token").alias("post"), "n"), "post").groupBy("tokens").agg(F.min(F.struct("n", "post"))["post"].alias("post"))
+    often = materialise(frequent_items(baskets, max(1, rows), min_support), "url-items")
+    names = often.select(F.explode("alike").alias("token"), "item").agg(F.map_from_entries(F.collect_list(F.struct("token", "item"))).alias("names")).withColumn("one", F.lit(1))  # bounded as `often`
+    told = F.filter("tokens", lambda t: F.map_contains_key("names", t))
+    known = baskets.withColumn("one", F.lit(1)).join(F.broadcast(names), "one")
+    known = materialise(known.select(F.array_sort(F.array_distinct(F.transform(told, lambda t: F.element_at("names", t)))).alias("tokens"), "verdict"), "url-known")
+    narrow = materialise(known.select(F.explode(narrow_baskets(F.col("tokens"))).alias("items"), "verdict").select(F.concat("items", F.array(F.concat(F.lit(LABEL), "verdict"))).alias("items")), "url-narrow")
+    least = min_support * rows / max(1, narrow.count())
+    mined = FPGrowth(itemsCol="items", minSupport=min(1.0, least * (1 - 1e-9))).fit(narrow).freqItemsets
+    found = mined.select(F.filter("items", lambda x: x.startswith(LABEL)).alias("label"), F.array_sort(F.filter("items", lambda x: ~x.startswith(LABEL))).alias("tokens"))
+    found = found.where((F.size("label") == 1) & F.size("tokens").between(1, MOST_IN_RULE)).select("tokens").distinct()
+    posts = found.select("tokens", F.explode("tokens").alias("post")).join(often.select(F.col("item").alias("post"), "n", "alike"), "post")
+    posts = posts.groupBy("tokens").agg(F.min(F.struct("n", "post"))["post"].alias("post"), F.collect_list("alike").alias("needs"))
     posts = materialise(posts, "url-posts")
 
-    # Over whole baskets: how many have all tokens of a rule, by label.
-    hits = matches(baskets, posts).groupBy("needs", "verdict").agg(F.count(F.lit(1)).alias("n"))
-    each = hits.groupBy("needs").agg(F.sum("n").alias("all"), F.collect_list(F.struct("verdict", "n")).alias("by"))
-    each = each.select(F.col("needs").alias("tokens"), "all", F.explode("by").alias("b")).select("tokens", "all", "b.verdict", "b.n")
+    # Over whole baskets: how many have all items of a rule, by label.
+    hits = known.withColumn("post", F.explode("tokens")).join(posts.select(F.col("tokens").alias("of"), "post"), "post").where(F.size(F.array_except("of", "tokens")) == 0)
+    each = hits.groupBy("of", "verdict").agg(F.count(F.lit(1)).alias("n")).groupBy("of").agg(F.sum("n").alias("all"), F.collect_list(F.struct("verdict", "n")).alias("by"))
+    each = each.select(F.col("of").alias("tokens"), "all", F.explode("by").alias("b")).select("tokens", "all", "b.verdict", "b.n")
     labels = baskets.groupBy("verdict").agg(F.count(F.lit(1)).alias("of_label"))
     rules = each.join(F.broadcast(labels), "verdict").select("tokens", "verdict", (F.col("n") / F.col("all")).alias("confidence"), (F.col("n") / F.lit(rows)).alias("support"), (F.col("n") / F.col("all") / (F.col("of_label") / F.lit(rows))).alias("lift"))
     rules = rules.where((F.col("support") >= min_support) & (F.col("confidence") >= min_confidence))
     return materialise(rules.join(posts, "tokens"), "url-rules")
 
 
-def matches(rows: DataFrame, posts: DataFrame) -> DataFrame:
-    """`rows` (tokens, others) with each rule of `posts` (tokens, post, others) whose tokens they all have, as `needs`."""
-    hits = rows.withColumn("post", F.explode("tokens")).join(posts.withColumnRenamed("tokens", "needs"), "post")
-    return hits.where(F.size(F.array_except("needs", "tokens")) == 0)
-
-
 def apply_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
     """For each distinct url of `urls` (url, tokens) that a rule fits: url, method_verdict, method_rule."""
-    hits = matches(urls.select("url", "tokens"), rules)
-    best = F.max(F.struct("confidence", "support", "lift", (F.col("verdict") == "block").alias("blocks"), "needs", "verdict"))
-    return hits.groupBy("url").agg(best.alias("best")).select("url", F.col("best.verdict").alias("method_verdict"), F.array_join("best.needs", " & ").alias("method_rule"))
+    posted = rules.withColumnRenamed("tokens", "rule").withColumn("token", F.explode(F.element_at(F.filter("needs", lambda alike: F.array_contains(alike, F.col("post"))), 1)))
+    hits = urls.select("url", "tokens", F.explode("tokens").alias("token")).join(posted, "token")
+    hits = hits.where(F.forall("needs", lambda alike: F.arrays_overlap(alike, "tokens")))
+    best = F.max(F.struct("confidence", "support", "lift", (F.col("verdict") == "block").alias("blocks"), "rule", "verdict"))
+    return hits.groupBy("url").agg(best.alias("best")).select("url", F.col("best.verdict").alias("method_verdict"), F.array_join("best.rule", " & ").alias("method_rule"))
 
 
 def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, labelled: DataFrame | None = None, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:

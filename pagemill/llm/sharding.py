@@ -18,11 +18,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._common import hex_digits, materialise, number_rows, table
+from ._common import ROWS_PER_BUCKET, hex_digits, materialise, number_rows, table
 
 SIGNIFICANT_BITS = 12
 #: Positions of a class that meet the runs among them in `shard_by_capacity`.
@@ -211,8 +211,28 @@ def shard_by_size(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col
     digits = hex_digits(sum(n for _, n in classes))
     plan = table_of_runs(docs.sparkSession, pack_into(classes, shards))  # a few rows for each class
     placed = positions(groups, digits).join(F.broadcast(plan), "class").where(F.col("position").between(F.col("first"), F.col("last"))).select("grp", "shard")
-    rows = base.join(placed, "grp").withColumn("bucket", F.substring(F.lower(F.lpad(F.hex(F.xxhash64("doc_id")), 16, "0")), 1, digits))
-    return number_rows(rows, ["shard"], "bucket", ["doc_id", "grp"], "slot")
+    return with_slots(base.join(placed, "grp"), digits)
+
+
+def with_slots(rows: DataFrame, digits: int, portion: int = ROWS_PER_BUCKET) -> DataFrame:
+    """`rows` (doc_id, size, text_crc32, grp, shard) with slot, by a hash of id and text, gapless from 0 in each shard.
+
+    Null and repeated ids lie in many buckets as their texts differ. Rows alike in everything are counted, numbered as
+    one and written out again, those of a large count in portions.
+    """
+    names = [*rows.columns]
+    bucket = F.substring(F.lower(F.lpad(F.hex(F.xxhash64("doc_id", "grp")), 16, "0")), 1, digits)
+    alike = materialise(rows.groupBy(*names).agg(F.count(F.lit(1)).alias("n")).withColumn("bucket", bucket), "shard-alike")
+    before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = alike.groupBy("shard", "bucket").agg(F.sum("n").alias("total")).select("shard", "bucket", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("before"))
+    inside = Window.partitionBy("shard", "bucket").orderBy("doc_id", "grp").rowsBetween(Window.unboundedPreceding, -1)
+    told = alike.withColumn("inside", F.coalesce(F.sum("n").over(inside), F.lit(0))).join(offsets, ["shard", "bucket"])
+    told = told.select(*names, "n", (F.col("before") + F.col("inside")).alias("start"))
+    each = lambda df, first, last: df.withColumn("slot", F.explode(F.sequence(first, last))).select(*names, "slot")
+    few = each(told.where(F.col("n") <= portion), F.col("start"), F.col("start") + F.col("n") - 1)
+    cut = told.where(F.col("n") > portion).withColumn("from", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("n") - 1, F.lit(portion).cast("long"))))
+    many = each(cut.repartition("grp", "from"), F.col("from"), F.least(F.col("from") + portion, F.col("start") + F.col("n")) - 1)
+    return few.unionByName(many)
 
 
 def shard_by_capacity(docs: DataFrame, capacity: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

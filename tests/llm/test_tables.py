@@ -138,6 +138,20 @@ def test_mix(spark):
     assert mixing.systematic_mix(docs(spark, []), ["doc_id"]).count() == 0
 
 
+def test_slots_of_null_and_repeated_ids(spark):
+    """Slots are gapless whatever repeats; null ids with other texts lie in many buckets, and equal rows go out in portions."""
+    rows = [(None, f"t{i % 60}", None) for i in range(300)] + [(7, "same", None)] * 250 + [(i, "x" * (i % 9), None) for i in range(100)] + [(None, None, None)] * 40
+    base = sharding.text_groups(docs(spark, rows)).withColumn("shard", F.when(F.col("doc_id") == 7, 0).otherwise(1))
+    found = sharding.with_slots(base, 2, portion=16).collect()
+    assert len(found) == len(rows)
+    for shard in (0, 1):
+        mine = sorted(r.slot for r in found if r.shard == shard)
+        assert mine == list(range(len(mine)))
+    assert Counter((r.doc_id, r.grp) for r in found) == Counter((r.doc_id, r.grp) for r in base.collect())
+    buckets = {r[0] for r in base.where("doc_id is null").select(F.substring(F.hex(F.xxhash64("doc_id", "grp")), 1, 2)).collect()}
+    assert len(buckets) > 30
+
+
 def test_mix_splits_large_groups(spark):
     rows = [(i % 50, "w w w", "a") for i in range(900)] + [(None, "w w w", None)] * 400 + [(i, "v " * (i % 5), "b") for i in range(300)]
     one = mixing.systematic_mix(docs(spark, rows), ["doc_id", "source"], rows_per_bucket=16).collect()
@@ -193,6 +207,37 @@ def test_mining_stays_bounded(spark):
     assert 0 < len(rules) < 2**13 and {(("bad",), "block"), (("good",), "allow")} <= {(tuple(r.tokens), r.verdict) for r in rules}
 
 
+def test_weak_tokens_make_rules_beside_strong_ones(spark):
+    """Twelve tokens tell more than x and y, but only x and y together tell `block` where those are missing."""
+    strong = [f"s{i:02}" for i in range(12)]
+    rows = [(["x", "y", *strong], "block")] * 100 + [(["x"], "allow")] * 100 + [(["y"], "allow")] * 100
+    rules = url_filter.mine_rules(spark.createDataFrame(rows, "tokens array<string>, verdict string"), 0.01, 0.9)
+    assert (("x", "y"), "block", 1.0) in {(tuple(r.tokens), r.verdict, r.confidence) for r in rules.collect()}
+    urls = spark.createDataFrame([("a", ["x", "y", "z"]), ("b", ["x"]), ("c", ["s07"]), ("d", ["z"])], "url string, tokens array<string>")
+    assert {r.url: r.method_verdict for r in url_filter.apply_rules(urls, rules).collect()} == {"a": "block", "c": "block"}
+
+
+def test_rules_of_long_baskets_equal_apriori(spark):
+    """Baskets of more items than FP-growth reads at a time: every rule of up to five tokens is found."""
+    random.seed(11)
+    names = [f"t{i:02}" for i in range(20)]
+    baskets = []
+    for _ in range(60):
+        items = sorted(random.sample(names, random.choice([3, 17, 19])))
+        baskets.append((items, "block" if {"t03", "t11"} <= set(items) else "allow"))
+    rules = url_filter.mine_rules(spark.createDataFrame(baskets, "tokens array<string>, verdict string"), 0.45, 0.9).collect()
+    got = {(tuple(r.tokens), r.verdict, round(r.confidence, 9)) for r in rules}
+    want = set()
+    for k in range(1, 6):
+        for c in combinations(names, k):
+            inside = [v for t, v in baskets if set(c) <= set(t)]
+            for v in ("allow", "block"):
+                n = inside.count(v)
+                if n and n / 60 >= 0.45 and n / len(inside) >= 0.9:
+                    want.add((c, v, round(n / len(inside), 9)))
+    assert got == want and want
+
+
 def test_verdicts_equal_a_plain_matcher(spark):
     random.seed(8)
     words = ["win", "news", "free", "sport", "buy", "read"]

@@ -161,7 +161,8 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE_PER_LABEL) -
     """The model of `docs` (doc_id, text) whose `labels` (doc_id, toxic) may be learnt from."""
     labels = labels.where("doc_id is not null and toxic in (0, 1)").select("doc_id", F.col("toxic").cast("int").alias("toxic")).distinct()
     docs = docs.select("doc_id", "text")
-    rows, holds = label_counts(docs.join(labels, "doc_id"))
+    # Labels grow with the documents, so the join never broadcasts them.
+    rows, holds = label_counts(docs.join(labels.hint("merge"), "doc_id"))
     if not rows.all():
         return Model(np.zeros(BUCKETS), 0.0, float(rows[1]) / max(1, rows.sum()))
     ratio = log_count_ratios(holds)

@@ -1,4 +1,4 @@
-"""Pages with the settings of their sites to canonical articles, and one round over landed pages."""
+"""Pages with the settings of their sites to canonical articles, each page an article or a reject."""
 
 from __future__ import annotations
 
@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import pages as P
-from . import tasks as T
 
 #: What a site may set, and the name under which a page carries it.
 SETTINGS = {"name": "cfg_name", "category": "cfg_category", "sub_category": "cfg_sub_category", "title_selectors": "title_selectors", "content_selectors": "content_selectors"}
@@ -19,33 +18,27 @@ def with_settings(pages: DataFrame, sites: DataFrame) -> DataFrame:
     return pages.join(one, "site", "left")
 
 
-def articles_of(pages: DataFrame, sites: DataFrame, as_of: Column, **budget: int) -> tuple[DataFrame, DataFrame]:
-    """(articles, rejected) of `pages` (url, html, site, channel).
+def judged(pages: DataFrame, sites: DataFrame, as_of: Column, **budget: int) -> DataFrame:
+    """Each of `pages` (url, html, site, channel, others) as `page` without its html, `article` and reject_reason.
 
-    Articles have the 13 fields: the extracted parts, the site's name, category and sub-category, the channel, the site's
-    name as source and the day of `as_of` as publishing time where the page shows none, and `as_of` as time of reading.
-    Rejected pages keep their columns, with reject_reason. Selectors of a site hold for its pages.
+    An article has the 13 fields: the extracted parts, the site's name, category and sub-category, the channel, the site's
+    name as source and the day of `as_of` as publishing time where the page shows none, and `as_of` as time of reading. Selectors
+    of a site hold for its pages. A page that can't be read, or whose record isn't canonical, has a reason and no article.
     """
-    found = P.with_article(with_settings(pages, sites), **budget)
-    return _canonical(found, as_of), found.where("out.reject is not null").select(*pages.columns, F.col("out.reject").alias("reject_reason"))
-
+    columns = [c for c in pages.columns if c != "html"]
+    found = P.with_article(with_settings(P.spread(pages), sites), **budget)
+    site = [c for c in ("cfg_name", "cfg_category", "cfg_sub_category") if c in found.columns]
+    parts = [F.col(f"out.{c}").alias(c) for c in ("title", "content", "publishTime", "docNumber", "indexNumber", "images")]
+    flat = found.select(F.struct(*columns).alias("page"), F.col("out.reject").alias("unread"), "url", "channel", *site, *parts, F.coalesce("out.source", "cfg_name").alias("source"))
+    rows = P.checked(P.stamped(flat, as_of), "page", "unread")
+    reason = F.coalesce("unread", "reject_reason")
+    return rows.select("page", F.when(reason.isNull(), F.struct(*P.FIELDS)).alias("article"), reason.alias("reject_reason"))
 
-def _canonical(found: DataFrame, as_of: Column) -> DataFrame:
-    kept = found.where("out.reject is null")
-    site = [c for c in ("cfg_name", "cfg_category", "cfg_sub_category") if c in kept.columns]
-    flat = kept.select("url", "channel", *site, "out.title", "out.content", "out.publishTime", F.coalesce("out.source", "cfg_name").alias("source"), "out.docNumber", "out.indexNumber", "out.images")
-    return P.canonical(P.stamped(flat, as_of))[0]
 
+def articles_of(pages: DataFrame, sites: DataFrame, as_of: Column, **budget: int) -> tuple[DataFrame, DataFrame]:
+    """(articles, rejected) as `judged`: every page is in one of them. Rejected pages keep their columns but the html.
 
-def crawl_round(landed: DataFrame, tasks: DataFrame, sites: DataFrame, as_of: Column, now: str, **budget: int) -> tuple[DataFrame, DataFrame]:
-    """One round: (articles, tasks after it) of the `landed` pages (url, html, site, channel) whose article tasks may begin.
-
-    Landed pages without a task get one; pages of running and deferred tasks wait. Each page that is read ends as done,
-    failed or over its limit, and no page ends the round.
+    Both read the pages; write what `judged` gives once where both are needed.
     """
-    known = T.add_tasks(tasks, landed.select(F.lit("article").alias("kind"), "url", "site", "channel"), [], now)
-    ready = T.startable(known.where("kind = 'article' and status <> 'done'")).select("url")
-    found = P.page_events(P.with_article(with_settings(landed.join(ready, "url", "left_semi"), sites), **budget))
-    outcome = found.select(F.lit("article").alias("kind"), "url", "event", "error")
-    begun = T.advanced(known, outcome.withColumn("event", F.lit("begin")), now)
-    return _canonical(found, as_of), T.advanced(begun, outcome, now)
+    rows = judged(pages, sites, as_of, **budget)
+    return rows.where("reject_reason is null").select("article.*"), rows.where("reject_reason is not null").select("page.*", "reject_reason")

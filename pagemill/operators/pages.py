@@ -14,17 +14,20 @@ from ..sources import html as H
 
 #: Pages that Python holds as trees and objects at a time.
 SLICE = 64
+#: Bytes of a core's share up to which a table counts as small.
+SMALL_BYTES = 32 << 20
 FIELDS = ("url", "title", "content", "siteName", "source", "category", "subCategory", "channel", "publishTime", "images", "crawledAt", "docNumber", "indexNumber")
 PARTS = "title string, publishTime string, source string, docNumber string, indexNumber string, content string, images array<string>, reject string"
 MAX_FAILURES = 2
 
 
 def spread(pages: DataFrame) -> DataFrame:
-    """`pages` over all cores where the input has fewer partitions than there are; a large input stays as it lies."""
+    """A small table over all cores, by Spark's own estimate of its size; a large one stays as it lies."""
     if pages.isStreaming:
         return pages
     cores = pages.sparkSession.sparkContext.defaultParallelism
-    return pages.repartition(cores) if pages.rdd.getNumPartitions() < cores else pages
+    size = pages._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return pages.repartition(cores) if int(str(size)) < cores * SMALL_BYTES else pages
 
 
 def _rows(pages: DataFrame, out: str, make: Callable[[dict], object], broken: Callable[[str], object], inputs: tuple[str, ...] = ("url", "html")) -> DataFrame:
@@ -119,8 +122,11 @@ def decoded(raw: DataFrame) -> DataFrame:
     return raw.select("id", "data", "preferred", "declared").mapInArrow(run, f"id {kind}, text string, encoding string")
 
 
-def canonical(records: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(valid, rejected). Aliases and site_* columns count where they exist; rejected rows have reject_reason."""
+def checked(records: DataFrame, *keep: str) -> DataFrame:
+    """`keep` columns, the 13 fields of each record and reject_reason, null for valid ones.
+
+    Aliases and site_* columns count where `records` has them.
+    """
 
     def chain(*names: str) -> Column:
         have = [F.col(n) for n in names if n in records.columns]
@@ -129,13 +135,18 @@ def canonical(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     reason = F.when(F.col("url").isNull() | F.col("title").isNull() | F.col("content").isNull(), "missing field").when(C.blank_to_null(F.col("url")).isNull(), "blank url").when(C.blank_to_null(F.col("title")).isNull(), "blank title")
     images = F.coalesce(F.col("images"), F.array().cast("array<string>")) if "images" in records.columns else F.array().cast("array<string>")
     reason = F.coalesce(reason, F.when(F.exists(images, lambda x: x.isNull()), "null image"))
-    out = records.select(
-        "url", "title", "content", chain("siteName", "site_name", "media_name", "cfg_name").alias("siteName"), chain("source").alias("source"),
+    return records.select(
+        *keep, "url", "title", "content", chain("siteName", "site_name", "media_name", "cfg_name").alias("siteName"), chain("source").alias("source"),
         chain("category", "media_category", "cfg_category").alias("category"), chain("subCategory", "sub_category", "cfg_sub_category").alias("subCategory"),
         chain("channel", "cfg_channel").alias("channel"), chain("publishTime", "publish_time").alias("publishTime"), images.alias("images"),
         chain("crawledAt", "crawled_at", "crawl_time").alias("crawledAt"), chain("docNumber", "doc_number").alias("docNumber"),
         chain("indexNumber", "index_number").alias("indexNumber"), reason.alias("reject_reason"),
     )
+
+
+def canonical(records: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(valid, rejected) as `checked`; rejected rows have reject_reason."""
+    out = checked(records)
     return out.where("reject_reason is null").select(*FIELDS), out.where("reject_reason is not null")
 
 
@@ -187,19 +198,6 @@ def fold_tasks(events: DataFrame, max_failures: int = MAX_FAILURES) -> DataFrame
     return final.select("key", F.when(kept_done, "done").otherwise(F.col("e.status")).alias("status"), F.when(F.coalesce(kept_done, F.lit(False)), 0).otherwise(F.col("e.failures")).cast("long").alias("failures"))
 
 
-def recovered(tasks: DataFrame, max_failures: int = MAX_FAILURES) -> DataFrame:
-    """Running tasks of a run that broke off count a failure."""
-    hit = F.col("status") == "running"
-    after = F.when(F.col("failures") + 1 >= max_failures, "deferred").otherwise("pending")
-    return tasks.withColumns({"failures": F.when(hit, F.col("failures") + 1).otherwise(F.col("failures")), "status": F.when(hit, after).otherwise(F.col("status"))})
-
-
-def retried(tasks: DataFrame, key: Column) -> DataFrame:
-    """The chosen tasks that aren't done are pending again."""
-    hit = key & (F.col("status") != "done")
-    return tasks.withColumns({"failures": F.when(hit, 0).otherwise(F.col("failures")).cast("long"), "status": F.when(hit, "pending").otherwise(F.col("status"))})
-
-
 def write_articles(articles: DataFrame, path: str, mode: str = "append") -> None:
     """K1: JSON lines under category, site and channel, with all 13 fields, nulls included."""
     named = articles.withColumns({"p_category": C.path_part(F.col("category")), "p_site": F.replace(C.path_part(F.col("siteName")), F.lit("\n"), F.lit("")), "p_channel": F.col("channel")})

@@ -132,8 +132,9 @@ def recovered(tasks: DataFrame, now: str, max_failures: int = MAX_FAILURES) -> D
     return tasks.select(*[F.when(running, new[c]).otherwise(F.col(c)).alias(c) if c in new else F.col(c) for c in tasks.columns])
 
 
-def retried(tasks: DataFrame, *urls: str) -> tuple[DataFrame, DataFrame]:
-    """(tasks, one row `retried`): tasks of these URLs, of any kind, that aren't done are pending again, without
-    failures and error. Downloads stay."""
-    hit = F.coalesce(F.col("url").isin(*urls) & (F.col("status") != "done"), F.lit(False))
+def retried(tasks: DataFrame, *urls: str, which: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """(tasks, one row `retried`): tasks of these URLs, of any kind, or those for which `which` holds, that aren't done
+    are pending again, without failures and error. Downloads stay."""
+    chosen = F.col("url").isin(*urls) if which is None else which
+    hit = F.coalesce(chosen & (F.col("status") != "done"), F.lit(False))
     return _set(tasks, hit, {"status": "pending", "failures": 0, "error": ""}), tasks.agg(F.count_if(hit).alias("retried"))

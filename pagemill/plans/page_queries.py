@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from ..operators import articles as A
 from ..operators import pages as P
+from ..operators import rounds as R
 from ..operators import sites as S
 from ..operators import tasks as T
 from . import task_queries as Q
@@ -129,7 +130,7 @@ def crawl_round(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("article").alias("kind"), "url", "site", "channel", status.alias("status"), F.lit("queued").alias("phase"), (F.col("page_id") % 2).cast("int").alias("failures"),
         F.lit("").alias("error"), F.lit("p").alias("path"), F.lit(1).alias("downloaded"), F.lit("").alias("encoding"), F.lit("2025").alias("updated"),
     )
-    _, tasks = A.crawl_round(landed, old, _sites(spark), F.to_timestamp_ntz(F.lit(AS_OF)), Q.NOW)
+    tasks = R.crawl_round(landed, old, _sites(spark), F.to_timestamp_ntz(F.lit(AS_OF)), Q.NOW).tasks
     return tasks.select("url", "status", "phase", "failures", "error", "path", "downloaded", "updated")
 
 

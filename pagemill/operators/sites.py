@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import columns as C
+from .storage import placed
 
 MANIFEST = "name string, category string, url string, raw_url string, sub_category string"
 RULES = "tier string, ord int, key string, url string"
@@ -23,23 +24,27 @@ COUNTY_NAME = "[一-龥]{2,6}(县|区|市)"
 NEWS_CATEGORIES = ("中央新闻网站和重点理论网站", "中央新闻单位报刊网站", "部委群团报刊网站", "其他单位报刊网站", "地方新闻网站")
 EXACT = (("GOV", "GOV_DIRECT", True), ("LOCAL", "LOCAL_PAPER_DIRECT", True), ("MINISTRY", "MINISTRY_DIRECT", False), ("LOCAL_SPECIFIC", "LOCAL_DIRECT", False), ("COUNTY", "COUNTY_GOV_DIRECT", False))
 
+#: Characters of the longest substrings that the index of names holds.
+GRAM = 3
 FUZZY = ("MINISTRY", "LOCAL_SPECIFIC", "PROVINCE")
 TIERS = (*dict.fromkeys([t for t, _, _ in EXACT] + list(FUZZY)),)
 
 
-def _read_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def _read_json(spark: SparkSession, path: str, schema: str, *extra: Column) -> DataFrame:
     """The rows of JSON files, arrays or a row a line; none if there is no file."""
     try:
-        return spark.read.schema(schema).option("multiLine", True).json(path)
+        return spark.read.schema(schema).option("multiLine", True).json(path).select("*", *extra)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], schema).select("*", *[F.lit("").alias(f"__{i}") for i in range(len(extra))])
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """The rows of a JSON array with their order `ord`; a missing file has none."""
-    return _read_json(spark, path, MANIFEST).withColumn("ord", F.monotonically_increasing_id())
+    """The rows of JSON arrays with their order `ord` from 1, by file and place in it; a missing file has none."""
+    rows = _read_json(spark, path, MANIFEST, F.col("_metadata.file_path").alias("__0"), F.monotonically_increasing_id().alias("__1"))
+    names = [c for c in rows.columns if not c.startswith("__")]
+    return placed(rows, [], ["__0", "__1"], "ord").select(*names, "ord")
 
 
 def read_rules(spark: SparkSession, path: str) -> DataFrame:
@@ -78,11 +83,53 @@ def build_sites(manifest: DataFrame) -> DataFrame:
     return out.select("name", F.col("first").alias("ord"), *[F.col("last")[c].alias(c) for c in rest])
 
 
+def grams(text: Column, most: int = GRAM) -> Column:
+    """The distinct substrings of 1 to `most` characters, and the empty one."""
+
+    def of(n: int) -> Column:
+        each = F.transform(F.sequence(F.lit(1), F.length(text) - n + 1), lambda at: F.substring(text, at, n))
+        return F.when(F.length(text) >= n, each).otherwise(F.array().cast("array<string>"))
+
+    some = [of(n) for n in range(1, most + 1)]
+    return F.array_distinct(F.concat(F.array(F.lit("")), *some))
+
+
+def contained(texts: DataFrame, text: str, parts: DataFrame, part: str) -> DataFrame:
+    """All pairs (text, part) of the distinct strings of two columns where the text contains the part.
+
+    A q-gram index instead of a comparison of all pairs: each text is posted under its grams; a part is looked up by one
+    gram of its own, of GRAM characters or all it has, the one that the fewest texts hold. What is found is verified.
+    """
+    texts = texts.select(F.col(text).alias("__text")).where("__text is not null").distinct()
+    parts = parts.select(F.col(part).alias("__part")).where("__part is not null").distinct()
+    posted = texts.select("__text", F.explode(grams(F.col("__text"))).alias("__gram"))
+    width = F.least(F.length("__part"), F.lit(GRAM))
+    asked = parts.select("__part", F.explode(F.filter(grams(F.col("__part")), lambda g: F.length(g) == width)).alias("__gram"))
+    often = posted.groupBy("__gram").agg(F.count(F.lit(1)).alias("__n"))
+    rarest = asked.join(often, "__gram", "left").groupBy("__part").agg(F.min(F.struct(F.coalesce("__n", F.lit(0)).alias("n"), F.col("__gram").alias("gram"))).alias("m"))
+    rarest = rarest.where("m.n > 0").select("__part", F.col("m.gram").alias("__gram"))  # a gram that no text holds ends the search
+    found = posted.join(rarest, "__gram").where(F.contains("__text", "__part"))
+    return found.select(F.col("__text").alias(text), F.col("__part").alias(part))
+
+
+def substring_hits(names: DataFrame, rules: DataFrame) -> DataFrame:
+    """The `names` (clean, asked) with each rule of a tier that they ask for whose key they contain, or, for
+    ministries, whose key contains them."""
+    inside = contained(names, "clean", rules, "key")
+    around = contained(rules.where("tier = 'MINISTRY'"), "key", names.where(F.array_contains("asked", "MINISTRY") & (F.col("clean") != "")), "clean").withColumn("only", F.lit("MINISTRY"))
+    # An empty name stands in every key; of those only the first rule can win.
+    first = rules.where("tier = 'MINISTRY'").groupBy().agg(F.min(F.struct("ord", "url", "key"))["key"].alias("key"))
+    empty = first.select(F.lit("").alias("clean"), "key", F.lit("MINISTRY").alias("only")).where("key is not null")
+    pairs = inside.withColumn("only", F.lit(None).cast("string")).unionByName(around).unionByName(empty)
+    hits = pairs.join(names, "clean").join(rules, "key").where(F.array_contains("asked", F.col("tier")) & (F.col("only").isNull() | (F.col("only") == F.col("tier"))))
+    return hits.select("clean", "tier", "ord", "url", "key")
+
+
 def resolve(sites: DataFrame, rules: DataFrame) -> DataFrame:
     """`sites` (name, url, others) with home_url, source_type and is_fallback.
 
     Exact tiers are two equi-joins with one row for each key, by the clean name and by the name as it is. Only names that
-    the exact tiers above leave open meet the few rules of a fuzzy tier by substring, once for all tiers; the first rule
+    the exact tiers above leave open meet the rules of a fuzzy tier by substring, once for all tiers; the first rule
     by `ord` wins.
     """
     rows = sites.withColumns({"clean": C.clean_name(F.col("name")), "given": C.first_filled(F.col("url"), F.col("raw_url")) if "raw_url" in sites.columns else F.col("url")})
@@ -98,8 +145,7 @@ def resolve(sites: DataFrame, rules: DataFrame) -> DataFrame:
     specific = unnamed & exact["LOCAL_SPECIFIC"].isNull()
     asked = F.when(unnamed, F.array(F.lit("MINISTRY"), F.when(specific, "LOCAL_SPECIFIC"), F.when(specific & exact["COUNTY"].isNull() & ~valid, "PROVINCE")))
     open_names = rows.where(unnamed).groupBy("clean").agg(F.array_distinct(F.flatten(F.collect_set(asked))).alias("asked"))
-    has = F.contains(F.col("clean"), F.col("key")) | (F.col("tier") == "MINISTRY") & F.contains(F.col("key"), F.col("clean"))
-    met = open_names.join(rules.where(F.col("tier").isin(*FUZZY)), F.array_contains("asked", F.col("tier")) & has)
+    met = substring_hits(open_names, rules.where(F.col("tier").isin(*FUZZY)))
     met = met.groupBy("clean").agg(*[F.min(F.when(F.col("tier") == t, F.struct("ord", "url", "key"))).alias(f"f_{t}") for t in FUZZY])
     rows = rows.join(met, "clean", "left")
 

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from ..operators import pages as P
 from ..operators import sites as S
+from ..operators import tasks as T
 from ..streaming import schedule
-from . import page_queries, task_queries
+from . import page_queries, stream_queries, task_queries
 
 #: Which user event stands for which task event in the lifecycle queries.
 TASK_EVENTS = {"error": "fail", "purchase": "done", "signup": "retry", "click": "begin", "view": "over_limit"}
@@ -25,22 +26,7 @@ def article_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", F.col("out.title").alias("title"), F.col("out.content").alias("content"), F.col("out.reject").alias("reject"))
 
 
-ARTICLE_SQL = r"""
-WITH a AS (
-  SELECT page_id, regexp_extract(html, '(?s)<article[^>]*>(.*?)</article>', 1) AS body, regexp_extract(html, '(?s)<h1[^>]*>(.*?)</h1>', 1) AS h1 FROM pages),
-b AS (
-  SELECT page_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(body, '(?s)<!--.*?-->', '', 'g'),
-    '</?(p|div|section|article|main|li|ul|ol|h[1-6]|blockquote|pre|table|tr|td|th|br|hr|figure|figcaption)\b[^>]*>', chr(1), 'g'), '<[^>]*>', '', 'g'), '\s+', ' ', 'g') AS t,
-    trim(regexp_replace(h1, '<[^>]*>', '', 'g')) AS h1 FROM a),
-c AS (
-  SELECT page_id, regexp_replace(t, '( ?' || chr(1) || ' ?)+$|^( ?' || chr(1) || ' ?)+', '', 'g') AS t, h1 FROM b),
-d AS (
-  SELECT page_id,
-    trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(t, chr(1) || '( ?' || chr(1) || ')*', chr(10), 'g'), '&copy;?', '©', 'g'), '&middot;?', '·', 'g'), '&quot;?', '"', 'g'), '&amp;?', '&', 'g'), ' ' || chr(10)) AS content,
-    regexp_replace(regexp_replace(regexp_replace(regexp_replace(h1, '&copy;?', '©', 'g'), '&middot;?', '·', 'g'), '&quot;?', '"', 'g'), '&amp;?', '&', 'g') AS title
-  FROM c)
-SELECT page_id, title, content, CASE WHEN length(content) < 30 THEN 'short body' END AS reject FROM d
-"""
+ARTICLE_SQL = f"WITH {page_queries.EXTRACTED} SELECT page_id, title, content, CASE WHEN length(content) < 30 THEN 'short body' END AS reject FROM d"
 
 
 def url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,24 +107,18 @@ FROM (SELECT *, CASE WHEN n_name = 'CHINA' THEN 'GOV_DIRECT' WHEN contains(n_nam
 """
 
 
-def frontier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as links of customers; first claim, visited ones gone, five for each customer."""
-    o = _table(spark, sf_dir, "orders").select(F.concat(F.lit("u"), F.col("o_orderkey") % 5000).alias("url"), F.col("o_custkey").alias("site"), F.col("o_orderkey").alias("link_ord"))
-    visited = o.where(F.col("link_ord") % 13 == 0).select("url").distinct()
-    return P.at_most(P.unseen(P.first_seen(o, "url", ["site", "link_ord"]), visited), "site", ["link_ord"], 5)
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    event = F.element_at(F.create_map(*[F.lit(x) for kv in TASK_EVENTS.items() for x in kv]), F.col("event_type"))
+    return _table(spark, sf_dir, "events").select(F.col("user_id").alias("key"), "ts", F.col("event_id").alias("seq"), event.alias("event"))
 
 
-FRONTIER_SQL = """
-WITH o AS (SELECT 'u' || (o_orderkey % 5000) AS url, o_custkey AS site, o_orderkey AS link_ord FROM orders),
-f AS (SELECT * FROM o QUALIFY row_number() OVER (PARTITION BY url ORDER BY site, link_ord) = 1)
-SELECT url, site, link_ord, CAST(row_number() OVER (PARTITION BY site ORDER BY link_ord) AS INTEGER) AS place
-FROM f WHERE url NOT IN (SELECT url FROM o WHERE link_ord % 13 = 0) QUALIFY place <= 5
-"""
+def _tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return P.fold_tasks(_events(spark, sf_dir))
 
 
-def _tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    event = F.element_at(F.create_map(*[F.lit(x) for kv in TASK_EVENTS.items() for x in kv]), F.col("event_type"))
-    return P.fold_tasks(_table(spark, sf_dir, "events").select(F.col("user_id").alias("key"), "ts", F.col("event_id").alias("seq"), event.alias("event")))
+def task_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W2 to W5, W7, S6 as a stream: events in the order of their time, the query stopped and started again, and its state read as a table."""
+    return stream_queries.streamed_states(_events(spark, sf_dir))
 
 
 def task_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -148,7 +128,7 @@ def task_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def task_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q9 after W6 and W7: running tasks recovered, every third key retried."""
-    tasks = P.retried(P.recovered(_tasks(spark, sf_dir)), F.col("key") % 3 == 0)
+    tasks, _ = T.retried(T.recovered(_tasks(spark, sf_dir), task_queries.NOW), which=F.col("key") % 3 == 0)
     return tasks.groupBy("status").agg(F.count(F.lit(1)).alias("n"), F.sum("failures").alias("failures"))
 
 
@@ -170,6 +150,7 @@ z AS (
     arg_max(st, seg) FILTER (NOT stays) AS before FROM p GROUP BY key),
 t AS (SELECT key, CASE WHEN stays AND before = 'done' THEN 'done' ELSE st END AS status, CAST(fc AS BIGINT) AS failures FROM z)
 """
+FOLD_SQL = f"WITH {TASK_SQL} SELECT key, status, failures FROM t"
 STATUS_SQL = """
 , u AS (SELECT key, CASE WHEN status <> 'running' THEN status WHEN failures + 1 >= 2 THEN 'deferred' ELSE 'pending' END AS status, failures + CAST(status = 'running' AS BIGINT) AS failures FROM t),
 w AS (SELECT CASE WHEN key % 3 = 0 AND status <> 'done' THEN 'pending' ELSE status END AS status, CASE WHEN key % 3 = 0 AND status <> 'done' THEN 0 ELSE failures END AS failures FROM u)
@@ -203,13 +184,14 @@ QUERIES = {
     "number_rules": number_rules,
     "reject_split": reject_split,
     "resolve_sites": resolve_sites,
-    "frontier": frontier,
     "task_fold": task_fold,
+    "task_states": task_states,
     "task_status": task_status,
     "next_slot": next_slot,
     "decode_bytes": decode_bytes,
     **task_queries.QUERIES,
     **page_queries.QUERIES,
+    **stream_queries.QUERIES,
 }
 
 SQL = {
@@ -218,11 +200,12 @@ SQL = {
     "number_rules": NUMBER_SQL,
     "reject_split": REJECT_SQL,
     "resolve_sites": RESOLVE_SQL,
-    "frontier": FRONTIER_SQL,
-    "task_fold": f"WITH {TASK_SQL} SELECT key, status, failures FROM t",
+    "task_fold": FOLD_SQL,
+    "task_states": FOLD_SQL,
     "task_status": f"WITH {TASK_SQL} {STATUS_SQL}",
     "next_slot": NEXT_SQL,
     "decode_bytes": "SELECT doc_id, md5(text) AS digest FROM documents",
     **task_queries.SQL,
     **page_queries.SQL,
+    **stream_queries.SQL,
 }

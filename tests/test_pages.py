@@ -12,6 +12,7 @@ from pagemill.functions import columns as C
 from pagemill.operators import articles as A
 from pagemill.operators import pages as P
 from pagemill.operators import sites as S
+from pagemill.operators import tasks as T
 from pagemill.plans import queries as Q
 from pagemill.sources import html as H
 from pagemill.streaming import schedule
@@ -141,8 +142,8 @@ def test_task_fold_equals_steps(spark):
 
 def test_recover_and_retry(spark):
     tasks = spark.createDataFrame([(1, "running", 1), (2, "running", 0), (3, "deferred", 2), (4, "done", 0)], "key long, status string, failures long")
-    assert {r.key: (r.status, r.failures) for r in P.recovered(tasks).collect()} == {1: ("deferred", 2), 2: ("pending", 1), 3: ("deferred", 2), 4: ("done", 0)}
-    assert {r.key: r.status for r in P.retried(tasks, F.col("key") > 2).collect()} == {1: "running", 2: "running", 3: "pending", 4: "done"}
+    assert {r.key: (r.status, r.failures) for r in T.recovered(tasks, "now").collect()} == {1: ("deferred", 2), 2: ("pending", 1), 3: ("deferred", 2), 4: ("done", 0)}
+    assert {r.key: r.status for r in T.retried(tasks, which=F.col("key") > 2)[0].collect()} == {1: "running", 2: "running", 3: "pending", 4: "done"}
 
 
 def test_stream_equals_batch(spark, tmp_path):

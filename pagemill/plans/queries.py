@@ -107,6 +107,21 @@ FROM (SELECT *, CASE WHEN n_name = 'CHINA' THEN 'GOV_DIRECT' WHEN contains(n_nam
 """
 
 
+def frontier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as links of customers, eight to a URL; first claim, visited ones gone, five for each customer."""
+    o = _table(spark, sf_dir, "orders").select(F.concat(F.lit("u"), F.floor(F.col("o_orderkey") / 8)).alias("url"), F.col("o_custkey").alias("site"), F.col("o_orderkey").alias("link_ord"))
+    visited = o.where(F.col("link_ord") % 13 == 0).select("url").distinct()
+    return P.at_most(P.unseen(P.first_seen(o, "url", ["site", "link_ord"]), visited), "site", ["link_ord"], 5)
+
+
+FRONTIER_SQL = """
+WITH o AS (SELECT 'u' || (o_orderkey // 8) AS url, o_custkey AS site, o_orderkey AS link_ord FROM orders),
+f AS (SELECT * FROM o QUALIFY row_number() OVER (PARTITION BY url ORDER BY site, link_ord) = 1)
+SELECT url, site, link_ord, CAST(row_number() OVER (PARTITION BY site ORDER BY link_ord) AS INTEGER) AS place
+FROM f WHERE url NOT IN (SELECT url FROM o WHERE link_ord % 13 = 0) QUALIFY place <= 5
+"""
+
+
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     event = F.element_at(F.create_map(*[F.lit(x) for kv in TASK_EVENTS.items() for x in kv]), F.col("event_type"))
     return _table(spark, sf_dir, "events").select(F.col("user_id").alias("key"), "ts", F.col("event_id").alias("seq"), event.alias("event"))
@@ -184,6 +199,7 @@ QUERIES = {
     "number_rules": number_rules,
     "reject_split": reject_split,
     "resolve_sites": resolve_sites,
+    "frontier": frontier,
     "task_fold": task_fold,
     "task_states": task_states,
     "task_status": task_status,
@@ -200,6 +216,7 @@ SQL = {
     "number_rules": NUMBER_SQL,
     "reject_split": REJECT_SQL,
     "resolve_sites": RESOLVE_SQL,
+    "frontier": FRONTIER_SQL,
     "task_fold": FOLD_SQL,
     "task_states": FOLD_SQL,
     "task_status": f"WITH {TASK_SQL} {STATUS_SQL}",

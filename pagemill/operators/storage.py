@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+#: Rows of one key that one task may put in order.
+PART_ROWS = 100_000
 
 def shared_home(spark: SparkSession) -> str:
     """`spark.checkpoint.dir`; a temporary folder only where a local session names none."""
@@ -58,13 +60,16 @@ def remove(spark: SparkSession, path: str) -> None:
     files.delete(at, True)
 
 
-def placed(rows: DataFrame, part: list[str], order: list[str], out: str = "place") -> DataFrame:
-    """`rows` with `out`, their place from 1 within `part` by `order`; a large part is numbered by many tasks.
+def placed(rows: DataFrame, part: list[str], order: list[str], out: str = "place", most: int = PART_ROWS) -> DataFrame:
+    """`rows` with `out`, their place from 1 within `part` by `order`; a part of more than `most` rows is numbered by many tasks.
 
-    Rows are dealt by ranges of (part, order), so a part lies in neighbouring ranges; each is numbered by itself, and
-    starts from the counts of those before it, a row for each part and range. `part` and `order` tell rows apart, or
-    equal ones may be numbered either way.
+    Where no part is that large, a window numbers them. Otherwise rows are dealt by ranges of (part, order), so a part lies in
+    neighbouring ranges; each is numbered by itself, and starts from the counts of those before it, a row for each part
+    and range. `part` and `order` tell rows apart, or equal ones may be numbered either way.
     """
+    largest = rows.groupBy(*part).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    if largest <= most:
+        return rows.withColumn(out, F.row_number().over((Window.partitionBy(*part) if part else Window.partitionBy(F.lit(0))).orderBy(*order)))
     dealt = written(rows.repartitionByRange(*part, *order).withColumn("__range", F.spark_partition_id()), "ranges")
     before = (Window.partitionBy(*part) if part else Window.partitionBy(F.lit(0))).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     counts = dealt.groupBy(*part, "__range").agg(F.count(F.lit(1)).alias("__n"))

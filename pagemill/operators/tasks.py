@@ -5,9 +5,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .storage import placed
+
 KEY = ("kind", "url")
 TASKS = "kind string, url string, site string, channel string, status string, phase string, failures int, error string, path string, downloaded int, encoding string, updated string"
 #: Columns that a change may set.
@@ -66,8 +68,7 @@ def task(tasks: DataFrame, kind: str, url: str) -> DataFrame:
 
 def pending(tasks: DataFrame) -> DataFrame:
     """The pending articles of every (site, channel) with their place there, by `updated`, ties by URL."""
-    place = F.row_number().over(Window.partitionBy("site", "channel").orderBy("updated", "url"))
-    return tasks.where("kind = 'article' and status = 'pending'").select("site", "channel", "url", "updated", place.alias("place"))
+    return placed(tasks.where("kind = 'article' and status = 'pending'").select("site", "channel", "url", "updated"), ["site", "channel"], ["updated", "url"])
 
 
 def work_list(waiting: DataFrame, discovered: DataFrame) -> DataFrame:
@@ -79,8 +80,7 @@ def work_list(waiting: DataFrame, discovered: DataFrame) -> DataFrame:
     """
     rows = waiting.select("site", "channel", "url", F.lit(0).alias("turn"), "place").unionByName(discovered.select("site", "channel", "url", F.lit(1).alias("turn"), "place"))
     first = rows.groupBy("site", "channel", "url").agg(F.min(F.struct("turn", "place")).alias("m"))
-    place = F.row_number().over(Window.partitionBy("site", "channel").orderBy("m", "url"))
-    return first.select("site", "channel", "url", (F.col("m.turn") == 0).alias("waiting"), place.alias("place"))
+    return placed(first.select("site", "channel", "url", (F.col("m.turn") == 0).alias("waiting"), "m"), ["site", "channel"], ["m", "url"]).drop("m")
 
 
 def status_counts(tasks: DataFrame) -> DataFrame:

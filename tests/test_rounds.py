@@ -100,12 +100,18 @@ def test_pages_are_read_on_demand(spark, monkeypatch, bad):
         assert read.value < 100 and out.tasks.where("phase = 'queued'").count() == told["unread"]
 
 
-def test_placed_numbers_a_large_part_in_many_tasks(spark):
+@pytest.mark.parametrize("most", [50, 100_000])
+def test_placed_numbers_a_large_part_in_many_tasks(spark, most):
     rows = [("a" if i < 900 else None, (i * 7919) % 1000, i) for i in range(1000)]
-    found = {(r.part, r.x, r.i): r.place for r in storage.placed(spark.createDataFrame(rows, "part string, x int, i int").repartition(6), ["part"], ["x", "i"]).collect()}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # so that tasks show how rows are dealt
+    found = storage.placed(spark.createDataFrame(rows, "part string, x int, i int").repartition(6), ["part"], ["x", "i"], most=most)
+    places = {(r.part, r.x, r.i): r.place for r in found.collect()}
     for part in ("a", None):
         mine = sorted((x, i) for p, x, i in rows if p == part)
-        assert [found[part, x, i] for x, i in mine] == list(range(1, len(mine) + 1))
+        assert [places[part, x, i] for x, i in mine] == list(range(1, len(mine) + 1))
+    tasks = [r["n"] for r in found.groupBy(F.spark_partition_id().alias("task")).agg(F.count(F.lit(1)).alias("n")).collect()]
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert most > 1000 or (len(tasks) > 2 and max(tasks) < 500)
 
 
 def test_store_makes_a_change_with_a_token_once(spark, tmp_path, monkeypatch):

@@ -13,7 +13,7 @@ from ..operators import records, rounds
 from ..operators import sites as S
 from ..operators.storage import fresh_folder, written
 from ..operators.task_store import TaskStore
-from ..streaming import landing, lifecycle
+from ..streaming import claims, landing, lifecycle
 from . import page_queries as G
 from . import task_queries as Q
 from .config import RunConfig
@@ -27,21 +27,36 @@ def _as_of():
     return F.to_timestamp_ntz(F.lit(G.AS_OF))
 
 
-def streamed_states(events: DataFrame, parts: int = 4) -> DataFrame:
-    """The states after `events` (key, ts, seq, event) came as a stream in `parts` starts of one query."""
-    spark = events.sparkSession
-    home = fresh_folder(spark, "states")
-    rows = events.withColumn("ts", F.col("ts").cast("timestamp"))
+def in_parts(rows: DataFrame, home: str, run, parts: int) -> None:
+    """Give `rows` (ts, others) to a stream in order of their time: `run(feed)` starts a query, once for each of `parts`."""
+    spark = rows.sparkSession
     first, last = rows.agg(F.min(F.unix_micros("ts")), F.max(F.unix_micros("ts"))).first()
     share = (F.unix_micros("ts") - F.lit(first or 0)) / F.lit(float(max(1, (last or 0) - (first or 0))))
-    dealt = written(rows.withColumn("part", F.least(F.lit(parts - 1), F.floor(share * parts)).cast("int")), "events")
+    dealt = written(rows.withColumn("part", F.least(F.lit(parts - 1), F.floor(share * parts)).cast("int")), "parts")
     session = lifecycle.with_state_store(spark, spark.sparkContext.defaultParallelism)
     for at in range(parts):
-        dealt.where(F.col("part") == at).drop("part").write.mode("append").parquet(f"{home}/events")
-        feed = session.readStream.schema(rows.schema).parquet(f"{home}/events")
-        query = lifecycle.task_lifecycle(feed, "1 day").writeStream.format("noop").outputMode("update").option("checkpointLocation", f"{home}/checkpoint").trigger(availableNow=True).start()
-        query.awaitTermination()
-    return lifecycle.task_states(session, f"{home}/checkpoint")
+        dealt.where(F.col("part") == at).drop("part").write.mode("append").parquet(f"{home}/rows")
+        out = run(session.readStream.schema(rows.schema).parquet(f"{home}/rows"))
+        out.option("checkpointLocation", f"{home}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+
+
+def streamed_states(events: DataFrame, parts: int = 4) -> DataFrame:
+    """The states after `events` (key, ts, seq, event) came as a stream in `parts` starts of one query."""
+    home = fresh_folder(events.sparkSession, "states")
+    in_parts(events.withColumn("ts", F.col("ts").cast("timestamp")), home, lambda feed: lifecycle.task_lifecycle(feed, "1 day").writeStream.format("noop").outputMode("update"), parts)
+    return lifecycle.task_states(events.sparkSession, f"{home}/checkpoint")
+
+
+def claimed_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T1, T3, W1 on a stream: the first event of each user claims it, events coming in three starts of one query."""
+    home = fresh_folder(spark, "claims")
+    e = spark.read.parquet(f"{sf_dir}/events.parquet")
+    rows = e.select(F.concat(F.lit("u"), "user_id").alias("url"), F.col("ts").cast("timestamp").alias("ts"), F.col("event_id").cast("long").alias("seq"), F.col("event_type").alias("site"), F.lit("c").alias("channel"))
+    in_parts(rows, home, lambda feed: claims.first_claims(feed, "1 hour").writeStream.format("noop").outputMode("append"), 3)
+    return claims.claims_so_far(spark, f"{home}/checkpoint").select("url", "seq", "site")
+
+
+CLAIMED_SQL = "SELECT 'u' || user_id AS url, arg_min(CAST(event_id AS BIGINT), (ts, event_id)) AS seq, arg_min(event_type, (ts, event_id)) AS site FROM events WHERE user_id IS NOT NULL GROUP BY user_id"
 
 
 def round_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -232,6 +247,7 @@ QUERIES = {
     "json_records": json_records,
     "rule_index": rule_index,
     "files_read": files_read,
+    "claimed_users": claimed_users,
 }
 
 SQL = {
@@ -241,4 +257,5 @@ SQL = {
     "json_records": JSON_RECORDS_SQL,
     "rule_index": INDEX_SQL,
     "files_read": FILES_SQL,
+    "claimed_users": CLAIMED_SQL,
 }

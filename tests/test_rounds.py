@@ -14,7 +14,7 @@ from pagemill.operators import sites as S
 from pagemill.operators import tasks as T
 from pagemill.operators.task_store import TaskStore
 from pagemill.plans import stream_queries
-from pagemill.streaming import landing, lifecycle
+from pagemill.streaming import claims, landing, lifecycle
 from pagemill.streaming.schedule import step
 
 GOOD = "<h1>Eine Seite {}</h1><article><p>" + "Text der Seite. " * 5 + "</p></article>"
@@ -290,6 +290,30 @@ def test_lifecycle_timers_end_leases_and_forget_done_tasks(spark, tmp_path):
     assert set(states) == {1, 3, 5} and states[5] == ("pending", 1) and (2, "forgotten", 0, "kept") in told and (4, "forgotten", 0, "kept") in told
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_first_claims_are_the_same_for_any_batches(spark, tmp_path, seed):
+    """Rows come up to ten minutes late in batches of any size; each URL is given out once, and to the first."""
+    import datetime as dt
+
+    rng = random.Random(seed)
+    rows = [(f"u{rng.randrange(25)}", dt.datetime(2024, 1, 1) + dt.timedelta(minutes=i), i, f"s{i}", "c") for i in range(150)]
+    came = sorted(rows, key=lambda r: (r[1] + dt.timedelta(minutes=rng.random() * 9), r[2]))
+    session, got, home = lifecycle.with_state_store(spark, 2), [], f"file://{tmp_path}"
+    while came:
+        n = rng.randint(20, 80)
+        spark.createDataFrame(came[:n], claims.CLAIMS).coalesce(1).write.mode("append").parquet(f"{home}/in")
+        came = came[n:]
+        out = claims.first_claims(session.readStream.schema(claims.CLAIMS).parquet(f"{home}/in"), "10 minutes")
+        query = out.writeStream.outputMode("append").option("checkpointLocation", f"{home}/checkpoint").trigger(availableNow=True).foreachBatch(lambda df, n: got.extend(tuple(r) for r in df.collect())).start()
+        query.awaitTermination()
+    first = {}
+    for r in rows:
+        first.setdefault(r[0], (r[0], r[2], r[3], "c"))
+    assert len(got) == len({g[0] for g in got}) and all(first[g[0]] == g for g in got) and len(got) > 10
+    held = claims.claims_so_far(session, f"{home}/checkpoint").collect()
+    assert {r.url: (r.url, r.seq, r.site, r.channel) for r in held} == first and sum(r.told for r in held) == len(got)
+
+
 def test_open_json(spark):
     good = {"url": "u", "title": "t", "content": ""}
     lines = [good, good | {"url": 5}, good | {"title": None}, good | {"images": ["a", None]}, good | {"images": []}, good | {"images": ["a"], "site_name": "x"}, good | {"docNumber": {"a": 1}}, good | {"siteName": "", "site_name": 7, "media_name": "m"}, [1], good | {"channel": " "}]

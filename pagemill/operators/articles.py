@@ -19,7 +19,7 @@ def with_settings(pages: DataFrame, sites: DataFrame) -> DataFrame:
 
 
 def judged(pages: DataFrame, sites: DataFrame, as_of: Column, **budget: int) -> DataFrame:
-    """Each of `pages` (url, html, site, channel, others) as `page` without its html, `article` and reject_reason.
+    """Each of `pages` (url, html, site, channel, others) as `page` without its html and with peak_mb, `article` and reject_reason.
 
     An article has the 13 fields: the extracted parts, the site's name, category and sub-category, the channel, the site's
     name as source and the day of `as_of` as publishing time where the page shows none, and `as_of` as time of reading. Selectors
@@ -29,7 +29,7 @@ def judged(pages: DataFrame, sites: DataFrame, as_of: Column, **budget: int) ->
     found = P.with_article(with_settings(P.spread(pages), sites), **budget)
     site = [c for c in ("cfg_name", "cfg_category", "cfg_sub_category") if c in found.columns]
     parts = [F.col(f"out.{c}").alias(c) for c in ("title", "content", "publishTime", "docNumber", "indexNumber", "images")]
-    flat = found.select(F.struct(*columns).alias("page"), F.col("out.reject").alias("unread"), "url", "channel", *site, *parts, F.coalesce("out.source", "cfg_name").alias("source"))
+    flat = found.select(F.struct(*columns, "peak_mb").alias("page"), F.col("out.reject").alias("unread"), "url", "channel", *site, *parts, F.coalesce("out.source", "cfg_name").alias("source"))
     rows = P.checked(P.stamped(flat, as_of), "page", "unread")
     reason = F.coalesce("unread", "reject_reason")
     return rows.select("page", F.when(reason.isNull(), F.struct(*P.FIELDS)).alias("article"), reason.alias("reject_reason"))
@@ -41,4 +41,4 @@ def articles_of(pages: DataFrame, sites: DataFrame, as_of: Column, **budget: int
     Both read the pages; write what `judged` gives once where both are needed.
     """
     rows = judged(pages, sites, as_of, **budget)
-    return rows.where("reject_reason is null").select("article.*"), rows.where("reject_reason is not null").select("page.*", "reject_reason")
+    return rows.where("reject_reason is null").select("article.*"), rows.where("reject_reason is not null").select(*[F.col(f"page.{c}").alias(c) for c in pages.columns if c != "html"], "reject_reason")

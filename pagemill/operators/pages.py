@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import resource
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -31,13 +32,14 @@ def spread(pages: DataFrame) -> DataFrame:
 
 
 def _rows(pages: DataFrame, out: str, make: Callable[[dict], object], broken: Callable[[str], object], inputs: tuple[str, ...] = ("url", "html")) -> DataFrame:
-    """`pages` (inputs, others) as `row`, with the `out` that `make(inputs)` gives.
+    """`pages` (inputs, others) as `row`, with the `out` that `make(inputs)` gives, and A7, peak_mb: the most memory that the
+    worker has held when it had read the row's slice.
 
     A page that can't be read gives `broken(reason)` and never ends the job: "over limit" above its budget, else
     "broken page".
     """
     packed = spread(pages).select(F.struct("*").alias("row"), *inputs)
-    schema = packed.select("row", F.lit(None).cast(out).alias("out")).schema
+    schema = packed.select("row", F.lit(None).cast(out).alias("out"), F.lit(0).alias("peak_mb")).schema
     kind = to_arrow_type(schema["out"].dataType)
 
     def guarded(page: dict) -> object:
@@ -56,9 +58,10 @@ def _rows(pages: DataFrame, out: str, make: Callable[[dict], object], broken: Ca
                 batch = whole.slice(start, SLICE)
                 values = zip(*(batch.column(c).to_pylist() for c in inputs), strict=True)
                 made = [guarded(dict(zip(inputs, v, strict=True))) for v in values]
-                yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(made, kind)], names=["row", "out"])
+                peak = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024
+                yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(made, kind), pa.array([peak] * batch.num_rows, pa.int32())], names=["row", "out", "peak_mb"])
 
-    return packed.mapInArrow(run, schema).select("row.*", "out")
+    return packed.mapInArrow(run, schema).select("row.*", "out", "peak_mb")
 
 
 def with_article(pages: DataFrame, title_selectors: tuple[str, ...] = H.TITLE_SELECTORS, content_selectors: tuple[str, ...] = H.CONTENT_SELECTORS, characters: int = H.PAGE_CHARACTERS, items: int = H.PAGE_ITEMS) -> DataFrame:

@@ -110,11 +110,12 @@ def ready_pages(claims: DataFrame, state: DataFrame) -> DataFrame:
 
 
 def outcomes_of(state: DataFrame, found: DataFrame, nameless: DataFrame) -> DataFrame:
-    """url, outcome, rows: what became of each landed row."""
-    result = found.select("page.url", F.when(F.col("reject_reason").isNull(), "article").otherwise("rejected").alias("read"))
-    told = state.join(result, "url", "left").select("url", F.coalesce("why", "read", F.lit("unread")).alias("outcome"), F.lit(1).cast("long").alias("rows"))
-    told = told.unionByName(state.where("claims > 1").select("url", F.lit("repeated").alias("outcome"), (F.col("claims") - 1).alias("rows")))
-    return told.unionByName(nameless.groupBy("url").agg(F.count(F.lit(1)).alias("rows")).select("url", F.lit("rejected").alias("outcome"), "rows"))
+    """url, outcome, rows, reason, peak_mb: what became of each landed row, why it is no article, and what reading it took."""
+    result = found.select("page.url", F.when(F.col("reject_reason").isNull(), "article").otherwise("rejected").alias("read"), F.col("reject_reason").alias("reason"), "page.peak_mb")
+    told = state.join(result, "url", "left").select("url", F.coalesce("why", "read", F.lit("unread")).alias("outcome"), F.lit(1).cast("long").alias("rows"), "reason", "peak_mb")
+    told = told.unionByName(state.where("claims > 1").select("url", F.lit("repeated").alias("outcome"), (F.col("claims") - 1).alias("rows")), allowMissingColumns=True)
+    blank = nameless.groupBy("url", F.col("reject_reason").alias("reason")).agg(F.count(F.lit(1)).alias("rows"))
+    return told.unionByName(blank.select("url", F.lit("rejected").alias("outcome"), "rows", "reason"), allowMissingColumns=True)
 
 
 def crawl_round(landed: DataFrame, tasks: DataFrame, sites: DataFrame, as_of: Column, now: str, visited: DataFrame | None = None, per_site: int | None = None, **budget: int) -> Round:

@@ -22,7 +22,7 @@ from ..operators.storage import exists, remove, written
 from ..operators.task_store import BUCKETS, TaskStore
 
 LANDED = "url string, html string, site string, channel string"
-LOG = "batch long, outcome string, rows long, urls long, at string"
+LOG = "batch long, outcome string, reason string, rows long, urls long, peak_mb int, at string"
 
 
 def visited_before(spark: SparkSession, home: str, batch_id: int) -> DataFrame:
@@ -49,9 +49,10 @@ def write_visited(spark: SparkSession, home: str, batch_id: int) -> None:
 
 
 def write_log(outcomes: DataFrame, home: str, batch_id: int, now: str) -> None:
-    """What became of the batch's rows, by outcome; its folder marks the batch as complete."""
-    rows = outcomes.groupBy("outcome").agg(F.sum("rows").alias("rows"), F.count_distinct("url").alias("urls"))
-    rows.coalesce(1).select("outcome", "rows", "urls", F.lit(now).alias("at")).write.mode("overwrite").json(f"{home}/log/batch={batch_id}")
+    """What became of the batch's rows, by outcome and reason, and the most memory that a worker held for one; its
+    folder marks the batch as complete."""
+    rows = outcomes.groupBy("outcome", "reason").agg(F.sum("rows").alias("rows"), F.count_distinct("url").alias("urls"), F.max("peak_mb").alias("peak_mb"))
+    rows.coalesce(1).withColumn("at", F.lit(now)).write.mode("overwrite").json(f"{home}/log/batch={batch_id}")
 
 
 def read_batch(batch: DataFrame, batch_id: int, store: TaskStore, home: str, sites: DataFrame, as_of: Column, now: str, **budget: int) -> None:

@@ -14,7 +14,7 @@ from pagemill.operators import sites as S
 from pagemill.operators import tasks as T
 from pagemill.operators.task_store import TaskStore
 from pagemill.plans import stream_queries
-from pagemill.streaming import claims, landing, lifecycle
+from pagemill.streaming import claims, figures, landing, lifecycle
 from pagemill.streaming.schedule import step
 
 GOOD = "<h1>Eine Seite {}</h1><article><p>" + "Text der Seite. " * 5 + "</p></article>"
@@ -243,10 +243,26 @@ def test_visited_pages_of_earlier_batches_are_skipped_and_heal_tasks(spark, tmp_
     start(spark, home)
     assert written_articles(tmp_path) == sorted(f"http://x.test/{i}" for i in range(12))
     log = {(r.batch, r.outcome): r.rows for r in landing.log_of(spark, home).collect()}
-    assert log == {(0, "article"): 10, (1, "article"): 2, (1, "visited"): 10}
+    assert all(r.peak_mb > 10 for r in landing.log_of(spark, home).where("outcome = 'article'").collect()) and log == {(0, "article"): 10, (1, "article"): 2, (1, "visited"): 10}
     assert {r.status for r in TaskStore(spark, f"{home}/tasks", 4).read().collect()} == {"done"}
 
 
+def test_figures_of_a_run_with_a_page_over_its_limit(spark, tmp_path):
+    home = f"file://{tmp_path}"
+    landed_files(spark, home, [*landed_rows(12), ("http://x.test/long", GOOD + "y" * 5000, "s", "c", 0)], 1)
+    seen = figures.with_figures(spark)
+    query = landing.landing_stream(spark, f"{home}/landed", home, sites(spark), as_of(), NOW, buckets=4, characters=4000)
+    query.awaitTermination()
+    seen.wait(query)
+    spark.streams.removeListener(seen)
+    row = seen.table(spark).where("rows > 0").first()
+    assert (row.batch, row.rows % 13, row.query) == (0, 0, str(query.id)) and row.trigger_ms >= row.sink_ms > 0 and not seen.failed
+    log = {(r.outcome, r.reason): (r.rows, r.peak_mb) for r in landing.log_of(spark, home).collect()}
+    assert log["rejected", "over limit"][0] == 1 and log["rejected", "no title"][0] == 3 and log["article", None][0] == 9 and log["rejected", "over limit"][1] > 10
+    tasks = {r.url: r for r in TaskStore(spark, f"{home}/tasks", 4).read().collect()}
+    assert (tasks["http://x.test/long"].status, tasks["http://x.test/long"].phase, tasks["http://x.test/long"].error) == ("deferred", "memory_limit", "over limit")
+
+
 EVENTS = "key long, ts timestamp, seq long, event string"
 
 

@@ -8,8 +8,8 @@ most eps = sqrt(2 - 2 * threshold), and covering radii bound it.
   lives in the cell of its nearest pivot. It also visits a cell with a higher number when the bisector between the two
   pivots is within eps and the pivot is within that cell's covering radius plus eps; no other cell can hold a partner of
   it that it would not meet.
-* A cell is cut into chunks of about CHUNK_ROWS; a task builds a cover tree over one chunk and streams past it the visitors
-  and the rows of the cell's other chunks, as trees of bounded size.
+* A cell is cut into chunks of about CHUNK_ROWS, rings around its pivot; a task builds a cover tree over one chunk and
+  streams past it, as trees of bounded size, those visitors and rows of the cell's inner rings that are within eps of the ring.
 * A tree's levels have halving radii down to single vectors: each node's children are a net of its rows at half its reach,
   the first child's centre being its own. A node with a single row, or with rows that doubles can't tell apart, is a leaf.
 * Two trees are traversed together, many pairs of nodes at a time: the distances of all their children's centres come from
@@ -44,6 +44,8 @@ THRESHOLD = 0.98
 SAMPLE_ROWS, SAMPLE_BYTES = 65_536, 1 << 25
 CHUNK_ROWS = 4_096
 VISIT_ROWS = 2_048
+#: Rings of a cell.
+MOST_RINGS = 64
 #: Sampled rows for one pivot, and most pivots of a label; both only shape the cells.
 ROWS_PER_PIVOT, MOST_PIVOTS = 16, 256
 #: Reach at which rows count as one place, far below what the sums of doubles tell apart at eps.
@@ -295,6 +297,23 @@ def sampled(vectors: DataFrame, rows: int) -> tuple[list[tuple[str, np.ndarray]]
     return [(keys[a], matrix(vectors_.slice(a, b - a))) for a, b in zip(starts, starts[1:], strict=False)], share
 
 
+def in_rings(homes: DataFrame, chunk_rows: int) -> tuple[DataFrame, DataFrame]:
+    """(`homes` (key, cell, away, others) with chunk, and for each cell the bounds of its rings).
+
+    A cell's chunks are rings around its pivot, by the distance `away`: two rows within eps of each other differ in it by
+    no more. A cell of more than MOST_RINGS chunks has `subs` of them in each ring, dealt by hash.
+    """
+    cuts = F.percentile_approx("away", F.array(*[F.lit((i + 1) / MOST_RINGS) for i in range(MOST_RINGS - 1)]), F.lit(10_000))
+    stats = homes.groupBy("key", "cell").agg(F.ceil(F.count(F.lit(1)) / chunk_rows).cast("int").alias("chunks"), cuts.alias("cuts"))
+    stats = stats.withColumns({"n_rings": F.least("chunks", F.lit(MOST_RINGS)), "subs": F.ceil(F.col("chunks") / MOST_RINGS).cast("int")})
+    place = F.size(F.filter("cuts", lambda x: x < F.col("away")))
+    own = homes.join(stats, ["key", "cell"]).withColumn("ring", F.floor(place * F.col("n_rings") / MOST_RINGS).cast("int"))
+    own = own.withColumn("chunk", (F.col("ring") * F.col("subs") + F.pmod(F.xxhash64("id"), F.col("subs"))).cast("int")).drop("cuts", "n_rings", "chunks")
+    bounds = own.groupBy("key", "cell", "ring", "subs").agg(F.min("away").alias("low"), F.max("away").alias("high"))
+    bounds = bounds.groupBy("key", "cell", "subs").agg(F.collect_list(F.struct("ring", "low", "high")).alias("rings"))
+    return own, materialise(bounds, "vector-rings")
+
+
 def link_vectors(vectors: DataFrame, threshold: float = THRESHOLD, sample_rows: int = SAMPLE_ROWS, chunk_rows: int = CHUNK_ROWS) -> tuple[DataFrame, DataFrame]:
     """`vectors` (id, key, vector, weight), vectors of one key having one length: counts (id, n) and links (a, b)."""
     spark, eps = vectors.sparkSession, math.sqrt(2.0 - 2.0 * threshold)
@@ -325,13 +344,16 @@ def link_vectors(vectors: DataFrame, threshold: float = THRESHOLD, sample_rows:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cells), pa.array(away), pa.array(visits, kind)], names=[*batch.schema.names, "cell", "away", "visits"])
 
     homes = materialise(vectors.select("id", "key", "vector", "weight").mapInArrow(home, "id long, key string, vector array<double>, weight long, cell int, away double, visits array<struct<cell:int,far:double>>"), "vector-homes")
-    stats = homes.groupBy("key", "cell").agg(F.max("away").alias("radius"), F.ceil(F.count(F.lit(1)) / chunk_rows).cast("int").alias("chunks"))
-    own = homes.join(stats.drop("radius"), ["key", "cell"]).withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
+    own, bounds = in_rings(homes, chunk_rows)
     rows = own.select("key", "cell", "chunk", F.lit(0).alias("side"), "id", "vector", "weight")
-    later = own.where("chunk < chunks - 1").select("key", "cell", F.explode(F.expr("sequence(chunk + 1, chunks - 1)")).alias("chunk"), F.lit(1).alias("side"), "id", "vector", "weight")
+    near = eps + SLACK
+    last = F.array_max(F.transform(F.filter("rings", lambda r: r["low"] <= F.col("away") + near), lambda r: r["ring"]))
+    later = own.join(bounds, ["key", "cell", "subs"]).withColumn("last", (last + 1) * F.col("subs") - 1).where("chunk < last")
+    later = later.select("key", "cell", F.explode(F.expr("sequence(chunk + 1, last)")).alias("chunk"), F.lit(1).alias("side"), "id", "vector", "weight")
     guests = homes.select("key", "id", "vector", "weight", F.explode("visits").alias("visit")).select("key", F.col("visit.cell").alias("cell"), F.col("visit.far").alias("far"), "id", "vector", "weight")
-    guests = guests.join(stats, ["key", "cell"]).where(F.col("far") <= F.col("radius") + eps + SLACK)
-    guests = guests.select("key", "cell", F.explode(F.expr("sequence(0, chunks - 1)")).alias("chunk"), F.lit(1).alias("side"), "id", "vector", "weight")
+    met = F.filter("rings", lambda r: (r["low"] <= F.col("far") + near) & (r["high"] >= F.col("far") - near))
+    guests = guests.join(bounds, ["key", "cell"]).withColumn("met", F.transform(met, lambda r: r["ring"])).where(F.size("met") > 0)
+    guests = guests.select("key", "cell", F.explode(F.flatten(F.transform("met", lambda r: F.sequence(r * F.col("subs"), (r + 1) * F.col("subs") - 1)))).alias("chunk"), F.lit(1).alias("side"), "id", "vector", "weight")
     units = rows.unionByName(later).unionByName(guests).repartition("key", "cell", "chunk").sortWithinPartitions("key", "cell", "chunk", "side")
 
     @tidy

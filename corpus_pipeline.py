@@ -67,7 +67,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The ids of each text, with digests of the ids and of the text that they decode to."""
+    """The ids of each text, with digests of the ids and of the text that they decode to. A null text is an empty one and has no
+    ids; other columns than doc_id, lang and source end here."""
     out = encode_texts(docs.select("doc_id", "lang", "source", "text"), public_path("piece_bpe_32k.model"))
     return out.select("row.doc_id", "row.lang", "row.source", "n_tokens", "ids", "ids_sha256", "decoded_sha256")
 

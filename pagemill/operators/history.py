@@ -1,11 +1,12 @@
 """The visited history as files: URLs in parts of their sites, and Bloom filters that say which parts a round has to read.
 
-Each batch of visited URLs is a generation: its URLs in folders of their part, and for each part blocks of 32,768 bits. A URL
+Each batch of visited URLs is a generation: its URLs in files ordered by part, of which a scan reads only the pages of the parts
+that it asks for, and for each part blocks of 32,768 bits. A URL
 sets BITS bits of one block, so a lookup meets one block a generation in an equality join, and blocks are rows that Spark
 spreads like any others. A candidate whose bits aren't all set hasn't been visited; for the others the parts that hold their
 site's URLs are read, and a join decides. Filters never deny a URL that is there, so the result is exact.
 
-A part holds whole sites, but a site lies in `spread` parts, so that a large one is no single folder. Of FANOUT generations of a
+A part holds whole sites, but a site lies in `spread` parts, and a large part in several files. Of FANOUT generations of a
 level one of the next is made; a URL is so written again once a level, and there are at most FANOUT a level. One writer at a
 time; a generation counts from when its filters are complete, and one that broke off is written anew.
 """
@@ -18,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import netloc
-from .storage import children, exists, remove, written
+from .storage import children, exists, fresh_folder, remove, written
 
 #: Bits that a URL sets in its block, and URLs a block is made for: ten bits a URL, under 2 % of others pass.
 BITS, PER_BLOCK = 7, 3_276
@@ -43,6 +44,17 @@ def is_set(bits: Column, at: Column) -> Column:
     return F.call_function("getbit", byte, (at % 8).cast("int")) == 1
 
 
+def in_ranges(column: Column, numbers: list[int]) -> Column:
+    """`column` is one of `numbers`, as ranges: a scan skips by any number of them, where IN is held against least and greatest."""
+    numbers = sorted(numbers)
+    starts = [n for i, n in enumerate(numbers) if i == 0 or n != numbers[i - 1] + 1]
+    ends = [n for i, n in enumerate(numbers) if i == len(numbers) - 1 or n != numbers[i + 1] - 1]
+    tests = [column.between(a, b) for a, b in zip(starts, ends)]
+    while len(tests) > 1:  # as a balanced tree
+        tests = [reduce(Column.__or__, tests[i : i + 2]) for i in range(0, len(tests), 2)]
+    return tests[0]
+
+
 class VisitedHistory:
     """J11, K2 over files in `path`. `sites` and `spread` are fixed by whoever makes the history; their product bounds the parts."""
 
@@ -88,13 +100,16 @@ class VisitedHistory:
     def _write(self, urls: DataFrame, generation: tuple[int, int, int]) -> None:
         at = self._at(generation)
         remove(self.spark, f"{at}/filters")  # from here on the generation doesn't count until its filters are there again
-        rows = written(urls.where("url is not null").select("url").distinct().withColumn("part", self.part(F.col("url"))), "history")
-        rows.repartitionByRange("part", "url").sortWithinPartitions("part", "url").write.mode("overwrite").partitionBy("part").parquet(f"{at}/urls")
+        kept = fresh_folder(self.spark, "history")
+        urls.where("url is not null").select("url").distinct().withColumn("part", self.part(F.col("url"))).write.parquet(kept)
+        rows = self.spark.read.schema(URLS).parquet(kept)
+        rows.repartitionByRange("part", "url").sortWithinPartitions("part", "url").write.mode("overwrite").parquet(f"{at}/urls")
         counts = rows.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
         counts.withColumn("blocks", F.ceil(F.col("n") / PER_BLOCK)).coalesce(1).write.mode("overwrite").parquet(f"{at}/sizes")
         sizes = self.spark.read.schema(SIZES).parquet(f"{at}/sizes")
         placed = rows.join(F.broadcast(sizes), "part").select("part", block_of(F.col("url"), F.col("blocks")).alias("block"), F.explode(bits_of(F.col("url"))).alias("bit"))
         placed.groupBy("part", "block").agg(F.bitmap_construct_agg("bit").alias("bits")).write.mode("overwrite").parquet(f"{at}/filters")
+        remove(self.spark, kept)
 
     def _urls(self, generation: tuple[int, int, int]) -> DataFrame:
         return self.spark.read.schema(URLS).parquet(f"{self._at(generation)}/urls")
@@ -124,7 +139,7 @@ class VisitedHistory:
         touched: dict[int, list[int]] = {}
         for first, part in sorted((r[0], r[1]) for r in maybe.select("first", "part").distinct().collect()):  # bounded as the sizes are
             touched.setdefault(first, []).append(part)
-        read = [self._urls(g).where(F.col("part").isin(touched[g[0]])).select("url") for g in self._live(before) if g[0] in touched]
+        read = [self._urls(g).where(in_ranges(F.col("part"), touched[g[0]])).select("url") for g in self._live(before) if g[0] in touched]
         asked = maybe.select("url").distinct()
         return asked.join(reduce(DataFrame.union, read), "url", "left_semi") if read else asked
 

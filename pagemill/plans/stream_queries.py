@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..operators import pages as P
 from ..operators import records, rounds
 from ..operators import sites as S
+from ..operators.history import VisitedHistory
 from ..operators.storage import fresh_folder, written
 from ..operators.task_store import TaskStore
 from ..streaming import claims, landing, lifecycle
@@ -240,7 +241,29 @@ UNION ALL (SELECT 'chosen', name, '--category c3 --max-articles 20 --workers 8 -
 UNION ALL SELECT DISTINCT 'visited', '', '', 'http://m' || (s_suppkey % 9) || '.test' FROM supplier
 """
 
+def visited_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of one status are visited, a batch for each year; the pages of all line items' orders are looked up, and those
+    of as many others."""
+    page = lambda key: F.concat(F.lit("https://s"), key % 97, F.lit(".test/"), key)
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").where("o_orderstatus = 'F'").select(page(F.col("o_orderkey")).alias("url"), F.year("o_orderdate").alias("year"))
+    history = VisitedHistory(spark, fresh_folder(spark, "history"), 32, 2)
+    for batch, year in enumerate(r[0] for r in orders.select("year").distinct().orderBy("year").collect()):  # a few years
+        history.add(orders.where(F.col("year").eqNullSafe(year)).select("url"), batch)
+    keys = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(F.col("l_orderkey").alias("k")).where("k is not null").distinct()
+    asked = written(keys.unionAll(keys.select(-F.col("k") - 1)).select(page(F.col("k")).alias("url")), "asked")
+    return asked.join(history.seen(asked).withColumn("visited", F.lit(True)), "url", "left").select("url", F.coalesce("visited", F.lit(False)).alias("visited"))
+
+
+LOOKUP_SQL = """
+WITH o AS (SELECT DISTINCT o_orderkey AS k FROM orders WHERE o_orderstatus = 'F'),
+l AS (SELECT DISTINCT l_orderkey AS k FROM lineitem WHERE l_orderkey IS NOT NULL),
+a AS (SELECT k FROM l UNION ALL SELECT -k - 1 FROM l)
+SELECT 'https://s' || (a.k % 97) || '.test/' || a.k AS url, o.k IS NOT NULL AS visited FROM a LEFT JOIN o ON a.k = o.k
+"""
+
+
 QUERIES = {
+    "visited_lookup": visited_lookup,
     "round_outcomes": round_outcomes,
     "sink_counts": sink_counts,
     "stored_tasks": stored_tasks,
@@ -251,6 +274,7 @@ QUERIES = {
 }
 
 SQL = {
+    "visited_lookup": LOOKUP_SQL,
     "round_outcomes": OUTCOMES_SQL,
     "sink_counts": SINK_SQL,
     "stored_tasks": STORED_SQL,

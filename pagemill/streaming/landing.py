@@ -1,6 +1,7 @@
 """From a folder of landed pages to articles: a file stream with several sinks and a log of its batches.
 
-Each batch goes through the round's steps and leaves articles (K1), rejected pages, visited URLs (K2), task states and, last of
+Each batch goes through the round's steps and leaves articles (K1), rejected pages, visited URLs (K2, as lines and as the history that later
+batches look up), task states and, last of
 all, a line in the log. What a batch has read is kept in a folder of its own until then; its sinks are folders of the batch, which a
 repetition overwrites, and its task events are applied once. A batch that breaks off anywhere is repeated by the
 stream from its checkpoint under the same number. One in the log is not done again; one that has read its pages goes on
@@ -18,6 +19,7 @@ from ..operators import articles as A
 from ..operators import pages as P
 from ..operators import rounds as R
 from ..operators import tasks as T
+from ..operators.history import VisitedHistory
 from ..operators.storage import exists, remove, written
 from ..operators.task_store import BUCKETS, TaskStore
 
@@ -25,12 +27,9 @@ LANDED = "url string, html string, site string, channel string"
 LOG = "batch long, outcome string, reason string, rows long, urls long, peak_mb int, at string"
 
 
-def visited_before(spark: SparkSession, home: str, batch_id: int) -> DataFrame:
-    """The URLs that batches before this one have written."""
-    if not exists(spark, f"{home}/visited"):
-        return spark.createDataFrame([], "url string")
-    rows = spark.read.schema("value string, batch long").text(f"{home}/visited")
-    return rows.where(F.col("batch") < batch_id).select(F.col("value").alias("url"))
+def history_of(spark: SparkSession, home: str) -> VisitedHistory:
+    """The URLs that batches have written, by site and behind filters."""
+    return VisitedHistory(spark, f"{home}/history")
 
 
 def write_batch(found: DataFrame, nameless: DataFrame, home: str, batch_id: int) -> None:
@@ -46,6 +45,7 @@ def write_batch(found: DataFrame, nameless: DataFrame, home: str, batch_id: int)
 def write_visited(spark: SparkSession, home: str, batch_id: int) -> None:
     done = spark.read.schema("url string").json(f"{home}/articles/batch={batch_id}").select("url")
     done.write.mode("overwrite").text(f"{home}/visited/batch={batch_id}")
+    history_of(spark, home).add(done, batch_id)
 
 
 def write_log(outcomes: DataFrame, home: str, batch_id: int, now: str) -> None:
@@ -60,7 +60,8 @@ def read_batch(batch: DataFrame, batch_id: int, store: TaskStore, home: str, sit
     spark, at = batch.sparkSession, f"{home}/batches/batch={batch_id}"
     store.recover(now)
     claims = written(R.claimed(R.named(batch)[0]), "landing-claims")
-    R.sorted_out(claims.drop("html"), store.read(), visited_before(spark, home, batch_id)).write.mode("overwrite").parquet(f"{at}/state")
+    visited = history_of(spark, home).seen(claims, batch_id)
+    R.sorted_out(claims.drop("html"), store.read(), visited).write.mode("overwrite").parquet(f"{at}/state")
     state = spark.read.parquet(f"{at}/state")
     ready = state.where("why is null").select(F.lit("article").alias("kind"), "url", "site", "channel")
     begin = ready.select("kind", "url", F.lit("begin").alias("event"), F.lit("").alias("error"))

@@ -24,8 +24,8 @@ COUNTY_NAME = "[一-龥]{2,6}(县|区|市)"
 NEWS_CATEGORIES = ("中央新闻网站和重点理论网站", "中央新闻单位报刊网站", "部委群团报刊网站", "其他单位报刊网站", "地方新闻网站")
 EXACT = (("GOV", "GOV_DIRECT", True), ("LOCAL", "LOCAL_PAPER_DIRECT", True), ("MINISTRY", "MINISTRY_DIRECT", False), ("LOCAL_SPECIFIC", "LOCAL_DIRECT", False), ("COUNTY", "COUNTY_GOV_DIRECT", False))
 
-#: Characters of the longest substrings that the index of names holds.
-GRAM = 3
+#: Characters of the substrings that the index of names holds.
+GRAMS = (8, 3, 2, 1, 0)
 FUZZY = ("MINISTRY", "LOCAL_SPECIFIC", "PROVINCE")
 TIERS = (*dict.fromkeys([t for t, _, _ in EXACT] + list(FUZZY)),)
 
@@ -83,45 +83,48 @@ def build_sites(manifest: DataFrame) -> DataFrame:
     return out.select("name", F.col("first").alias("ord"), *[F.col("last")[c].alias(c) for c in rest])
 
 
-def grams(text: Column, most: int = GRAM) -> Column:
-    """The distinct substrings of 1 to `most` characters, and the empty one."""
+def width_of(part: Column) -> Column:
+    """The largest of GRAMS that `part` is long enough for."""
+    return F.coalesce(*[F.when(F.length(part) >= n, F.lit(n)) for n in GRAMS])
 
-    def of(n: int) -> Column:
-        each = F.transform(F.sequence(F.lit(1), F.length(text) - n + 1), lambda at: F.substring(text, at, n))
-        return F.when(F.length(text) >= n, each).otherwise(F.array().cast("array<string>"))
 
-    some = [of(n) for n in range(1, most + 1)]
-    return F.array_distinct(F.concat(F.array(F.lit("")), *some))
+def grams(text: Column, width: Column) -> Column:
+    """Hashes of the distinct substrings of `width` characters, at most the text's."""
+    last = F.when(width > 0, F.length(text) - width + 1).otherwise(F.lit(1))
+    return F.array_distinct(F.transform(F.sequence(F.lit(1), last), lambda at: F.xxhash64(F.substring(text, at, width))))
 
 
 def contained(texts: DataFrame, text: str, parts: DataFrame, part: str) -> DataFrame:
     """All pairs (text, part) of the distinct strings of two columns where the text contains the part.
 
-    A q-gram index instead of a comparison of all pairs: each text is posted under its grams; a part is looked up by one
-    gram of its own, of GRAM characters or all it has, the one that the fewest texts hold. What is found is verified.
+    A q-gram index instead of a comparison of all pairs: each text is posted under its grams, of the widths that some part
+    needs; a part is looked up by one gram of its own, of its width, the one that the fewest texts hold. What is found is
+    verified. Spark sees nothing of what `explode` makes of a text and would send postings around, so joins are by merge.
     """
     texts = texts.select(F.col(text).alias("__text")).where("__text is not null").distinct()
-    parts = parts.select(F.col(part).alias("__part")).where("__part is not null").distinct()
-    posted = texts.select("__text", F.explode(grams(F.col("__text"))).alias("__gram"))
-    width = F.least(F.length("__part"), F.lit(GRAM))
-    asked = parts.select("__part", F.explode(F.filter(grams(F.col("__part")), lambda g: F.length(g) == width)).alias("__gram"))
+    parts = parts.select(F.col(part).alias("__part")).where("__part is not null").distinct().withColumn("__width", width_of(F.col("__part")))
+    wide = texts.select("__text", F.explode(F.array(*[F.lit(n) for n in GRAMS])).alias("__width")).where(F.length("__text") >= F.col("__width"))
+    wide = wide.join(F.broadcast(parts.select("__width").distinct()), "__width", "left_semi")  # at most a row for each of GRAMS
+    posted = wide.select("__text", F.explode(grams(F.col("__text"), F.col("__width"))).alias("__gram"))
+    asked = parts.select("__part", F.explode(grams(F.col("__part"), F.col("__width"))).alias("__gram"))
     often = posted.groupBy("__gram").agg(F.count(F.lit(1)).alias("__n"))
-    rarest = asked.join(often, "__gram", "left").groupBy("__part").agg(F.min(F.struct(F.coalesce("__n", F.lit(0)).alias("n"), F.col("__gram").alias("gram"))).alias("m"))
+    rarest = asked.join(often.hint("merge"), "__gram", "left").groupBy("__part").agg(F.min(F.struct(F.coalesce("__n", F.lit(0)).alias("n"), F.col("__gram").alias("gram"))).alias("m"))
     rarest = rarest.where("m.n > 0").select("__part", F.col("m.gram").alias("__gram"))  # a gram that no text holds ends the search
-    found = posted.join(rarest, "__gram").where(F.contains("__text", "__part"))
+    found = posted.join(rarest.hint("merge"), "__gram").where(F.contains("__text", "__part"))
     return found.select(F.col("__text").alias(text), F.col("__part").alias(part))
 
 
 def substring_hits(names: DataFrame, rules: DataFrame) -> DataFrame:
     """The `names` (clean, asked) with each rule of a tier that they ask for whose key they contain, or, for
-    ministries, whose key contains them."""
+    ministries, whose key contains them. Of the rules of a tier with one key only the first by `ord` is there."""
+    rules = rules.groupBy("tier", "key").agg(F.min(F.struct("ord", "url")).alias("m")).select("tier", "m.ord", "key", "m.url")
     inside = contained(names, "clean", rules, "key")
     around = contained(rules.where("tier = 'MINISTRY'"), "key", names.where(F.array_contains("asked", "MINISTRY") & (F.col("clean") != "")), "clean").withColumn("only", F.lit("MINISTRY"))
     # An empty name stands in every key; of those only the first rule can win.
     first = rules.where("tier = 'MINISTRY'").groupBy().agg(F.min(F.struct("ord", "url", "key"))["key"].alias("key"))
     empty = first.select(F.lit("").alias("clean"), "key", F.lit("MINISTRY").alias("only")).where("key is not null")
     pairs = inside.withColumn("only", F.lit(None).cast("string")).unionByName(around).unionByName(empty)
-    hits = pairs.join(names, "clean").join(rules, "key").where(F.array_contains("asked", F.col("tier")) & (F.col("only").isNull() | (F.col("only") == F.col("tier"))))
+    hits = pairs.join(names.hint("merge"), "clean").join(rules.hint("merge"), "key").where(F.array_contains("asked", F.col("tier")) & (F.col("only").isNull() | (F.col("only") == F.col("tier"))))
     return hits.select("clean", "tier", "ord", "url", "key")
 
 
@@ -130,14 +133,14 @@ def resolve(sites: DataFrame, rules: DataFrame) -> DataFrame:
 
     Exact tiers are two equi-joins with one row for each key, by the clean name and by the name as it is. Only names that
     the exact tiers above leave open meet the rules of a fuzzy tier by substring, once for all tiers; the first rule
-    by `ord` wins.
+    by `ord` wins. Names and rules both grow, so they meet by merge and none goes through the driver.
     """
     rows = sites.withColumns({"clean": C.clean_name(F.col("name")), "given": C.first_filled(F.col("url"), F.col("raw_url")) if "raw_url" in sites.columns else F.col("url")})
     of = lambda tier: F.max_by("url", F.when(F.col("tier") == tier, F.col("ord")))
     keys = rules.where(F.col("tier").isin(*[t for t, _, _ in EXACT])).groupBy("key")
     clean_hits = keys.agg(F.struct(*[of(t).alias(t) for t, _, _ in EXACT]).alias("by_clean"))
     raw_hits = keys.agg(F.struct(*[of(t).alias(t) for t, _, both in EXACT if both]).alias("by_name"))
-    rows = rows.join(clean_hits.withColumnRenamed("key", "clean"), "clean", "left").join(raw_hits.withColumnRenamed("key", "name"), "name", "left")
+    rows = rows.join(clean_hits.withColumnRenamed("key", "clean").hint("merge"), "clean", "left").join(raw_hits.withColumnRenamed("key", "name").hint("merge"), "name", "left")
     exact = {t: F.coalesce(F.col(f"by_clean.{t}"), F.col(f"by_name.{t}")) if both else F.col(f"by_clean.{t}") for t, _, both in EXACT}
 
     valid = ~C.is_invalid_url(F.col("given"))
@@ -147,7 +150,7 @@ def resolve(sites: DataFrame, rules: DataFrame) -> DataFrame:
     open_names = rows.where(unnamed).groupBy("clean").agg(F.array_distinct(F.flatten(F.collect_set(asked))).alias("asked"))
     met = substring_hits(open_names, rules.where(F.col("tier").isin(*FUZZY)))
     met = met.groupBy("clean").agg(*[F.min(F.when(F.col("tier") == t, F.struct("ord", "url", "key"))).alias(f"f_{t}") for t in FUZZY])
-    rows = rows.join(met, "clean", "left")
+    rows = rows.join(met.hint("merge"), "clean", "left")
 
     def hit(url: Column, kind: Column | str, fallback: bool = False) -> Column:
         return F.when(url.isNotNull(), F.struct(url.alias("url"), (kind if isinstance(kind, Column) else F.lit(kind)).alias("kind"), F.lit(fallback).alias("fallback")))

@@ -364,6 +364,27 @@ def test_many_rules_meet_without_a_nested_loop(spark):
     assert {"MINISTRY_FUZZY", "LOCAL_FUZZY", "PROVINCIAL"} <= kinds
 
 
+def test_rules_and_names_go_round_in_no_broadcast(spark):
+    """Explosion is nothing that Spark estimates: postings of a small file were sent through the driver."""
+    part = spark.range(400).select(F.concat(F.lit("red bolt "), "id").alias("name"), F.lit("").alias("url"), F.col("id").cast("int").alias("ord"))
+    rules = part.select(F.element_at(F.array(*[F.lit(t) for t in S.TIERS]), (F.col("ord") % len(S.TIERS) + 1).cast("int")).alias("tier"), "ord", F.substring("name", 5, 9).alias("key"), F.lit("u").alias("url"))
+    found = S.resolve(part, rules)
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "SortMergeJoin" in plan and plan.count("BroadcastHashJoin") <= 2  # the widths of the keys, at most five rows, and those of the names
+
+
+def test_long_parts_meet_few_texts(spark):
+    """A key is looked up by a gram of eight characters, where it has them: grams of three would meet hundreds of names each."""
+    names = spark.range(20_000).select(F.concat(F.lit("red bolt "), "id").alias("t"))
+    parts = spark.range(20_000).where("id % 2 = 1").select(F.concat(F.lit("x bolt "), "id").alias("p"))
+    grams = lambda df, c: df.select(c, F.explode(S.grams(F.col(c), S.width_of(F.col(c)))).alias("g"))
+    each = grams(names, "t").groupBy("g").agg(F.count(F.lit(1)).alias("n"))
+    most = grams(parts, "p").join(each, "g", "left").groupBy("p").agg(F.min(F.coalesce("n", F.lit(0))).alias("n")).agg(F.max("n")).first()[0]
+    assert most < 50
+    assert S.contained(names, "t", parts, "p").count() == 0
+
+
 def test_manifests_keep_the_order_of_their_files(spark, tmp_path):
     for i in range(3):
         (tmp_path / f"m{i}.json").write_text(json.dumps([{"name": f"n{j % 4}", "category": str(10 * i + j)} for j in range(10)]))

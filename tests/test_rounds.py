@@ -4,6 +4,7 @@ import json
 import random
 from pathlib import Path
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,7 +14,7 @@ from pagemill.operators import records, rounds, storage
 from pagemill.operators import sites as S
 from pagemill.operators import tasks as T
 from pagemill.operators.task_store import TaskStore
-from pagemill.plans import stream_queries
+from pagemill.plans import queries, stream_queries
 from pagemill.streaming import claims, figures, landing, lifecycle
 from pagemill.streaming.schedule import step
 
@@ -399,3 +400,28 @@ def test_queries_work_in_folders_of_their_own(spark):
     sf = "/root/testdata/sf0.001"
     one, two = (sorted(map(str, stream_queries.sink_counts(spark, sf).collect())) for _ in range(2))
     assert one == two
+
+
+@pytest.fixture(scope="module")
+def odd_pages(spark, tmp_path_factory):
+    """The pages of sf0.001 with headings of one to three characters, and pages of other pages' URLs."""
+    home = tmp_path_factory.mktemp("odd")
+    page = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    short = F.when(F.col("page_id") % 4 == 1, F.regexp_replace("html", "<h1>[^<]*</h1>", "<h1>to.</h1>")).otherwise(F.col("html"))
+    again = page.where("page_id % 3 < 2").withColumn("page_id", F.col("page_id") + 1_001)
+    page.withColumn("html", short).unionByName(again).coalesce(1).write.parquet(f"{home}/pages.parquet")
+    return str(home)
+
+
+@pytest.mark.parametrize("name", ["article_extract"])
+def test_short_headings_are_titles_as_in_sql(spark, odd_pages, name):
+    same_as_sql(spark, odd_pages, name)
+
+
+def same_as_sql(spark, home, name):
+    with duckdb.connect() as db:
+        db.execute(f"CREATE VIEW pages AS SELECT * FROM '{home}/pages.parquet/*.parquet'")
+        found = db.execute(queries.SQL[name])
+        columns, want = [c[0] for c in found.description], found.fetchall()
+    got = queries.QUERIES[name](spark, home).select(*columns).collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))

@@ -413,7 +413,7 @@ def odd_pages(spark, tmp_path_factory):
     return str(home)
 
 
-@pytest.mark.parametrize("name", ["article_extract", "article_records"])
+@pytest.mark.parametrize("name", ["article_extract", "article_records", "page_isolation"])
 def test_short_headings_are_titles_as_in_sql(spark, odd_pages, name):
     same_as_sql(spark, odd_pages, name)
 

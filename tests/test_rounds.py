@@ -418,6 +418,11 @@ def test_short_headings_are_titles_as_in_sql(spark, odd_pages, name):
     same_as_sql(spark, odd_pages, name)
 
 
+@pytest.mark.parametrize("name", ["crawl_round"])
+def test_pages_of_one_url_all_count_as_in_sql(spark, odd_pages, name):
+    same_as_sql(spark, odd_pages, name)
+
+
 def same_as_sql(spark, home, name):
     with duckdb.connect() as db:
         db.execute(f"CREATE VIEW pages AS SELECT * FROM '{home}/pages.parquet/*.parquet'")

@@ -1,4 +1,4 @@
-"""The task lifecycle as a stateful processor: one state variable a task, and timers for what no event ends.
+"""The task lifecycle as a stateful processor: a row of state for each task, and timers for what no event ends.
 
 An event table (key, ts, event) is folded by `step` as it streams. A task that runs for longer than `lease` without
 an event has broken off and counts a failure (W6); a done one is forgotten after `keep`. Both are event-time timers: they fire
@@ -9,71 +9,82 @@ the checkpoint, whole or by key, without starting the stream.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import groupby
+from operator import itemgetter
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from .buckets import NULL_BUCKET, Alarms, bucket_of
 from .schedule import step
 
-TASK = "status string, failures long, timer long"
+TASK = "status string, failures long"
 OUT = "key long, status string, failures long, cause string"
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 class TaskLifecycle(StatefulProcessor):
-    """W2 to W7. `lease_ms` and `keep_ms`: how long a task may run and a done one is remembered; None for ever."""
+    """W2 to W7. `lease_ms` and `keep_ms`: how long a task may run and a done one is remembered; None for ever.
+
+    Spark's key is a bucket of tasks; each task has its own row of state.
+    """
 
     def __init__(self, lease_ms: int | None = None, keep_ms: int | None = None, max_failures: int = 2):
-        self.lease_ms, self.keep_ms, self.max_failures = lease_ms, keep_ms, max_failures
+        self.wait = {"running": lease_ms, "done": keep_ms}
+        self.max_failures = max_failures
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.task = handle.getValueState("task", TASK)
+        self.tasks = handle.getMapState("task", "key long", TASK)
+        self.alarms = Alarms(handle, "long")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        status, failures, timer = self.task.get() if self.task.exists() else ("pending", 0, 0)
-        events = pd.concat(list(rows)).sort_values(["ts", "seq"])
-        for event in events["event"]:
-            status, failures = step(status, int(failures), event, self.max_failures)
-        self._set_timer(int(timer), status, int(events["ts"].iloc[-1].timestamp() * 1000))
-        self._put(status, failures)
-        yield pd.DataFrame({"key": [key[0]], "status": [status], "failures": [failures], "cause": ["event"]})
+        events = pd.concat(list(rows)).sort_values(["key", "ts", "seq"])
+        at = events["ts"].astype("datetime64[ms]").astype("int64")
+        due, out = self.alarms.load(), []
+        for task, group in groupby(zip(events["key"].tolist(), at.tolist(), events["event"].tolist(), strict=True), itemgetter(0)):
+            status, failures = self.tasks.getValue((task,)) or ("pending", 0)
+            for _, last, event in group:
+                status, failures = step(status, failures, event, self.max_failures)
+            self.tasks.updateValue((task,), (status, failures))
+            due.pop(task, None)
+            if self.wait.get(status) is not None:
+                due[task] = last + self.wait[status]
+            out.append((task, status, failures, "event"))
+        self.alarms.save(due)
+        yield _told(key[0], out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if not self.task.exists():
-            return
-        status, failures, _ = self.task.get()
-        self.timer = 0
-        if status == "done":
-            self.task.clear()
-            yield pd.DataFrame({"key": [key[0]], "status": ["forgotten"], "failures": [0], "cause": ["kept"]})
-        elif status == "running":
-            status, failures = step(status, int(failures), "fail", self.max_failures)
-            self._put(status, failures)
-            yield pd.DataFrame({"key": [key[0]], "status": [status], "failures": [failures], "cause": ["broke off"]})
-
-    def _put(self, status: str, failures: int) -> None:
-        self.task.update((status, failures, self.timer))
-
-    def _set_timer(self, old: int, status: str, at: int) -> None:
-        if old:
-            self.handle.deleteTimer(old)
-        wait = {"running": self.lease_ms, "done": self.keep_ms}.get(status)
-        self.timer = 0 if wait is None else at + wait
-        if self.timer:
-            self.handle.registerTimer(self.timer)
+        due, out = self.alarms.load(), []
+        for task in self.alarms.due(due, timerValues.getCurrentWatermarkInMs()):
+            status, failures = self.tasks.getValue((task,))
+            if status == "done":
+                self.tasks.removeKey((task,))
+                out.append((task, "forgotten", 0, "kept"))
+            else:
+                status, failures = step(status, failures, "fail", self.max_failures)
+                self.tasks.updateValue((task,), (status, failures))
+                out.append((task, status, failures, "broke off"))
+        self.alarms.save(due)
+        yield _told(key[0], out)
 
     def close(self) -> None:
         pass
 
 
+def _told(bucket: int, rows: list[tuple]) -> pd.DataFrame:
+    out = pd.DataFrame(rows, columns=["key", "status", "failures", "cause"])
+    return out.assign(key=None) if bucket == NULL_BUCKET else out
+
+
 def task_lifecycle(events: DataFrame, delay: str, lease_ms: int | None = None, keep_ms: int | None = None, max_failures: int = 2) -> DataFrame:
     """OUT rows of the streaming `events` (key long, ts timestamp, seq long, event); events later than `delay` don't count.
 
     Its session needs `with_state_store`.
     """
-    rows = events.withWatermark("ts", delay).groupBy("key")
+    # Pandas would turn keys beside a null one into floats, so its bucket tells the null key.
+    rows = events.withWatermark("ts", delay).select(bucket_of(F.col("key")).alias("bucket"), F.coalesce("key", F.lit(0)).alias("key"), "ts", "seq", "event").groupBy("bucket")
     return rows.transformWithStateInPandas(TaskLifecycle(lease_ms, keep_ms, max_failures), OUT, "Update", "EventTime")
 
 
@@ -89,4 +100,5 @@ def with_state_store(spark: SparkSession, partitions: int | None = None) -> Spar
 def task_states(spark: SparkSession, checkpoint: str) -> DataFrame:
     """Key, status, failures of all tasks that the stream holds; filter by key for one."""
     rows = spark.read.format("statestore").option("path", checkpoint).option("stateVarName", "task").load()
-    return rows.select("key.key", "value.status", "value.failures")
+    key = F.when(F.col("key.bucket") != NULL_BUCKET, F.col("user_map_key.key")).alias("key")
+    return rows.select(key, "user_map_value.status", "user_map_value.failures")

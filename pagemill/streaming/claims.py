@@ -11,38 +11,46 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from .buckets import Alarms, bucket_of
+
 CLAIMS = "url string, ts timestamp, seq long, site string, channel string"
 CLAIM = "at long, seq long, site string, channel string, told boolean"
 OUT = "url string, seq long, site string, channel string"
 
 
 class FirstClaim(StatefulProcessor):
+    """Spark's key is a bucket of URLs; each URL has its own row of state."""
+
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.claim = handle.getValueState("claim", CLAIM)
+        self.claims = handle.getMapState("claim", "url string", CLAIM)
+        self.alarms = Alarms(handle, "string")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        held = tuple(self.claim.get()) if self.claim.exists() else None
-        if held is None or not held[4]:
-            best = held
-            for part in rows:
-                first = part.sort_values(["ts", "seq"]).iloc[0]
-                mine = (int(first["ts"].value // 1000), int(first["seq"]), first["site"], first["channel"], False)
-                best = mine if best is None or mine[:2] < best[:2] else best
-            if best != held:
-                if held is not None:
-                    self.handle.deleteTimer(held[0] // 1000)
-                self.handle.registerTimer(best[0] // 1000)
-                self.claim.update(best)
+        best = None
+        for part in rows:
+            both = part if best is None else pd.concat([best, part])
+            best = both.sort_values(["url", "ts", "seq"]).drop_duplicates("url")
+        at = best["ts"].astype("datetime64[us]").astype("int64")
+        due = self.alarms.load()
+        for url, *mine in zip(*(c.tolist() for c in (best["url"], at, best["seq"].astype("int64"), best["site"], best["channel"])), strict=True):
+            held = self.claims.getValue((url,))
+            if held is None or not held[4] and tuple(mine[:2]) < tuple(held[:2]):
+                self.claims.updateValue((url,), (*mine, False))
+                due[url] = mine[0] // 1000
+        self.alarms.save(due)
         yield from ()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        at, seq, site, channel, told = self.claim.get()
-        if not told:
-            self.claim.update((at, seq, site, channel, True))
-            yield pd.DataFrame({"url": [key[0]], "seq": [seq], "site": [site], "channel": [channel]})
+        due, out = self.alarms.load(), []
+        for url in self.alarms.due(due, timerValues.getCurrentWatermarkInMs()):
+            at, seq, site, channel, _ = self.claims.getValue((url,))
+            self.claims.updateValue((url,), (at, seq, site, channel, True))
+            out.append((url, seq, site, channel))
+        self.alarms.save(due)
+        yield pd.DataFrame(out, columns=["url", "seq", "site", "channel"])
 
     def close(self) -> None:
         pass
@@ -53,11 +61,11 @@ def first_claims(rows: DataFrame, delay: str) -> DataFrame:
 
     Its session needs `lifecycle.with_state_store`.
     """
-    by_url = rows.where("url is not null").withWatermark("ts", delay).groupBy("url")
-    return by_url.transformWithStateInPandas(FirstClaim(), OUT, "Append", "EventTime")
+    by_bucket = rows.where("url is not null").withWatermark("ts", delay).withColumn("bucket", bucket_of(F.col("url"))).groupBy("bucket")
+    return by_bucket.transformWithStateInPandas(FirstClaim(), OUT, "Append", "EventTime")
 
 
 def claims_so_far(spark: SparkSession, checkpoint: str) -> DataFrame:
     """url, seq, site, channel, told: the claims that the stream's state holds, given out or not."""
     rows = spark.read.format("statestore").option("path", checkpoint).option("stateVarName", "claim").load()
-    return rows.select("key.url", "value.seq", "value.site", "value.channel", "value.told")
+    return rows.select("user_map_key.url", *[f"user_map_value.{c}" for c in ("seq", "site", "channel", "told")])

@@ -126,22 +126,40 @@ class VisitedHistory:
 
     def maybe(self, candidates: DataFrame, before: int | None = None) -> DataFrame:
         """url, first, part: the candidates that the filters can't deny, with the generation and part that may hold them."""
-        live = self._live(before)
-        asked = candidates.where("url is not null").select("url").distinct().withColumn("part", self.part(F.col("url")))
+        return self._met(self._asked(candidates), self._live(before))
+
+    def _asked(self, candidates: DataFrame) -> DataFrame:
+        return candidates.where("url is not null").select("url").distinct().withColumn("part", self.part(F.col("url")))
+
+    def _met(self, asked: DataFrame, live: list[tuple[int, int, int]]) -> DataFrame:
         # A row for each part and generation: parts are bounded, generations grow with the logarithm of the batches.
         asked = asked.join(F.broadcast(self._all("sizes", SIZES, live)), "part").withColumn("block", block_of(F.col("url"), F.col("blocks")))
         met = asked.join(self._all("filters", FILTERS, live), ["first", "part", "block"])
         return met.where(F.forall(bits_of(F.col("url")), lambda at: is_set(F.col("bits"), at))).select("url", "first", "part")
 
+    def _whole(self, asked: DataFrame, live: list[tuple[int, int, int]]) -> list[int]:
+        """The parts that are read without their filters, as that takes fewer rows: a lookup is a row for each candidate and
+        generation, and reading a part has a row for each of its URLs."""
+        sizes = self._all("sizes", SIZES, live).groupBy("part").agg(F.sum("n").alias("held"), F.count(F.lit(1)).alias("generations"))
+        counts = asked.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+        return [r[0] for r in counts.join(sizes, "part").where("held <= n * generations").select("part").collect()]  # parts are bounded
+
     def seen(self, candidates: DataFrame, before: int | None = None) -> DataFrame:
         """url: the candidates that batches (those below `before`) have visited, once each."""
-        maybe = written(self.maybe(candidates, before), "history-maybe")
+        live = self._live(before)
+        asked = written(self._asked(candidates), "history-asked")
+        whole = self._whole(asked, live)
+        rest = asked.where(~F.col("part").isin(whole)) if whole else asked
+        maybe = written(self._met(rest, live), "history-maybe")
         touched: dict[int, list[int]] = {}
         for first, part in sorted((r[0], r[1]) for r in maybe.select("first", "part").distinct().collect()):  # bounded as the sizes are
             touched.setdefault(first, []).append(part)
-        read = [self._urls(g).where(in_ranges(F.col("part"), touched[g[0]])).select("url") for g in self._live(before) if g[0] in touched]
-        asked = maybe.select("url").distinct()
-        return asked.join(reduce(DataFrame.union, read), "url", "left_semi") if read else asked
+        parts = {g: sorted({*whole, *touched.get(g[0], [])}) for g in live}
+        read = [self._urls(g).where(in_ranges(F.col("part"), p)).select("url") for g, p in parts.items() if p]
+        found = maybe.select("url").distinct()
+        if whole:
+            found = found.unionByName(asked.where(F.col("part").isin(whole)).select("url"))
+        return found.join(reduce(DataFrame.union, read), "url", "left_semi") if read else found
 
     def share_read(self, candidates: DataFrame, before: int | None = None) -> float:
         """The share of the history's rows that `seen` reads for these candidates."""
